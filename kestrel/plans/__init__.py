@@ -6,7 +6,7 @@ import importlib
 
 from kestrel.plans.registry import ORACLE, QUERIES
 
-_MODULES = ["weblog"]
+_MODULES = ["weblog", "cleaning"]
 
 
 def _load() -> None:
