@@ -6,7 +6,7 @@ import importlib
 
 from kestrel.plans.registry import ORACLE, QUERIES
 
-_MODULES = ["weblog", "cleaning", "text"]
+_MODULES = ["weblog", "cleaning", "text", "sentiment"]
 
 
 def _load() -> None:
