@@ -6,7 +6,7 @@ import importlib
 
 from kestrel.plans.registry import ORACLE, QUERIES
 
-_MODULES = ["weblog", "cleaning", "text", "sentiment"]
+_MODULES = ["weblog", "cleaning", "text", "sentiment", "retrieval"]
 
 
 def _load() -> None:
