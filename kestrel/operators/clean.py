@@ -162,6 +162,13 @@ def undersample(df: DataFrame, is_minor: Column, key: str, seed: int = 0) -> Dat
     return df.where(is_minor).unionByName(picked)
 
 
+def cached_scan(df: DataFrame) -> DataFrame:
+    """Persist a table reused by several passes (memory, spilling to disk)."""
+    from pyspark import StorageLevel
+
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def union_all(*dfs: DataFrame) -> DataFrame:
     out = dfs[0]
     for d in dfs[1:]:
