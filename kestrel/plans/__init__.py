@@ -6,7 +6,7 @@ import importlib
 
 from kestrel.plans.registry import ORACLE, QUERIES
 
-_MODULES = ["weblog", "cleaning", "text", "sentiment", "retrieval", "recsys", "ml"]
+_MODULES = ["weblog", "cleaning", "text", "sentiment", "retrieval", "recsys", "ml", "sources"]
 
 
 def _load() -> None:
