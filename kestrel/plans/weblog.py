@@ -111,12 +111,14 @@ def q_rank_within_group(spark, sf):
 
 
 @register("top9_plus_rest", _sql(
-    """SELECT country, label AS host, sum(requests) AS requests,
-              round(sum(requests) * 100.0 / any_value(total), 6) AS share_pct,
-              CAST(CASE WHEN label = 'rest' THEN 10 ELSE min(rank) END AS INTEGER) AS rank
-       FROM (SELECT r.*, CASE WHEN rank <= 9 THEN host ELSE 'rest' END AS label,
-                    sum(requests) OVER (PARTITION BY country) AS total FROM ranked r)
-       GROUP BY country, label""", [("ranked", _HOST_RANK)]))
+    """SELECT country, host, requests, round(requests * 100.0 / total, 6) AS share_pct, CAST(rank AS INTEGER) AS rank
+       FROM totaled WHERE rank <= 9
+       UNION ALL
+       SELECT country, 'rest', sum(CASE WHEN rank > 9 THEN requests ELSE 0 END),
+              round(sum(CASE WHEN rank > 9 THEN requests ELSE 0 END) * 100.0 / any_value(total), 6), 10
+       FROM totaled GROUP BY country""",
+    [("ranked", _HOST_RANK),
+     ("totaled", "SELECT r.*, sum(requests) OVER (PARTITION BY country) AS total FROM ranked r")]))
 def q_top9_plus_rest(spark, sf):
     return wl.top_plus_rest(_parsed(spark, sf), 9)
 
