@@ -147,8 +147,12 @@ def containing_documents(passages: DataFrame, docs: DataFrame, key_len: int = 3,
     passage (one with a non-word character on both sides) as a complete token,
     in order. So the first ``key_len`` interior tokens form an exact join key
     against the token k-grams of the documents; candidates are then verified
-    with ``contains`` on the full texts. Passages without an interior token
-    cannot be keyed and are not matched.
+    with ``contains`` on the full texts.
+
+    A passage without an interior token (at most two tokens, no delimiter
+    around them) is keyed instead by its first ``CHAR_KEY`` characters against
+    the distinct character grams of each document; that scan runs only when
+    such passages exist. An empty passage has no key and matches nothing.
     """
     p = passages.select(F.col(pid).alias("qid"), F.col("text").alias("ptext"))
     inner = F.regexp_extract_all(F.col("ptext"), F.lit(_INTERIOR), 0)
@@ -169,9 +173,44 @@ def containing_documents(passages: DataFrame, docs: DataFrame, key_len: int = 3,
     texts = docs.select(F.col(did).alias("docid"), F.col("text").alias("dtext"))
     ver = (cand.join(texts, "docid").join(bounded_broadcast(keyed.select("qid", "ptext"), n_keys), "qid")
            .where(F.contains(F.col("dtext"), F.col("ptext"))))
+    out = ver.select("qid", "docid")
+    loose = p.where((F.size(inner) == 0) & (F.length("ptext") > 0))
+    n_loose = loose.count()
+    if n_loose:
+        out = out.unionByName(_contain_by_chars(loose, texts, n_loose))
+    return out
+
+
+CHAR_KEY = 3
+
+
+def _contain_by_chars(passages: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """Exact containment for passages that token keys cannot reach: join the
+    passage's leading character gram (length min(len, CHAR_KEY)) with the
+    distinct character grams of that length in each document, verify with
+    ``contains``."""
+    keyed = passages.select("qid", "ptext", F.least(F.length("ptext"), F.lit(CHAR_KEY)).alias("k"))
+    keyed = keyed.select("qid", "ptext", "k", F.substr("ptext", F.lit(1), F.col("k")).alias("key"))
+    ks = [r.k for r in keyed.select("k").distinct().collect()]  # at most CHAR_KEY values
+    grams = None
+    for k in ks:
+        idx = F.sequence(F.lit(1), F.length("dtext") - k + 1)
+        g = texts.where(F.length("dtext") >= k).select(
+            "docid", F.explode(F.array_distinct(F.transform(idx, _char_at(k)))).alias("key")).withColumn("k", F.lit(k))
+        grams = g if grams is None else grams.unionByName(g)
+    cand = grams.join(bounded_broadcast(keyed.select("qid", "k", "key"), n), ["k", "key"]).select("qid", "docid")
+    ver = (cand.distinct().join(texts, "docid").join(bounded_broadcast(keyed.select("qid", "ptext"), n), "qid")
+           .where(F.contains(F.col("dtext"), F.col("ptext"))))
     return ver.select("qid", "docid")
 
 
+def _char_at(k: int):
+    def f(i):
+        return F.substr(F.col("dtext"), i, F.lit(k))
+
+    return f
+
+
 def _kgrams(k: int):
     t = F.col("toks")
     if k == 1:

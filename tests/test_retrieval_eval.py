@@ -102,3 +102,18 @@ def test_scan_pairs_rejects_bad_arity(spark, tmp_path):
     bad.write_text("1 2\n3 4 5\n")
     with pytest.raises(Exception, match="bad line in pair file"):
         scan_pairs(spark, str(bad)).collect()
+
+
+def test_containment_of_short_passages(spark):
+    docs = spark.createDataFrame(
+        [(1, "the othello worldwide tour"), (2, "hello world"), (3, "shell"), (4, "nothing here")],
+        "doc_id long, text string")
+    passages = spark.createDataFrame(
+        [(1, "hello world"), (2, "ell"), (3, "o"), (4, "a longer passage with many words"), (5, "")],
+        "qid long, text string")
+    got = rows(rt.containing_documents(passages, docs))
+    ps = {r.qid: r.text for r in passages.collect()}
+    want = sorted((q, d) for d, t in [(r.doc_id, r.text) for r in docs.collect()]
+                  for q, pt in ps.items() if pt and pt in t)
+    assert got == want
+    assert (1, 1) in got and (2, 3) in got
