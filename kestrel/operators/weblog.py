@@ -141,10 +141,11 @@ def day_hour_grid(parsed: DataFrame, hosts: DataFrame | None = None, days: int =
     zeros included. ``hosts`` (country, host) defaults to each country's
     busiest host, computed here rather than typed in."""
     if hosts is None:
-        hosts = top_hosts(parsed, 1).select("country", "host")
+        # one host per country: bounded by the number of domains
+        hosts = F.broadcast(top_hosts(parsed, 1).select("country", "host"))
     hosts = hosts.select("country", "host")
-    # one host per country: bounded by the number of domains
-    sel = parsed.join(F.broadcast(hosts), ["country", "host"], "left_semi")
+    # a caller's host list has no bound here: the planner and AQE pick the join
+    sel = parsed.join(hosts, ["country", "host"], "left_semi")
     counts = (extract_day_hour(sel).groupBy("country", "host", "day", "hour")
               .agg(F.count(F.lit(1)).alias("requests")))
     grid = (hosts.select("country", "host", F.explode(F.sequence(F.lit(1), F.lit(days))).alias("day"))

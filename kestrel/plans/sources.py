@@ -108,6 +108,7 @@ def q_scan_lexicon(spark, sf):
         path = scratch_path(spark, f"lexicon-{name}")
         header = spark.createDataFrame([(f"; {name} words of the opinion lexicon",), (";",)], "value string")
         body = lex.where(F.col("polarity") == pol).select(F.col("word").alias("value"))
+        # at most USEFUL_N words per list: one file, header lines first
         header.unionByName(body).coalesce(1).write.mode("overwrite").text(path)
         files[path] = pol
     # derived words are arbitrary tokens (digits, accents, apostrophes): one per line

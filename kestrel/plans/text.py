@@ -265,7 +265,9 @@ def q_build_vocab_docfreq(spark, sf):
     "SELECT doc_id, pos, rank - 1 AS term_id FROM tt JOIN tvocab ON tt.token = tvocab.feature"))
 def q_join_vocab_ids(spark, sf):
     ids = tx.vocab_ids(_topic_vocab(spark, sf)).withColumnRenamed("feature", "token")
-    return _topic_tokens(spark, sf).join(F.broadcast(ids), "token").select("doc_id", "pos", "term_id")
+    # the vocabulary is cut to its top TOPIC_VOCAB_N entries: a bounded broadcast
+    return _topic_tokens(spark, sf).join(tx.bounded_broadcast(ids, TOPIC_VOCAB_N), "token").select(
+        "doc_id", "pos", "term_id")
 
 
 @register("doc_to_ids", _topsql(
