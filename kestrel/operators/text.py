@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions import alpha_tokens, word_tokens
@@ -134,6 +134,12 @@ def collection_size(df: DataFrame, doc: str = "doc_id") -> int:
     return df.select(doc).distinct().count()
 
 
+# Up to this many entries a top-N vocabulary is cut by a top-k plan (each task
+# keeps its best N, one task merges at most N x tasks rows); beyond it the
+# distributed global ordinal ranks the candidates.
+TOP_N_MERGE = 100_000
+
+
 def build_vocab(feats: DataFrame, min_df: int = 0, keep_top_n: int = 0, mode: str = "count",
                 doc: str = "doc_id", feature: str = "feature") -> DataFrame:
     """Vocabulary (F7) with (feature, count, df, rank), rank 1 = most frequent.
@@ -142,15 +148,21 @@ def build_vocab(feats: DataFrame, min_df: int = 0, keep_top_n: int = 0, mode: st
     * ``mode='docfreq'``: document frequency >= min_df, intersected with the
       top ``keep_top_n`` by raw count.
     Ties are broken by the feature text. ``keep_top_n=0`` keeps all.
-    The rank is the distributed global ordinal, so the top-N cut needs no
-    single-task sort whatever N is.
     """
     from kestrel.operators.splits import ordinal_by
 
     stats = document_frequency(feats, doc, feature)
+    order = [F.desc("count"), F.asc(feature)]
+    if mode == "count":
+        stats = stats.where(F.col("count") > min_df)
+    if keep_top_n and keep_top_n <= TOP_N_MERGE:
+        top = stats.orderBy(*order).limit(keep_top_n)
+        if mode != "count":
+            top = top.where(F.col("df") >= min_df)
+        # at most keep_top_n rows: a single ordered window is bounded
+        return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
     if mode == "count":
-        cand = stats.where(F.col("count") > min_df)
-        ranked = ordinal_by(cand.withColumn("_neg", -F.col("count")), ["_neg", feature], "rank").drop("_neg")
+        ranked = ordinal_by(stats.withColumn("_neg", -F.col("count")), ["_neg", feature], "rank").drop("_neg")
         if keep_top_n:
             ranked = ranked.where(F.col("rank") <= keep_top_n)
         return ranked

@@ -80,3 +80,19 @@ def test_mean_embedding_modes(spark):
     assert m[(1, 0)] == 2.0 and m[(1, 1)] == 1.0
     md = dict(((d, k), v) for d, k, v in rows(tx.mean_embedding(toks, vec, mode="distinct")))
     assert md[(1, 0)] == 2.5 and md[(1, 1)] == 1.5
+
+
+def test_vocab_top_paths_agree(spark):
+    from kestrel.operators import text as t
+
+    f = _feats(spark)
+    fast = rows(t.build_vocab(f, keep_top_n=3), "feature", "count", "df", "rank")
+    old = t.TOP_N_MERGE
+    try:
+        t.TOP_N_MERGE = 0   # force the global-ordinal path
+        slow = rows(t.build_vocab(f, keep_top_n=3), "feature", "count", "df", "rank")
+        slow_df = rows(t.build_vocab(f, min_df=2, keep_top_n=3, mode="docfreq"), "feature", "df", "rank")
+    finally:
+        t.TOP_N_MERGE = old
+    assert fast == slow
+    assert rows(t.build_vocab(f, min_df=2, keep_top_n=3, mode="docfreq"), "feature", "df", "rank") == slow_df
