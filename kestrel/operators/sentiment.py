@@ -140,12 +140,40 @@ def _modifier(w: Column) -> Column:
             .otherwise(F.lit(1.0)))
 
 
+# Positions per block of the running product: a document is scanned in blocks
+# of this many tokens, so one huge document is spread over many tasks.
+WEIGHT_BLOCK = 65_536
+
+
 def running_weight_product(tokens: DataFrame, doc: str = "doc_id", pos: str = "pos",
-                           word: str = "word") -> DataFrame:
+                           word: str = "word", block: int = WEIGHT_BLOCK) -> DataFrame:
     """Adds ``weight`` = product of the modifiers of all tokens up to and
-    including this one in the document (W4); never reset inside a document."""
-    w = Window.partitionBy(doc).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-    return tokens.withColumn("weight", F.product(_modifier(F.col(word))).over(w))
+    including this one in the document (W4); never reset inside a document.
+
+    The product is NEG^a * INT^b * DIM^c with a, b, c the running counts of
+    each modifier kind, so it is computed as a two-level prefix sum: counts
+    per (document, block of positions), an exclusive prefix over the blocks of
+    each document, plus the running counts inside the block. No window holds
+    more than one block or one document's block list, whatever the length of
+    a document.
+    """
+    w_ = F.col(word)
+    kind = F.when(w_.isin(NEGATIONS), "n").when(w_.isin(INTENSIFIERS), "i").when(w_.isin(DIMINISHERS), "d")
+    t = tokens.withColumn("_blk", F.floor(F.col(pos) / F.lit(block))).withColumn("_kind", kind)
+    cnt = {k: F.when(F.col("_kind") == k, 1).otherwise(0) for k in "nid"}
+    blocks = t.groupBy(doc, "_blk").agg(*[F.sum(cnt[k]).alias(f"_b{k}") for k in "nid"])
+    before = Window.partitionBy(doc).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select(doc, "_blk", *[F.coalesce(F.sum(f"_b{k}").over(before), F.lit(0)).alias(f"_o{k}")
+                                           for k in "nid"])
+    upto = Window.partitionBy(doc, "_blk").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    t = t.select(*tokens.columns, "_blk", *[F.sum(cnt[k]).over(upto).alias(f"_c{k}") for k in "nid"])
+    t = t.join(offsets, [doc, "_blk"])
+
+    def power(base: float, k: str) -> Column:
+        return F.pow(F.lit(base), (F.col(f"_o{k}") + F.col(f"_c{k}")).cast("double"))
+
+    weight = power(NEGATION_WEIGHT, "n") * power(INTENSIFIER_WEIGHT, "i") * power(DIMINISHER_WEIGHT, "d")
+    return t.select(*tokens.columns, weight.alias("weight"))
 
 
 def lexicon_score_rules(tokens: DataFrame, lexicon: DataFrame, docs: DataFrame, threshold: float,

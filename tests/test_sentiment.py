@@ -56,3 +56,24 @@ def test_top_bottom_ties(spark):
     df = spark.createDataFrame([("a", 0.1), ("b", 0.1), ("c", 0.9), ("d", 0.5)], "word string, power double")
     got = rows(se.top_bottom_n(df, "power", 1, "word"), "side", "word")
     assert got == [("head", "a"), ("tail", "c")]
+
+
+def test_running_weight_blocks_agree(spark):
+    import random
+
+    rnd = random.Random(5)
+    vocab = ["not", "very", "barely", "good", "bad", "x", "definitely", "somewhat"]
+    data = [(d, p, rnd.choice(vocab)) for d in range(3) for p in range(40)]
+    toks = spark.createDataFrame(data, "doc_id long, pos int, word string")
+    one = rows(se.running_weight_product(toks), "doc_id", "pos", "weight")
+    many = rows(se.running_weight_product(toks, block=7), "doc_id", "pos", "weight")
+    assert one == many
+    mods = {"not": -1.0, "very": 2.0, "definitely": 2.0, "barely": 0.5, "somewhat": 0.5}
+    want = []
+    for d in range(3):
+        w = 1.0
+        for dd, p, word in data:
+            if dd == d:
+                w *= mods.get(word, 1.0)
+                want.append((d, p, w))
+    assert one == sorted(want)
