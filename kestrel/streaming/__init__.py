@@ -1,0 +1,4 @@
+"""No streaming plans: every analysis of the reference reads a finished input
+(a month of logs, a ratings file, a document collection) once. The web-log
+operators are plain DataFrame functions, so they would run unchanged on a
+``readStream.text`` source, but no such entry point is provided."""
