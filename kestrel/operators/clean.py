@@ -145,6 +145,19 @@ def oversample(df: DataFrame, is_minor: Column, ratio: int | None = None,
     return df.where(~is_minor).unionByName(replicate_rows(df.where(is_minor), max(ratio, 1)))
 
 
+def oversample_weights(df: DataFrame, is_minor: Column, ratio: int | None = None,
+                       weight_col: str = "weight") -> DataFrame:
+    """X2 for estimators that take instance weights: each minority row gets
+    weight ``ratio`` (default floor(#major / #minor)), every other row 1.
+    Spark ML's linear, logistic and generalised linear models normalise their
+    loss by the weight total, so the fit equals the fit on ``oversample``'s
+    replicated rows while the training data keeps its size."""
+    if ratio is None:
+        counts = df.agg(F.count_if(is_minor).alias("mi"), F.count_if(~is_minor).alias("ma")).first()
+        ratio = int(counts.ma // counts.mi) if counts.mi else 1
+    return df.withColumn(weight_col, F.when(is_minor, F.lit(float(max(ratio, 1)))).otherwise(F.lit(1.0)))
+
+
 def seeded_order_key(key: str, seed: int) -> Column:
     """md5 of ``seed:key`` -- a reproducible pseudo-random order (same in DuckDB)."""
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))

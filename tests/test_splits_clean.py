@@ -68,3 +68,22 @@ def test_class_balance(spark):
     df = spark.createDataFrame([(0.0,)] * 7 + [(2.5,)] * 2, "t double")
     r = cl.class_balance(df, "t").first()
     assert (r.n_zero, r.n_nonzero, r.replicate) == (7, 2, 3)
+
+
+def test_oversample_weights_equal_replicated_fit(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    df = spark.range(400).select(
+        F.col("id"), (F.col("id") % 10 == 0).cast("double").alias("y"),
+        (F.col("id") % 7).cast("double").alias("x1"), (F.col("id") % 13).cast("double").alias("x2"))
+    df = VectorAssembler(inputCols=["x1", "x2"], outputCol="features").transform(df)
+    is_minor = F.col("y") == 1
+    rep = cl.oversample(df, is_minor)
+    wtd = cl.oversample_weights(df, is_minor)
+    assert wtd.agg(F.sum("weight")).first()[0] == rep.count()
+    lr = LogisticRegression(labelCol="y", regParam=0.01, tol=1e-10, maxIter=200)
+    a = lr.fit(rep)
+    b = lr.copy().setWeightCol("weight").fit(wtd)
+    assert all(abs(u - v) < 1e-4 for u, v in zip(a.coefficients, b.coefficients))
+    assert abs(a.intercept - b.intercept) < 1e-4
