@@ -5,15 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, decontaminate, html_text, langid, licenses, toxicity
+from kestrel.llm import bpe, decontaminate, html_text, langid, licenses, near_dups, quality, toxicity
 from kestrel.llm.batches import table
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every document."""
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, item_id, edits, end_char) of every document that holds a test item, within 5 % edits."""
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept) of every document."""
+    return quality.judge(table(spark, sf_dir, "documents")).drop("rejected_by")
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     return html_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
@@ -57,5 +67,27 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op4_html_text, op5_toxicity, op6_bpe, op9_language, op10_licenses)}
-ORACLE: dict[str, str] = {}
+#: The order of the cascade doesn't change its verdict, so the oracle names the rules in any order.
+OP3_SQL = r"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+w as (select r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as ws,
+        list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as ls from d),
+c as (select r, doc_id, ws, len(ws) as n_words, coalesce(length(array_to_string(ws, '')), 0) as word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols, len(ls) as n_lines,
+        len(ls) - len(list_distinct(ls)) as n_dup_lines, length(regexp_replace(text, '[^!]', '', 'g')) as n_shouts,
+        length(regexp_replace(text, '\P{Lu}', '', 'g')) as n_upper, length(regexp_replace(text, '\P{L}', '', 'g')) as n_letters,
+        len(list_filter(ws, lambda x: regexp_matches(x, '\p{L}'))) as n_lettered from w),
+win as (select r, i, array_to_string(list_slice(ws, i, i + 4), ' ') as k from c, unnest(range(1, len(ws) - 3)) t(i)),
+twice as (select r, i from win qualify count(*) over (partition by r, k) > 1),
+rep as (select r, count(distinct i + j) as n from twice, range(0, 5) o(j) group by r),
+st as (select r, count(*) as n from (select r, unnest(range(2, len(ws) + 1)) as i, ws from c) where ws[i] = ws[i - 1] group by r),
+a as (select c.*, coalesce(rep.n, 0) as n_repeat_words, coalesce(st.n, 0) as n_stutter from c left join rep using (r) left join st using (r)),
+b as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from a)
+select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols, n_dup_lines::bigint as n_dup_lines,
+  n_repeat_words::bigint as n_repeat_words, base_failed,
+  not (base_failed or n_symbols * 10 > n_words or n_dup_lines * 100 > n_lines * 40 or not (word_chars between n_words * 2 and n_words * 12)
+    or n_shouts * 10 > n_words * 3 or n_upper * 2 > n_letters or n_lettered * 2 < n_words or n_stutter * 10 > n_words * 2) as kept
+from b"""
+
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_decontamination, op3_quality_rules, op4_html_text, op5_toxicity, op6_bpe, op9_language, op10_licenses)}
+ORACLE: dict[str, str] = {"op3_quality_rules": OP3_SQL}
