@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, decontaminate, html_text, langid, licenses, near_dups, pii, quality, toxicity
+from kestrel.llm import bpe, decontaminate, html_text, langid, licenses, near_dups, pii, quality, repeats, toxicity
 from kestrel.llm.batches import table
 
 
@@ -57,6 +57,12 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(shown("base"), 256).alias("base_sha256"), shown("spans").alias("spans"))
 
 
+def op8_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
+    return repeats.without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def held_out() -> Column:
     """True for the documents that language models are never fitted on."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
@@ -96,5 +102,5 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
     or n_shouts * 10 > n_words * 3 or n_upper * 2 > n_letters or n_lettered * 2 < n_words or n_stutter * 10 > n_words * 2) as kept
 from b"""
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_decontamination, op3_quality_rules, op4_html_text, op5_toxicity, op6_bpe, op7_pii, op9_language, op10_licenses)}
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_decontamination, op3_quality_rules, op4_html_text, op5_toxicity, op6_bpe, op7_pii, op8_repeated_strings, op9_language, op10_licenses)}
 ORACLE: dict[str, str] = {"op3_quality_rules": OP3_SQL}
