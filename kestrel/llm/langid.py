@@ -119,26 +119,26 @@ def fit(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") ->
     return Model(languages, log_prob.astype(np.float32), log_prior)
 
 
+def best(model: Model, text: str | None) -> tuple[str, float]:
+    """The likeliest language of one text and its posterior probability."""
+    total, seen = model.log_prior.astype(np.float64), False
+    for bins in text_bins(text or ""):
+        seen = True
+        if model.languages:
+            total = total + model.log_prob[bins].sum(axis=0, dtype=np.float64)
+    if not seen or not model.languages:
+        return UNKNOWN, 0.0
+    at = int(np.argmax(total))
+    return model.languages[at], float(1.0 / np.exp(total - total[at]).sum())
+
+
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, lang_pred, score): the likeliest language and its posterior probability."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    """(id, lang_pred, score) of every row."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
         m = shared.value
-
-        def one(key, text):
-            total, seen = m.log_prior.astype(np.float64), False
-            for bins in text_bins(text or ""):
-                seen = True
-                if m.languages:
-                    total = total + m.log_prob[bins].sum(axis=0, dtype=np.float64)
-            if not seen or not m.languages:
-                return key, UNKNOWN, 0.0
-            best = int(np.argmax(total))
-            return key, m.languages[best], float(1.0 / np.exp(total - total[best]).sum())
-
-        return one
+        return lambda key, text: (key, *best(m, text))
 
     return map_rows(docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).alias("text")), make,
                     struct(f"{id_col} long, lang_pred string, score double"))

@@ -179,8 +179,9 @@ def find(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of the text replaced by its kind in brackets; n_chars, where there is one, follows."""
-    columns = docs.columns
-    found = base(docs)
+    # the input's columns travel as one struct, so that none of their names can clash with those made here
+    columns = dict(docs.dtypes)
+    found = base(docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row")))
     extra = discover(docs, keep(found.where(F.size("_mentions") > 0).select("_key", "_mentions"), "found"))
     found = _with_extra(found, extra)
     # overlapping spans become one, named after the first
@@ -194,8 +195,9 @@ def redact(docs: DataFrame) -> DataFrame:
     ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("_merged", lambda s: s["end"]))
     parts = F.zip_with(F.slice(ends, F.lit(1), F.size("_merged")), "_merged", lambda e, s: F.concat(piece(e, s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]")))
     rest = piece(F.get(ends, F.size("_merged")), F.length("_text").cast("long"))
-    text = F.when(F.size("_all") == 0, F.col("text")).otherwise(F.concat(F.array_join(parts, ""), rest))
-    out = found.withColumn("_merged", merged).withColumn("text", text)
+    new = {"text": F.when(F.size("_all") == 0, F.col("text")).otherwise(F.concat(F.array_join(parts, ""), rest))}
     if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.when(F.size("_all") == 0, F.col("n_chars")).otherwise(F.length("text").cast(dict(docs.dtypes)["n_chars"])))
-    return out.select(*columns)
+        new["n_chars"] = F.when(F.size("_all") == 0, F.col("_row.n_chars")).otherwise(F.length("_new").cast(columns["n_chars"]))
+    out = found.withColumn("_merged", merged).withColumn("_new", new["text"])
+    new["text"] = F.col("_new")
+    return out.select(*(new.get(c, F.col("_row")[c]).alias(c) for c in columns))
