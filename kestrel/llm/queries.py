@@ -80,6 +80,34 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+OP1_SQL = r"""
+with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as ws from documents),
+sh as (select distinct doc_id, array_to_string(list_slice(ws, i, i + 4), ' ') as k from d, unnest(range(1, greatest(len(ws) - 3, 2))) t(i) where len(ws) > 0),
+n as (select doc_id, count(*) as n from sh group by doc_id),
+x as (select a.doc_id as a, b.doc_id as b, count(*) as c from sh a join sh b on a.k = b.k and a.doc_id <> b.doc_id group by 1, 2),
+e as (select a, b from x join n p on p.doc_id = a join n q on q.doc_id = b where 100 * c >= 75 * (p.n + q.n - c)),
+r(a, b) as (select doc_id, doc_id from d union select r.a, e.b from r join e on r.b = e.a)
+select doc_id, coalesce(n.n, 0)::bigint as n_shingles, f.c as component_id, doc_id = f.c as kept
+from d left join n using (doc_id) join (select a as doc_id, min(b) as c from r group by a) f using (doc_id)"""
+
+
+def op10_sql() -> str:
+    """Dice over word bigrams of lines, paragraphs and whole texts, against the templates as values."""
+    rows = ", ".join("({}, {}, {})".format(i, *("'" + x.replace("'", "''") + "'" for x in t)) for i, t in enumerate(licenses.TEMPLATES))
+    return rf"""
+with d as (select doc_id, coalesce(text, '') as text from documents),
+u as (select doc_id, unnest(string_split(text, chr(10))) as t from d
+  union all select doc_id, unnest(regexp_split_to_array(text, '\n[^\S\n]*\n')) from d union all select doc_id, text from d),
+w as (select row_number() over () as u, doc_id, regexp_extract_all(lower(t), '[\p{{L}}\p{{N}}]+') as ws from u),
+g as (select u, doc_id, ws[i] as x, ws[i + 1] as y, count(*) as n, any_value(len(ws) - 1) as a from w, unnest(range(1, len(ws))) s(i) group by all),
+tw as (select i, name, regexp_extract_all(lower(t), '[\p{{L}}\p{{N}}]+') as ws from (values {rows}) v(i, name, t)),
+tg as (select i, name, ws[j] as x, ws[j + 1] as y, count(*) as n, any_value(len(ws) - 1) as b from tw, unnest(range(1, len(ws))) s(j) group by all),
+m as (select doc_id, u, i, name, 2 * sum(least(g.n, tg.n)) / (any_value(a) + any_value(b)) as dice from g join tg using (x, y) group by all),
+best as (select doc_id, name, dice from m where dice >= 0.8 qualify row_number() over (partition by doc_id order by dice desc, name) = 1)
+select doc_id, name as licence, coalesce(dice, 0)::double as score from d left join best using (doc_id)"""
+
+
 #: The order of the cascade doesn't change its verdict, so the oracle names the rules in any order.
 OP3_SQL = r"""
 with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
@@ -103,4 +131,4 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
 from b"""
 
 QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_decontamination, op3_quality_rules, op4_html_text, op5_toxicity, op6_bpe, op7_pii, op8_repeated_strings, op9_language, op10_licenses)}
-ORACLE: dict[str, str] = {"op3_quality_rules": OP3_SQL}
+ORACLE: dict[str, str] = {"op1_near_duplicates": OP1_SQL, "op10_licenses": op10_sql(), "op3_quality_rules": OP3_SQL}
