@@ -16,8 +16,8 @@ dropped; an empty table gives an empty one.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import xxhash
@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from kestrel.llm.batches import id_and_text, map_rows, struct
 
-MAX_SAMPLE = 6000
-FEATURE_BITS = 18
+MAX_SAMPLE = 5000
+FEATURES = 1 << 18
 PREFIX = 5
 #: Grade 1 up to 2 telling words in a toxic text, grade 2 up to 5, grade 3 beyond.
 GRADE_CUTS = (2, 5)
@@ -37,79 +37,87 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 def word_features(word: str) -> tuple[int, ...]:
     """Hash bins of a word and, for longer words, of its first letters."""
-    mask = (1 << FEATURE_BITS) - 1
+    mask = FEATURES - 1
     own = xxhash.xxh32_intdigest(word) & mask
     return (own, xxhash.xxh32_intdigest("^" + word[:PREFIX]) & mask) if len(word) > PREFIX else (own,)
 
 
-def count_features(text: str) -> Counter:
-    out: Counter = Counter()
-    for word, n in Counter(_WORD.findall(text.lower())).items():
-        for f in word_features(word):
-            out[f] += n
-    return out
+class _Bins(dict):
+    """Features of each word; emptied when it has grown."""
+
+    def __missing__(self, word):
+        if len(self) >= 500_000:
+            self.clear()
+        got = self[word] = word_features(word)
+        return got
+
+
+_bins = _Bins()
+
+
+def count_features(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct features of a text and their counts."""
+    ids = np.fromiter(chain.from_iterable(map(_bins.__getitem__, _WORD.findall(text.lower()))), np.int32)
+    return np.unique(ids, return_counts=True)
 
 
 @dataclass
 class Model:
-    weights: dict[int, float]
-    thresholds: tuple[float, ...]
+    weights: np.ndarray  # FEATURES floats
+    thresholds: np.ndarray  # GRADES - 1, increasing
+
+    def latent(self, text: str) -> float:
+        features, n = count_features(text)
+        return float(self.weights[features] @ np.log1p(n))
 
-    def severity(self, counts) -> float:
+    def severity(self, z: float) -> float:
         """Expected grade: the sum over thresholds of P(grade > j)."""
-        z = sum(self.weights[f] * np.log1p(n) for f, n in counts.items() if f in self.weights)
-        return float(sum(1.0 / (1.0 + np.exp(min(60.0, max(-60.0, t - z)))) for t in self.thresholds))
+        return float((1.0 / (1.0 + np.exp(np.clip(self.thresholds - z, -60, 60)))).sum())
 
 
-def grades(toxic: np.ndarray, texts_features: list[Counter]) -> np.ndarray:
+def grades(toxic: np.ndarray, doc: np.ndarray, feature: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Severity grades of the sample: 0 for clean texts, else by the number of telling features."""
-    seen: Counter = Counter()
-    bad: Counter = Counter()
-    for y, c in zip(toxic, texts_features):
-        seen.update(c.keys())
-        if y:
-            bad.update(c.keys())
-    base = max(1, int(toxic.sum())) / max(1, len(toxic))
-    telling = {f for f, n in bad.items() if n >= 3 and n / seen[f] > max(0.9, (1 + base) / 2)}
-    hits = np.array([sum(n for f, n in c.items() if f in telling) for c in texts_features])
+    seen = np.bincount(feature, minlength=FEATURES)
+    bad = np.bincount(feature, weights=toxic[doc], minlength=FEATURES)
+    base = toxic.mean() if len(toxic) else 0.0
+    telling = (bad >= 3) & (bad > max(0.9, (1 + base) / 2) * seen)
+    hits = np.bincount(doc, weights=n * telling[feature], minlength=len(toxic))
     return np.where(toxic == 0, 0, 1 + np.searchsorted(GRADE_CUTS, hits, side="left"))
 
 
-def fit_ordinal(rows: list[Counter], y: np.ndarray, steps: int = 300, l2: float = 1e-4, rate: float = 0.1) -> Model:
+def fit_ordinal(y: np.ndarray, doc: np.ndarray, feature: np.ndarray, n: np.ndarray, steps: int = 200, l2: float = 1e-4, rate: float = 0.1) -> Model:
     """Weights and thresholds by Adam on the mean negative log-likelihood; features in 3 or more texts only."""
-    df: Counter = Counter()
-    for c in rows:
-        df.update(c.keys())
-    used = sorted(f for f, n in df.items() if n >= 3)
-    if not used or not len(y) or not (y > 0).any():
-        return Model({}, tuple([60.0] * (GRADES - 1)))
-    at = {f: i for i, f in enumerate(used)}
-    doc, col, val = (np.array(x) for x in zip(*((i, at[f], np.log1p(n)) for i, c in enumerate(rows) for f, n in c.items() if f in at)))
-    n_docs, n_thresholds = len(rows), GRADES - 1
+    used = np.flatnonzero(np.bincount(feature, minlength=FEATURES) >= 3)
+    if not len(used) or not (y > 0).any():
+        return Model(np.zeros(FEATURES, np.float32), np.full(GRADES - 1, 60.0))
+    column = np.full(FEATURES, -1)
+    column[used] = np.arange(len(used))
+    some = column[feature] >= 0
+    doc, col, val = doc[some], column[feature[some]], np.log1p(n[some])
+    n_docs, n_thresholds = len(y), GRADES - 1
+    at = np.arange(n_docs)
     p = np.zeros(len(used) + n_thresholds)  # weights, first threshold, log gaps
     p[len(used)] = 2.0
     m, v = np.zeros_like(p), np.zeros_like(p)
-    sigmoid = lambda x: 1.0 / (1.0 + np.exp(-np.clip(x, -60, 60)))
     for step in range(1, steps + 1):
         w, raw = p[:len(used)], p[len(used):]
         gaps = np.exp(raw[1:])
         t = raw[0] + np.concatenate([[0.0], np.cumsum(gaps)])
         z = np.bincount(doc, val * w[col], n_docs)
-        below = np.concatenate([np.zeros((n_docs, 1)), sigmoid(t[None, :] - z[:, None]), np.ones((n_docs, 1))], axis=1)
+        below = np.concatenate([np.zeros((n_docs, 1)), 1.0 / (1.0 + np.exp(np.clip(z[:, None] - t[None, :], -60, 60))), np.ones((n_docs, 1))], axis=1)
         slope = below * (1 - below)
-        prob = np.maximum(below[np.arange(n_docs), y + 1] - below[np.arange(n_docs), y], 1e-12)
-        up, down = slope[np.arange(n_docs), y + 1] / prob, slope[np.arange(n_docs), y] / prob
+        prob = np.maximum(below[at, y + 1] - below[at, y], 1e-12)
+        up, down = slope[at, y + 1] / prob, slope[at, y] / prob
         dz = (up - down) / n_docs  # of the negative log-likelihood
-        dt = np.zeros(n_thresholds)
-        for j in range(n_thresholds):
-            dt[j] = (-(up[y == j]).sum() + (down[y == j + 1]).sum()) / n_docs
+        dt = np.array([(down[y == j + 1].sum() - up[y == j].sum()) / n_docs for j in range(n_thresholds)])
         tail = np.cumsum(dt[::-1])[::-1]
         g = np.concatenate([np.bincount(col, val * dz[doc], len(used)) + l2 * w, [tail[0]], tail[1:] * gaps])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         p = p - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     raw = p[len(used):]
-    t = raw[0] + np.concatenate([[0.0], np.cumsum(np.exp(raw[1:]))])
-    return Model({f: float(p[i]) for f, i in at.items() if abs(p[i]) > 1e-4}, tuple(map(float, t)))
+    weights = np.zeros(FEATURES, np.float32)
+    weights[used] = p[:len(used)]
+    return Model(weights, raw[0] + np.concatenate([[0.0], np.cumsum(np.exp(raw[1:]))]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE) -> Model:
@@ -121,42 +129,32 @@ def fit(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE) -> Mod
 
     def make():
         def one(toxic, text):
-            c = count_features(text)
-            return toxic, list(c.keys()), list(c.values())
+            feature, n = count_features(text)
+            return toxic, feature.tolist(), n.tolist()
 
         return one
 
-    got = map_rows(texts, make, struct("toxic int, feature array<int>, n array<int>")).toPandas()
-    rows = [Counter(dict(zip(map(int, f), map(int, n)))) for f, n in zip(got["feature"], got["n"])]
-    toxic = got["toxic"].to_numpy(dtype=int) if len(got) else np.zeros(0, int)
-    return fit_ordinal(rows, grades(toxic, rows), )
+    got = map_rows(texts, make, struct("toxic int, feature array<int>, n array<int>")).toArrow()
+    toxic = got["toxic"].to_numpy().astype(np.int64)
+    features = got["feature"].combine_chunks()
+    doc = np.repeat(np.arange(len(toxic)), np.array([len(x) for x in features], np.int64)) if len(toxic) else np.zeros(0, np.int64)
+    flat = lambda c: got[c].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    feature, n = flat("feature"), flat("n")
+    return fit_ordinal(grades(toxic, doc, feature, n), doc, feature, n)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, severity, grade, toxic): expected severity, its nearest grade, and whether grade 1 or more is likelier than 0."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 2^18 weights
-
-    class Known(dict):
-        """Features with a weight, by word; bounded by clearing."""
-
-        def __missing__(self, word):
-            if len(self) > 500_000:
-                self.clear()
-            got = self[word] = tuple(f for f in word_features(word) if f in shared.value.weights)
-            return got
+    """(doc_id, severity, grade, toxic): expected severity, its nearest grade (1 at least for toxic texts, 0 for others),
+    and whether grade 1 or more is likelier than 0."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2^18 floats
 
     def make():
-        m, known = shared.value, Known()
+        m = shared.value
 
         def one(doc_id, text):
-            counts: Counter = Counter()
-            for word, n in Counter(_WORD.findall(text.lower())).items():
-                for f in known[word]:
-                    counts[f] += n
-            z = sum(m.weights[f] * np.log1p(n) for f, n in counts.items())
-            severity = m.severity(counts)
-            toxic = bool(z > m.thresholds[0])
-            return doc_id, severity, max(int(toxic), min(GRADES - 1, round(severity))) if toxic else 0, toxic
+            z = m.latent(text)
+            severity, toxic = m.severity(z), bool(z > m.thresholds[0])
+            return doc_id, severity, max(1, round(severity)) if toxic else 0, toxic
 
         return one
 
