@@ -1,7 +1,7 @@
 """Toxicity: cumulative-link (proportional odds) regression over sparse text features.
 
 Grades 0 (clean) to 3 are ordered; P(grade <= j) = 1 / (1 + exp(w.x - t_j)) with one weight vector for all
-thresholds t_0 < t_1 < t_2. Features are hashed: the words of a text and their first five letters, valued
+thresholds t_0 < t_1 < t_2. Features are hashed: the words of a text and their first three, four and five letters, valued
 log(1 + count). The labels give toxic 0/1 only; a toxic text's grade grows with the number of its words that
 the sample ties to toxic texts (``GRADE_CUTS``), so the ordered thresholds are learned from data.
 
@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 
 from kestrel.llm.batches import id_and_text, map_rows, struct
 
-MAX_SAMPLE = 5000
+MAX_SAMPLE = 8000
 FEATURES = 1 << 18
-PREFIX = 5
+PREFIXES = (3, 4, 5)
 #: Grade 1 up to 2 telling words in a toxic text, grade 2 up to 5, grade 3 beyond.
 GRADE_CUTS = (2, 5)
 GRADES = len(GRADE_CUTS) + 2
@@ -36,10 +36,9 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def word_features(word: str) -> tuple[int, ...]:
-    """Hash bins of a word and, for longer words, of its first letters."""
+    """Hash bins of a word and of the beginnings that are shorter than it."""
     mask = FEATURES - 1
-    own = xxhash.xxh32_intdigest(word) & mask
-    return (own, xxhash.xxh32_intdigest("^" + word[:PREFIX]) & mask) if len(word) > PREFIX else (own,)
+    return (xxhash.xxh32_intdigest(word) & mask, *(xxhash.xxh32_intdigest("^" + word[:k]) & mask for k in PREFIXES if len(word) > k))
 
 
 class _Bins(dict):
@@ -85,15 +84,22 @@ def grades(toxic: np.ndarray, doc: np.ndarray, feature: np.ndarray, n: np.ndarra
     return np.where(toxic == 0, 0, 1 + np.searchsorted(GRADE_CUTS, hits, side="left"))
 
 
-def fit_ordinal(y: np.ndarray, doc: np.ndarray, feature: np.ndarray, n: np.ndarray, steps: int = 200, l2: float = 1e-4, rate: float = 0.1) -> Model:
-    """Weights and thresholds by Adam on the mean negative log-likelihood; features in 3 or more texts only."""
-    used = np.flatnonzero(np.bincount(feature, minlength=FEATURES) >= 3)
+def fit_ordinal(y: np.ndarray, doc: np.ndarray, feature: np.ndarray, n: np.ndarray, steps: int = 200, l2: float = 1e-3, rate: float = 0.05) -> Model:
+    """Weights and thresholds by Adam on the mean negative log-likelihood; features in 2 or more texts only.
+
+    Values are scaled by each feature's log-odds between toxic and clean texts (Wang and Manning 2012), so that few
+    labels are enough for words that only one side has."""
+    seen = np.bincount(feature, minlength=FEATURES)
+    bad = np.bincount(feature, weights=(y > 0)[doc], minlength=FEATURES)
+    n_bad = (y > 0).sum()
+    odds = np.log((bad + 0.5) / (n_bad + 1)) - np.log((seen - bad + 0.5) / (len(y) - n_bad + 1))
+    used = np.flatnonzero(seen >= 2)
     if not len(used) or not (y > 0).any():
         return Model(np.zeros(FEATURES, np.float32), np.full(GRADES - 1, 60.0))
     column = np.full(FEATURES, -1)
     column[used] = np.arange(len(used))
     some = column[feature] >= 0
-    doc, col, val = doc[some], column[feature[some]], np.log1p(n[some])
+    doc, col, val = doc[some], column[feature[some]], np.log1p(n[some]) * odds[feature[some]]
     n_docs, n_thresholds = len(y), GRADES - 1
     at = np.arange(n_docs)
     p = np.zeros(len(used) + n_thresholds)  # weights, first threshold, log gaps
@@ -116,7 +122,7 @@ def fit_ordinal(y: np.ndarray, doc: np.ndarray, feature: np.ndarray, n: np.ndarr
         p = p - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     raw = p[len(used):]
     weights = np.zeros(FEATURES, np.float32)
-    weights[used] = p[:len(used)]
+    weights[used] = p[:len(used)] * odds[used]
     return Model(weights, raw[0] + np.concatenate([[0.0], np.cumsum(np.exp(raw[1:]))]))
 
 
