@@ -21,7 +21,7 @@ INTENSIFIERS = ["definitely", "very", "extremely"]
 DIMINISHERS = ["somewhat", "barely", "rarely"]
 NEGATION_WEIGHT = -1.0
 INTENSIFIER_WEIGHT = 2.0
-DIMINISHER_WEIGHT = 0.5
+DIMINISHER_WEIGHT = 1.0 / INTENSIFIER_WEIGHT  # 0.5
 CAPS_WEIGHT = 2.0
 MIN_P_WORD = 1e-8
 
@@ -150,8 +150,8 @@ def running_weight_product(tokens: DataFrame, doc: str = "doc_id", pos: str = "p
     """Adds ``weight`` = product of the modifiers of all tokens up to and
     including this one in the document (W4); never reset inside a document.
 
-    The product is NEG^a * INT^b * DIM^c with a, b, c the running counts of
-    each modifier kind, so it is computed as a two-level prefix sum: counts
+    The product is (-1)^a * 2^(b - c) with a, b, c the running counts of
+    negations, intensifiers and diminishers, so it is computed as a two-level prefix sum: counts
     per (document, block of positions), an exclusive prefix over the blocks of
     each document, plus the running counts inside the block. No window holds
     more than one block or one document's block list, whatever the length of
@@ -169,10 +169,11 @@ def running_weight_product(tokens: DataFrame, doc: str = "doc_id", pos: str = "p
     t = t.select(*tokens.columns, "_blk", *[F.sum(cnt[k]).over(upto).alias(f"_c{k}") for k in "nid"])
     t = t.join(offsets, [doc, "_blk"])
 
-    def power(base: float, k: str) -> Column:
-        return F.pow(F.lit(base), (F.col(f"_o{k}") + F.col(f"_c{k}")).cast("double"))
-
-    weight = power(NEGATION_WEIGHT, "n") * power(INTENSIFIER_WEIGHT, "i") * power(DIMINISHER_WEIGHT, "d")
+    # sign from the parity of the negations, magnitude from the difference of the exponents: intensifiers and
+    # diminishers are powers of one base, and inf * 0 never arises
+    count = {k: F.col(f"_o{k}") + F.col(f"_c{k}") for k in "nid"}
+    sign = F.when(F.pmod(count["n"], F.lit(2)) == 1, F.lit(NEGATION_WEIGHT)).otherwise(F.lit(1.0))
+    weight = sign * F.pow(F.lit(INTENSIFIER_WEIGHT), (count["i"] - count["d"]).cast("double"))
     return t.select(*tokens.columns, weight.alias("weight"))
 
 

@@ -71,8 +71,8 @@ def parse_log(lines: DataFrame, domains: dict[str, str] | None = None, mode: str
         ts_text.alias("timestamp"),
         F.try_to_timestamp(ts_text, F.lit(TS_FORMAT)).alias("event_time"),
         F.regexp_extract("value", r'.*"(.*)".*', 1).alias("request"),
-        F.element_at(parts, -2).try_cast("int").alias("status"),
-        F.element_at(parts, -1).try_cast("int").alias("bytes"),
+        F.try_element_at(parts, F.lit(-2)).try_cast("int").alias("status"),
+        F.try_element_at(parts, F.lit(-1)).try_cast("int").alias("bytes"),
     ]
     if keep_value:
         cols.append("value")
@@ -110,7 +110,11 @@ def rank_within_group(df: DataFrame, group: list[str], order: list[Column], k: i
 
 def top_hosts(parsed: DataFrame, k: int = 9) -> DataFrame:
     """(country, host, requests, rank) for the k busiest hosts of each country."""
-    counts = count_by_host(parsed)
+    return top_of_counts(count_by_host(parsed), k)
+
+
+def top_of_counts(counts: DataFrame, k: int) -> DataFrame:
+    """The k busiest hosts of each country from (country, host, requests)."""
     return rank_within_group(counts, ["country"], [F.desc("requests"), F.asc("host")], k)
 
 
@@ -120,8 +124,10 @@ def top_plus_rest(parsed: DataFrame, k: int = 9) -> DataFrame:
 
     Output: (country, host, requests, share_pct, rank) with rank k+1 for rest.
     """
-    top = top_hosts(parsed, k)
-    totals = count_by_country(parsed).withColumnRenamed("requests", "total")
+    # both branches read the same counts per host: one scan, and the second use of its exchange is free
+    counts = count_by_host(parsed)
+    top = top_of_counts(counts, k)
+    totals = counts.groupBy("country").agg(F.sum("requests").alias("total"))
     top_sum = top.groupBy("country").agg(F.sum("requests").alias("top_requests"))
     # one row per country on both sides: the join input is bounded by the
     # number of domains, so broadcasting it is safe
@@ -140,14 +146,22 @@ def day_hour_grid(parsed: DataFrame, hosts: DataFrame | None = None, days: int =
     """Requests by (day of month 1..days, hour 0..23) for one host per country,
     zeros included. ``hosts`` (country, host) defaults to each country's
     busiest host, computed here rather than typed in."""
+    cells = extract_day_hour(parsed).groupBy("country", "host", "day", "hour").agg(F.count(F.lit(1)).alias("requests"))
     if hosts is None:
-        # one host per country: bounded by the number of domains
-        hosts = F.broadcast(top_hosts(parsed, 1).select("country", "host"))
+        # one scan: a host's cells travel as one array (at most days x 24 and a null cell), its total is their sum
+        per_host = cells.groupBy("country", "host").agg(
+            F.sum("requests").alias("total"), F.collect_list(F.struct("day", "hour", "requests")).alias("cells"))
+        top = per_host.groupBy("country").agg(F.min_by(F.struct("host", "cells"), F.struct(-F.col("total"), F.col("host"))).alias("t"))
+        found = F.map_from_entries(F.transform(
+            F.filter("t.cells", lambda c: c["day"].isNotNull() & c["hour"].isNotNull()),
+            lambda c: F.struct((c["day"] * 24 + c["hour"]).alias("key"), c["requests"].alias("value"))))
+        grid = (top.select("country", F.col("t.host").alias("host"), found.alias("found"), F.explode(F.sequence(F.lit(1), F.lit(days))).alias("day"))
+                .select("country", "host", "found", "day", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour")))
+        at = F.try_element_at("found", F.col("day") * 24 + F.col("hour"))
+        return grid.select("country", "host", "day", "hour", F.coalesce(at, F.lit(0)).cast("bigint").alias("requests"))
     hosts = hosts.select("country", "host")
     # a caller's host list has no bound here: the planner and AQE pick the join
-    sel = parsed.join(hosts, ["country", "host"], "left_semi")
-    counts = (extract_day_hour(sel).groupBy("country", "host", "day", "hour")
-              .agg(F.count(F.lit(1)).alias("requests")))
+    counts = cells.join(hosts, ["country", "host"], "left_semi")
     grid = (hosts.select("country", "host", F.explode(F.sequence(F.lit(1), F.lit(days))).alias("day"))
             .select("country", "host", "day", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour")))
     return (grid.join(counts, ["country", "host", "day", "hour"], "left")

@@ -212,27 +212,26 @@ def q_gold_pairs(spark, sf):
     return fx.gold(spark, sf)
 
 
-@register("scan_pairs", fx.with_views(["gold"], "SELECT CAST(qid AS INTEGER) AS qid, CAST(docid AS INTEGER) AS docid "
+@register("scan_pairs", fx.with_views(["gold"], "SELECT CAST(qid AS BIGINT) AS qid, CAST(docid AS BIGINT) AS docid "
                                                 "FROM gold"))
 def q_scan_pairs(spark, sf):
     """Gold pairs written as a zero-padded ``qid docid`` text file with a
     comment line, read back by the pair scanner."""
     g = fx.gold(spark, sf)
     path = scratch_path(spark, "gold")
-    lines = g.select(F.concat_ws(" ", F.lpad(F.col("qid").cast("string"), 3, "0"),
-                                 F.lpad(F.col("docid").cast("string"), 5, "0")).alias("value"))
+    lines = g.select(F.concat_ws(" ", F.format_string("%03d", "qid"),
+                                 F.format_string("%05d", "docid")).alias("value"))
     lines.unionByName(spark.range(1).select(F.lit("# THE END").alias("value"))).write.mode("overwrite").text(path)
     return scan_pairs(spark, path).select("qid", "docid")
 
 
-@register("write_ranked_run", _esql("SELECT CAST(qid AS INTEGER) AS qid, CAST(docid AS INTEGER) AS docid, rank FROM rr"))
+@register("write_ranked_run", _esql("SELECT CAST(qid AS BIGINT) AS qid, CAST(docid AS BIGINT) AS docid, rank FROM rr"))
 def q_write_ranked_run(spark, sf):
     """The tf-idf run written as ``qid docid`` lines and read back; the rank
     is recovered from file and line order."""
     path = scratch_path(spark, "run")
     write_ranked_run(_run(spark, sf).withColumnRenamed("line_no", "rank"), path)
-    back = scan_pairs(spark, path).withColumn("src", F.input_file_name())
-    r = ev.run_ranks(back, ("src", "line_no"))
+    r = ev.run_ranks(scan_pairs(spark, path))
     return r.select("qid", "docid", F.col("rank").cast("int").alias("rank"))
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,13 @@ def _decode(value, encoding: str):
     return F.decode(value.cast("binary"), encoding)
 
 
+def _line_order(*before) -> Column:
+    """Position of a line in a scan: ``before``, then file, place of the split in its file, and line in the split.
+    A bare row number would follow the order in which Spark packs splits, which is by size."""
+    return F.struct(*before, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("line"))
+
+
 def scan_text_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = "utf-8",
                     partitions: int | None = None) -> DataFrame:
     """One row per line, column ``value``. Gzip input is one task per file, so
@@ -60,7 +67,8 @@ def scan_csv_noheader(spark: SparkSession, path: str, n_features: int,
 def scan_labelled_text(spark: SparkSession, path: str, columns: Sequence[str],
                        label: str = "label") -> DataFrame:
     """CSV of (text, label) or (label, text) in caller order; quoted fields may
-    span lines (S4)."""
+    span lines (S4). Such a file can't be split, so each is one task: keep large
+    collections as many files, or as Parquet with one record a row."""
     fields = [T.StructField(c, T.IntegerType() if c == label else T.StringType()) for c in columns]
     return (spark.read.schema(T.StructType(fields)).option("header", False)
             .option("multiLine", True).option("quote", '"').option("escape", '"').csv(path))
@@ -70,20 +78,19 @@ def scan_class_files(spark: SparkSession, files: dict[str, str], encoding: str =
                      encodings: dict[str, str] | None = None) -> DataFrame:
     """One sentence per line, label from the file.
 
-    Output (text, label, src_order): ``src_order`` increases with file order and
-    line order, so a later duplicate can win (W7).
+    Output (text, label, src_order): ``src_order`` sorts by file order and line
+    order, also within a folder of files, so a later duplicate can win (W7).
     """
     parts = []
     for i, (path, label) in enumerate(files.items()):
         enc = (encodings or {}).get(path, encoding)
-        df = scan_text_lines(spark, path, enc).select(
-            F.col("value").alias("text"), F.lit(label).alias("label"), F.lit(i).alias("file_no"))
+        df = spark.read.text(path).select(_decode(F.col("value"), enc).alias("text"), F.lit(label).alias("label"),
+                                          _line_order(F.lit(i).alias("file_no")).alias("src_order"))
         parts.append(df)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    # monotonically increasing within the union: partition order follows file order
-    return out.withColumn("src_order", F.monotonically_increasing_id()).drop("file_no")
+    return out
 
 
 def scan_lexicon(spark: SparkSession, files: dict[str, int], comment: str = ";",
@@ -111,19 +118,19 @@ def lexicon_last_wins(words: DataFrame) -> DataFrame:
 
 
 def scan_pairs(spark: SparkSession, path: str | Sequence[str], names: tuple[str, str] = ("qid", "docid")) -> DataFrame:
-    """Whitespace pair file (S7): blank and ``#`` lines skipped, ids cast to int
-    (``01`` is 1), any other arity fails the job. ``line_no`` keeps file order,
-    which is the rank order of a run file."""
+    """Whitespace pair file (S7): blank and ``#`` lines skipped, ids cast to
+    bigint (``01`` is 1), any other arity fails the job. ``line_no`` sorts by file
+    name and line, which is the rank order of a run, be it a file or a folder."""
     lines = spark.read.text(path if isinstance(path, str) else list(path))
-    lines = lines.withColumn("line_no", F.monotonically_increasing_id())
+    lines = lines.select("value", _line_order().alias("line_no"))
     kept = lines.where(~F.col("value").rlike(r"^\s*($|#)"))
     toks = F.split(F.trim(F.col("value")), r"\s+")
     checked = kept.select(
         F.when(F.size(toks) == 2, toks).otherwise(
             F.raise_error(F.concat(F.lit("bad line in pair file: <"), F.col("value"), F.lit(">")))
         ).alias("t"), "line_no")
-    return checked.select(F.col("t")[0].cast("int").alias(names[0]),
-                          F.col("t")[1].cast("int").alias(names[1]), "line_no")
+    return checked.select(F.col("t")[0].cast("bigint").alias(names[0]),
+                          F.col("t")[1].cast("bigint").alias(names[1]), "line_no")
 
 
 def scan_embeddings(spark: SparkSession, path: str, vocab: DataFrame, dim: int,
@@ -132,13 +139,11 @@ def scan_embeddings(spark: SparkSession, path: str, vocab: DataFrame, dim: int,
     (S9). Repeated words are summed; vocabulary words without a row get the
     zero vector."""
     parts = F.split(F.trim(F.col("value")), " ")
-    raw = spark.read.text(path).select(
-        parts[0].alias(word_col), F.posexplode(F.slice(parts, 2, dim)).alias("i", "x"))
-    summed = (raw.join(vocab.select(word_col), word_col, "left_semi")
-              .groupBy(word_col, "i").agg(F.sum(F.col("x").cast("double")).alias("x")))
-    vec = (summed.groupBy(word_col)
-           .agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("p"))
-           .select(word_col, F.transform("p", lambda s: s["x"].cast("float")).alias("vector")))
+    raw = spark.read.text(path).select(parts[0].alias(word_col), F.transform(F.slice(parts, 2, dim), lambda x: x.cast("double")).alias("x"))
+    known = raw.join(vocab.select(word_col), word_col, "left_semi")
+    # one row a word: sums of the places, not a row for each word and place
+    vec = known.groupBy(word_col).agg(*(F.sum(F.get("x", F.lit(i))).alias(f"_x{i}") for i in range(dim))).select(
+        word_col, F.array(*(F.coalesce(f"_x{i}", F.lit(0.0)).cast("float") for i in range(dim))).alias("vector"))
     zero = F.array_repeat(F.lit(0.0).cast("float"), dim)
     return (vocab.select(word_col).join(vec, word_col, "left")
             .select(word_col, F.coalesce(F.col("vector"), zero).alias("vector")))
