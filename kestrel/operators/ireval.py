@@ -80,14 +80,11 @@ def precision_at_hits(run: DataFrame, gold: DataFrame, n: int | None = None,
         "qid", "hit_no", "rank", (F.col("hit_no") / F.col("rank")).alias("precision"))
 
 
-def interpolated_precision(run: DataFrame, gold: DataFrame, points: int = 10, n: int | None = None,
-                           order_cols: Sequence[str] = ("line_no",)) -> DataFrame:
-    """(qid, point, precision) for recall points 0..P of every query (E5).
-
-    Hit i of a query with R relevant documents goes to point floor(i*P/R);
-    each point keeps its best precision, then takes the maximum of all points
-    to its right (W6). The point grid is generated per query (no join).
-    """
+def best_at_points(run: DataFrame, gold: DataFrame, points: int = 10, n: int | None = None,
+                   order_cols: Sequence[str] = ("line_no",)) -> DataFrame:
+    """(qid, point, p): best precision of the hits at recall points 0..P of every
+    query. Hit i of a query with R relevant documents goes to point floor(i*P/R);
+    the point grid is generated per query (no join)."""
     pah = precision_at_hits(run, gold, n, order_cols)
     rel = gold.select("qid", "docid").distinct().groupBy("qid").agg(F.count(F.lit(1)).alias("relevant"))
     best = (pah.join(rel, "qid")
@@ -95,9 +92,21 @@ def interpolated_precision(run: DataFrame, gold: DataFrame, points: int = 10, n:
                     "precision")
             .groupBy("qid", "point").agg(F.max("precision").alias("p")))
     grid = all_qids(run, gold).select("qid", F.explode(F.sequence(F.lit(0), F.lit(points))).alias("point"))
-    cells = grid.join(best, ["qid", "point"], "left").withColumn("p", F.coalesce("p", F.lit(0.0)))
-    w = Window.partitionBy("qid").orderBy("point").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    return cells.select("qid", "point", F.max("p").over(w).alias("precision"))
+    return grid.join(best, ["qid", "point"], "left").withColumn("p", F.coalesce("p", F.lit(0.0)))
+
+
+def suffix_max(df: DataFrame, group: str, order: str, value: str, out: str = "suffix_max") -> DataFrame:
+    """Adds the maximum of ``value`` over this row and all later ones of its group."""
+    w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    return df.withColumn(out, F.max(value).over(w))
+
+
+def interpolated_precision(run: DataFrame, gold: DataFrame, points: int = 10, n: int | None = None,
+                           order_cols: Sequence[str] = ("line_no",)) -> DataFrame:
+    """(qid, point, precision) for recall points 0..P of every query (E5): the best
+    precision at the point or any point to its right."""
+    cells = suffix_max(best_at_points(run, gold, points, n, order_cols), "qid", "point", "p", "precision")
+    return cells.select("qid", "point", "precision")
 
 
 def interpolated_precision_avg(run: DataFrame, gold: DataFrame, points: int = 10, n: int | None = None,

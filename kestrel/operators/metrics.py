@@ -37,34 +37,30 @@ def confusion_matrix(pred: DataFrame, label: str = "label", prediction: str = "p
         F.count(F.lit(1)).alias("n"))
 
 
-def prf_per_class(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """(class, precision, recall, f1, support) from confusion counts."""
-    y, p = F.col(label), F.col(prediction)
-    # per class: true positives, predicted count, actual count -- from two
-    # small aggregations joined on the class
-    actual = pred.groupBy(y.alias("class")).agg(F.count(F.lit(1)).alias("support"),
-                                                F.count_if(y == p).alias("tp"))
-    predicted = pred.groupBy(p.alias("class")).agg(F.count(F.lit(1)).alias("n_pred"))
-    j = actual.join(predicted, "class", "full_outer").fillna(0, ["support", "tp", "n_pred"])
-    prec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("n_pred").cast("double")), F.lit(0.0))
-    rec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support").cast("double")), F.lit(0.0))
-    j = j.select("class", prec.alias("precision"), rec.alias("recall"), "support")
-    f1 = F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")),
-                    F.lit(0.0))
-    return j.withColumn("f1", f1)
+def _class_counts(pred: DataFrame, label: str, prediction: str) -> DataFrame:
+    """(class, support, n_pred, tp) from one count of the confusion cells."""
+    cells = confusion_matrix(pred, label, prediction)
+    n, zero = F.col("n"), F.lit(0).cast("long")
+    same = F.when(F.col("label").cast("double") == F.col("prediction").cast("double"), n).otherwise(zero)
+    sides = F.array(
+        F.struct(F.col("label").cast("double").alias("class"), n.alias("support"), zero.alias("n_pred"), same.alias("tp")),
+        F.struct(F.col("prediction").cast("double").alias("class"), zero.alias("support"), n.alias("n_pred"), zero.alias("tp")))
+    return cells.select(F.inline(sides)).groupBy("class").agg(*(F.sum(c).alias(c) for c in ("support", "n_pred", "tp")))
 
 
-def prf_macro(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """One row: accuracy and macro precision / recall / F1 (V7)."""
-    per = prf_per_class(pred, label, prediction).agg(
-        F.avg("precision").alias("macro_precision"), F.avg("recall").alias("macro_recall"),
-        F.avg("f1").alias("macro_f1"))
-    return _one_row_join(accuracy(pred, label, prediction), per)
+def prf_per_class(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """(class, precision, recall, f1, support, tp) from confusion counts."""
+    ratio = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
+    j = _class_counts(pred, label, prediction).select(
+        "class", ratio(F.col("tp"), F.col("n_pred")).alias("precision"), ratio(F.col("tp"), F.col("support")).alias("recall"), "support", "tp")
+    return j.withColumn("f1", ratio(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
 
 
-def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    # both sides are single-row aggregates: join on a constant key
-    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+def prf_macro(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """One row: accuracy and macro precision / recall / F1 (V7), one pass over the predictions."""
+    return prf_per_class(pred, label, prediction).agg(
+        F.try_divide(F.sum("tp").cast("double"), F.sum("support").cast("double")).alias("accuracy"),
+        F.avg("precision").alias("macro_precision"), F.avg("recall").alias("macro_recall"), F.avg("f1").alias("macro_f1"))
 
 
 def log_loss(df: DataFrame, p_true: str, eps: float = 1e-15) -> DataFrame:
@@ -73,14 +69,6 @@ def log_loss(df: DataFrame, p_true: str, eps: float = 1e-15) -> DataFrame:
     return df.agg(F.avg(-F.log(p)).alias("log_loss"))
 
 
-def true_class_probability(pred: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:
-    """Adds ``p_true`` = probability of the labelled class from an ML
-    probability vector (not the maximum probability)."""
-    from pyspark.ml.functions import vector_to_array
-
-    return pred.withColumn("p_true", F.element_at(vector_to_array(probability), F.col(label).cast("int") + 1))
-
-
 def top_features(spark: SparkSession, weights: Sequence[float], names: Sequence[str], k: int = 3,
                  group: str | None = None) -> DataFrame:
     """(feature, weight, rank) of the k largest absolute weights or importances

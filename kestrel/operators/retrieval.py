@@ -1,25 +1,23 @@
 """Document retrieval (S8, A12, A13, J5, J6, R1-R5) and passage containment.
 
-The index is a long postings table ``(term, docid, tf)``. A query batch is
-``(qid, term, qtf)``. Scoring is term-at-a-time as joins: query terms x
-postings on ``term`` -> partial sums by (qid, docid) -> join with document
-norms -> top-k per query. Document norms are computed once for the whole
-collection, not per query.
+The index is a long postings table ``(term, docid, tf)`` written in term buckets,
+with document frequencies, norms and the collection size beside it. A query batch
+is ``(qid, term, qtf)``. Scoring is term-at-a-time as joins: query terms x postings
+on bucket and term -> partial sums by (qid, docid) -> join with document norms ->
+top-k per query.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kestrel.functions import WORD_PATTERN, word_tokens
-from kestrel.operators.text import bounded_broadcast, remove_stopwords
-
-# Query batches are small next to the collection; up to this many query-term
-# rows are broadcast to the postings scan, more go through a shuffle join.
-QUERY_BROADCAST_ROWS = 1_000_000
+from kestrel.operators.text import remove_stopwords
 
 
 def terms(df: DataFrame, id_col: str, text: str = "text", stopwords: Sequence[str] | None = None,
@@ -39,11 +37,42 @@ def build_postings(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     return t.groupBy("term", "docid").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def write_postings(postings: DataFrame, path: str, buckets: int = 64) -> None:
-    """Persist the index as Parquet, partitioned by a term hash bucket so a
-    query batch reads only the buckets of its terms."""
-    (postings.withColumn("term_bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)))
-     .repartition("term_bucket").write.mode("overwrite").partitionBy("term_bucket").parquet(path))
+BUCKETS = 64
+SALTS = 16
+
+
+def _bucket(term: str = "term") -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
+
+
+@dataclass(frozen=True)
+class Index:
+    """Postings with their statistics: ``postings`` (term_bucket, term, docid, tf), ``terms`` (term_bucket, term, df),
+    ``norms`` (docid, binary, tf, tfidf: squared norms) and the number of documents."""
+
+    postings: DataFrame
+    terms: DataFrame
+    norms: DataFrame
+    n_docs: int
+
+
+def write_index(postings: DataFrame, path: str) -> Index:
+    """Write the index under ``path`` and return it. Postings lie in one folder for each term bucket, spread over
+    ``SALTS`` tasks by document, so that a frequent term is not one task; df, norms and N are kept beside them."""
+    spark = postings.sparkSession
+    (postings.withColumn("term_bucket", _bucket()).repartition(F.col("term_bucket"), F.pmod(F.xxhash64("docid"), F.lit(SALTS)))
+     .write.partitionBy("term_bucket").parquet(f"{path}/postings"))
+    stored = spark.read.schema(T.StructType([*postings.schema.fields, T.StructField("term_bucket", T.IntegerType())])).parquet(f"{path}/postings")
+    stored.groupBy("term_bucket", "term").agg(F.count(F.lit(1)).alias("df")).write.parquet(f"{path}/terms")
+    terms_ = spark.read.schema("term_bucket int, term string, df long").parquet(f"{path}/terms")
+    n = n_documents(stored)
+    idf = terms_.select("term", F.log(F.lit(float(max(n, 1))) / F.col("df")).alias("idf"))
+    w = F.col("tf") * F.col("idf")
+    stored.join(idf, "term").groupBy("docid").agg(
+        F.count(F.lit(1)).cast("double").alias("binary"), F.sum(F.col("tf") * F.col("tf")).cast("double").alias("tf"),
+        F.sum(w * w).alias("tfidf")).write.parquet(f"{path}/norms")
+    norms = spark.read.schema("docid " + dict(postings.dtypes)["docid"] + ", binary double, tf double, tfidf double").parquet(f"{path}/norms")
+    return Index(stored, terms_, norms, n)
 
 
 def query_terms(queries: DataFrame, id_col: str = "qid", text: str = "text",
@@ -78,13 +107,7 @@ def doc_norms(postings: DataFrame, weighting: str, idf: DataFrame | None = None)
     return w.groupBy("docid").agg(F.sum(F.col("w") * F.col("w")).alias("norm_sq"))
 
 
-def _qbroadcast(qt: DataFrame) -> DataFrame:
-    n = qt.count()
-    return bounded_broadcast(qt, n if n <= QUERY_BROADCAST_ROWS else None)
-
-
-def score(postings: DataFrame, qterms: DataFrame, weighting: str = "tfidf", mode: str = "fixed",
-          n_docs: int | None = None) -> DataFrame:
+def score(index: Index, qterms: DataFrame, weighting: str = "tfidf", mode: str = "fixed") -> DataFrame:
     """(qid, docid, score) for every document sharing a term with the query.
 
     * binary: |q terms in d| / sqrt(|d|); ``mode='literal'`` reproduces the
@@ -93,43 +116,46 @@ def score(postings: DataFrame, qterms: DataFrame, weighting: str = "tfidf", mode
     * tf: sum over query tokens of tf / sqrt(sum tf^2);
     * tfidf: sum qtf * idf * tf * idf / sqrt(sum (tf idf)^2); ``mode='literal'``
       uses qtf^2 (a repeated query term counted once per repeat).
+
+    Only the folders of the query terms' buckets are read; the join carries the
+    bucket, and hot terms are split by AQE's skew handling.
     """
-    qt = _qbroadcast(qterms)
-    hits = postings.join(qt, "term")  # J5: term-at-a-time
+    qt = qterms.withColumn("term_bucket", _bucket())
+    wanted = [r[0] for r in qt.select("term_bucket").distinct().collect()]  # at most BUCKETS values
+    here = F.col("term_bucket").isin(wanted) if wanted else F.lit(False)
+    on = ["term_bucket", "term"]
+    hits = index.postings.where(here).join(qt, on)  # J5: term-at-a-time
+    norm = F.col(weighting)
     if weighting == "binary":
         if mode == "literal":
-            num = hits.groupBy("qid", "docid").agg(
-                F.when(F.sum("qtf") >= 2, F.lit(1.0)).otherwise(F.lit(0.0)).alias("num"))
-            norms = postings.groupBy("docid").agg(
-                F.when(F.count(F.lit(1)) >= 2, F.lit(1.0)).otherwise(F.lit(0.0)).alias("norm_sq"))
+            value = F.when(F.sum("qtf") >= 2, F.lit(1.0)).otherwise(F.lit(0.0))
+            norm = F.when(F.col("binary") >= 2, F.lit(1.0)).otherwise(F.lit(0.0))
         else:
-            num = hits.groupBy("qid", "docid").agg(F.count(F.lit(1)).cast("double").alias("num"))
-            norms = doc_norms(postings, "binary")
+            value = F.count(F.lit(1)).cast("double")
     elif weighting == "tf":
-        num = hits.groupBy("qid", "docid").agg(F.sum(F.col("qtf") * F.col("tf")).cast("double").alias("num"))
-        norms = doc_norms(postings, "tf")
+        value = F.sum(F.col("qtf") * F.col("tf")).cast("double")
     else:
-        n = n_docs if n_docs is not None else n_documents(postings)
-        idf = idf_ln(postings, n)
+        idf = index.terms.where(here).join(qt.select(*on).distinct(), on).select(
+            *on, F.log(F.lit(float(max(index.n_docs, 1))) / F.col("df")).alias("idf"))
+        hits = index.postings.where(here).join(qt.join(idf, on), on)
         qpow = F.col("qtf") * F.col("qtf") if mode == "literal" else F.col("qtf")
-        num = (hits.join(idf, "term").groupBy("qid", "docid")
-               .agg(F.sum(qpow * F.col("idf") * F.col("idf") * F.col("tf")).alias("num")))
-        norms = doc_norms(postings, "tfidf", idf)
-    # Numerator x document norm
-    j = num.join(norms, "docid")
+        value = F.sum(qpow * F.col("idf") * F.col("idf") * F.col("tf"))
+    num = hits.groupBy("qid", "docid").agg(value.alias("num"))
+    j = num.join(index.norms.select("docid", norm.alias("norm_sq")), "docid")  # J6: numerator x document norm
     return j.select("qid", "docid", F.try_divide(F.col("num"), F.sqrt("norm_sq")).alias("score"))
 
 
 def rank_top(scores: DataFrame, k: int = 10) -> DataFrame:
     """(qid, docid, score, rank): best k per query, ties by docid.
     ``row_number <= k`` is cut per task before the shuffle (WindowGroupLimit)."""
-    w = Window.partitionBy("qid").orderBy(F.desc_nulls_last("score"), F.asc("docid"))
+    # rounded, so that documents of equal weight tie whatever the order of summation
+    w = Window.partitionBy("qid").orderBy(F.desc_nulls_last(F.round("score", 9)), F.asc("docid"))
     return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def retrieve(postings: DataFrame, qterms: DataFrame, weighting: str = "tfidf", k: int = 10,
+def retrieve(index: Index, qterms: DataFrame, weighting: str = "tfidf", k: int = 10,
              mode: str = "fixed") -> DataFrame:
-    return rank_top(score(postings, qterms, weighting, mode), k)
+    return rank_top(score(index, qterms, weighting, mode), k)
 
 
 # ------------------------------------------------------------------ containment
@@ -145,9 +171,10 @@ def containing_documents(passages: DataFrame, docs: DataFrame, key_len: int = 3,
 
     A document containing the passage contains every *interior* token of the
     passage (one with a non-word character on both sides) as a complete token,
-    in order. So the first ``key_len`` interior tokens form an exact join key
-    against the token k-grams of the documents; candidates are then verified
-    with ``contains`` on the full texts.
+    in order. So every run of ``key_len`` interior tokens is an exact join key
+    against the token k-grams of the documents, and the rarest one of a passage
+    is used: a common opening phrase does not pair it with every document that
+    has the phrase. Candidates are verified with ``contains`` on the full texts.
 
     A passage without an interior token (at most two tokens, no delimiter
     around them) is keyed instead by its first ``CHAR_KEY`` characters against
@@ -156,35 +183,39 @@ def containing_documents(passages: DataFrame, docs: DataFrame, key_len: int = 3,
     """
     p = passages.select(F.col(pid).alias("qid"), F.col("text").alias("ptext"))
     inner = F.regexp_extract_all(F.col("ptext"), F.lit(_INTERIOR), 0)
-    keyed = p.select("qid", "ptext", inner.alias("inner")).where(F.size("inner") > 0)
-    keyed = keyed.select("qid", "ptext", F.least(F.size("inner"), F.lit(key_len)).alias("k"),
-                         F.array_join(F.slice("inner", 1, key_len), " ").alias("key"))
-    ks = [r.k for r in keyed.select("k").distinct().collect()]  # at most key_len values
-    d = docs.select(F.col(did).alias("docid"), word_tokens("text").alias("toks"))
-    grams = None
-    for k in ks:
-        g = d.select("docid", F.explode(_kgrams(k)).alias("key")).withColumn("k", F.lit(k))
-        grams = g if grams is None else grams.unionByName(g)
-    if grams is None:
-        return p.select(F.col("qid"), F.lit(None).cast("long").alias("docid")).where(F.lit(False))
-    n_keys = keyed.count()
-    cand = (grams.join(bounded_broadcast(keyed.select("qid", "k", "key"), n_keys), ["k", "key"])
-            .select("qid", "docid").distinct())
     texts = docs.select(F.col(did).alias("docid"), F.col("text").alias("dtext"))
-    ver = (cand.join(texts, "docid").join(bounded_broadcast(keyed.select("qid", "ptext"), n_keys), "qid")
-           .where(F.contains(F.col("dtext"), F.col("ptext"))))
-    out = ver.select("qid", "docid")
+    short = F.least(F.size("toks"), F.lit(key_len))
+    runs = p.select("qid", inner.alias("toks")).where(F.size("toks") > 0).withColumn("k", short)
+    ks = [r.k for r in runs.select("k").distinct().collect()]  # at most key_len values
+    out = p.join(texts.limit(0), F.lit(False)).select("qid", "docid") if not ks else None
+    if ks:
+        pick = F.lit(None).cast("array<string>")
+        for k in ks:
+            pick = F.when(F.col("k") == k, _kgrams(k)).otherwise(pick)
+        keys = runs.select("qid", "k", F.explode(F.array_distinct(pick)).alias("key"))
+        d = docs.select(F.col(did).alias("docid"), word_tokens("text").alias("toks"))
+        grams = None
+        for k in ks:
+            g = d.select("docid", F.explode(F.array_distinct(_kgrams(k))).alias("key")).withColumn("k", F.lit(k))
+            grams = g if grams is None else grams.unionByName(g)
+        found = grams.join(keys.select("k", "key").distinct(), ["k", "key"])
+        often = found.groupBy("k", "key").agg(F.count(F.lit(1)).alias("n"))
+        # a key that no document has is the rarest of all: its passage has no document
+        rarest = (keys.join(often, ["k", "key"], "left").groupBy("qid")
+                  .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "k", "key")).alias("best")).select("qid", "best.k", "best.key"))
+        cand = found.join(rarest, ["k", "key"]).select("qid", "docid").distinct()
+        ver = cand.join(texts, "docid").join(p, "qid").where(F.contains(F.col("dtext"), F.col("ptext")))
+        out = ver.select("qid", "docid")
     loose = p.where((F.size(inner) == 0) & (F.length("ptext") > 0))
-    n_loose = loose.count()
-    if n_loose:
-        out = out.unionByName(_contain_by_chars(loose, texts, n_loose))
+    if loose.head(1):
+        out = out.unionByName(_contain_by_chars(loose, texts))
     return out
 
 
 CHAR_KEY = 3
 
 
-def _contain_by_chars(passages: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+def _contain_by_chars(passages: DataFrame, texts: DataFrame) -> DataFrame:
     """Exact containment for passages that token keys cannot reach: join the
     passage's leading character gram (length min(len, CHAR_KEY)) with the
     distinct character grams of that length in each document, verify with
@@ -198,8 +229,8 @@ def _contain_by_chars(passages: DataFrame, texts: DataFrame, n: int) -> DataFram
         g = texts.where(F.length("dtext") >= k).select(
             "docid", F.explode(F.array_distinct(F.transform(idx, _char_at(k)))).alias("key")).withColumn("k", F.lit(k))
         grams = g if grams is None else grams.unionByName(g)
-    cand = grams.join(bounded_broadcast(keyed.select("qid", "k", "key"), n), ["k", "key"]).select("qid", "docid")
-    ver = (cand.distinct().join(texts, "docid").join(bounded_broadcast(keyed.select("qid", "ptext"), n), "qid")
+    cand = grams.join(keyed.select("qid", "k", "key"), ["k", "key"]).select("qid", "docid")
+    ver = (cand.distinct().join(texts, "docid").join(keyed.select("qid", "ptext"), "qid")
            .where(F.contains(F.col("dtext"), F.col("ptext"))))
     return ver.select("qid", "docid")
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions import alpha_tokens, word_tokens
@@ -35,16 +35,11 @@ STOPWORDS_NLP2 = ['a', 'in', 'on', 'at', 'and', 'or',
                   'but', 'not', 'there', 'no', 'does', 'not', 'so', 've', 'their',
                   'his', 'her', 'they', 'them', 'from', 'with', 'its']
 
-# Largest side that is broadcast on the strength of a known bound.
-BROADCAST_ROWS = 2_000_000
-
-
 def bounded_broadcast(df: DataFrame, bound: int | None) -> DataFrame:
-    """Broadcast ``df`` only when its row count is known to be at most
-    ``BROADCAST_ROWS`` (a vocabulary cut to top-N, a fixed word list). Without
-    such a bound the join is left to the planner and AQE, which switch to a
-    broadcast at run time only when the measured size is small."""
-    return F.broadcast(df) if bound is not None and bound <= BROADCAST_ROWS else df
+    """Broadcast ``df`` when the caller has cut it to a constant number of rows (a
+    top-N vocabulary, a fixed word list). Without such a bound the join is left to
+    the planner and AQE, which broadcast only what they have measured to be small."""
+    return F.broadcast(df) if bound is not None else df
 
 
 def tokenize(df: DataFrame, text: str = "text", pattern: str = "words", lower: bool = False,
@@ -134,12 +129,6 @@ def collection_size(df: DataFrame, doc: str = "doc_id") -> int:
     return df.select(doc).distinct().count()
 
 
-# Up to this many entries a top-N vocabulary is cut by a top-k plan (each task
-# keeps its best N, one task merges at most N x tasks rows); beyond it the
-# distributed global ordinal ranks the candidates.
-TOP_N_MERGE = 100_000
-
-
 def build_vocab(feats: DataFrame, min_df: int = 0, keep_top_n: int = 0, mode: str = "count",
                 doc: str = "doc_id", feature: str = "feature") -> DataFrame:
     """Vocabulary (F7) with (feature, count, df, rank), rank 1 = most frequent.
@@ -147,20 +136,20 @@ def build_vocab(feats: DataFrame, min_df: int = 0, keep_top_n: int = 0, mode: st
     * ``mode='count'``: raw count > min_df, the first ``keep_top_n`` by count;
     * ``mode='docfreq'``: document frequency >= min_df, intersected with the
       top ``keep_top_n`` by raw count.
-    Ties are broken by the feature text. ``keep_top_n=0`` keeps all.
+    Ties are broken by the feature text. ``keep_top_n=0`` keeps all. One plan for
+    every size: candidates are ranked by the distributed global ordinal.
     """
+    return vocab_of_counts(term_frequency(feats, doc, feature), min_df, keep_top_n, mode, feature)
+
+
+def vocab_of_counts(tf: DataFrame, min_df: int = 0, keep_top_n: int = 0, mode: str = "count",
+                    feature: str = "feature") -> DataFrame:
+    """``build_vocab`` from (doc, feature, tf) counts that are there already."""
     from kestrel.operators.splits import ordinal_by
 
-    stats = document_frequency(feats, doc, feature)
-    order = [F.desc("count"), F.asc(feature)]
+    stats = tf.groupBy(feature).agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("count"))
     if mode == "count":
         stats = stats.where(F.col("count") > min_df)
-    if keep_top_n and keep_top_n <= TOP_N_MERGE:
-        top = stats.orderBy(*order).limit(keep_top_n)
-        if mode != "count":
-            top = top.where(F.col("df") >= min_df)
-        # at most keep_top_n rows: a single ordered window is bounded
-        return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
     if mode == "count":
         ranked = ordinal_by(stats.withColumn("_neg", -F.col("count")), ["_neg", feature], "rank").drop("_neg")
         if keep_top_n:
@@ -188,7 +177,12 @@ def filter_to_vocab(feats: DataFrame, vocab: DataFrame, feature: str = "feature"
 def count_vectors(feats: DataFrame, ids: DataFrame, doc: str = "doc_id", feature: str = "feature",
                   vocab_bound: int | None = None) -> DataFrame:
     """(doc_id, term_id, tf) sparse counts over the vocabulary."""
-    tf = term_frequency(feats, doc, feature)
+    return counts_in_vocab(term_frequency(feats, doc, feature), ids, doc, feature, vocab_bound)
+
+
+def counts_in_vocab(tf: DataFrame, ids: DataFrame, doc: str = "doc_id", feature: str = "feature",
+                    vocab_bound: int | None = None) -> DataFrame:
+    """``count_vectors`` from (doc, feature, tf) counts that are there already."""
     return tf.join(bounded_broadcast(ids, vocab_bound), feature).select(doc, "term_id", "tf")
 
 
@@ -233,15 +227,11 @@ def mean_embedding(tokens_long: DataFrame, vectors: DataFrame, mode: str = "toke
     ``mode='distinct'`` counts each distinct word once. Words without a vector
     are skipped.
     """
-    t = tokens_long.select(doc, F.col(token).alias(word))
+    # one row for each word of a document before the join, whatever its number of occurrences
+    t = tokens_long.groupBy(doc, F.col(token).alias(word)).agg(F.count(F.lit(1)).alias("n"))
     if mode == "distinct":
-        t = t.distinct()
+        t = t.withColumn("n", F.lit(1))
     j = t.join(vectors.select(word, vector), word)
-    return (j.select(doc, F.posexplode(vector).alias("dim", "x"))
-            .groupBy(doc, "dim").agg(F.avg(F.col("x").cast("double")).alias("value")))
-
-
-def vector_norms(counts: DataFrame, value: str, doc: str = "doc_id") -> DataFrame:
-    """(doc_id, norm_sq) = sum of squared values."""
-    return counts.groupBy(doc).agg(F.sum(F.pow(F.col(value), 2)).alias("norm_sq"))
+    return (j.select(doc, "n", F.posexplode(vector).alias("dim", "x"))
+            .groupBy(doc, "dim").agg((F.sum(F.col("n") * F.col("x").cast("double")) / F.sum("n")).alias("value")))
 

@@ -4,7 +4,6 @@ documents containing the whole passage; the run = tf-idf top 10."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kestrel.functions import round6
@@ -13,7 +12,7 @@ from kestrel.operators import retrieval as rt
 from kestrel.operators.text import STOPWORDS_NLP2
 from kestrel.plans.registry import register
 from kestrel.plans.text import STOP2, WORD_RE
-from kestrel.session import scratch_path
+from kestrel.session import materialise, scratch_path
 from kestrel.sources import fixtures as fx
 from kestrel.sources.files import scan_pairs, write_ranked_run
 
@@ -97,38 +96,19 @@ def _qterms(spark, sf, stop=True):
     return rt.query_terms(fx.queries(spark, sf), stopwords=STOPWORDS_NLP2 if stop else None)
 
 
-def _ranked(scores, k=K):
-    # ranks on the score rounded to 9 decimals, so documents with equal
-    # weights tie exactly whatever the summation order, then by docid
-    w = Window.partitionBy("qid").orderBy(F.desc_nulls_last(F.round("score", 9)), F.asc("docid"))
-    r = scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return r.select("qid", "docid", round6(F.col("score")).alias("score"), "rank")
-
-
-_INDEX_PATHS: dict[tuple, str] = {}
-
-
 def _index(spark, sf, stop=True):
-    """The postings built once and written as a Parquet index (term-bucket
-    partitions) under the checkpoint folder, then read back: every query
-    batch, the idf, the norms and N read the index instead of tokenising the
-    collection again, and the lineage ends at the files."""
-    key = (spark.sparkContext.applicationId, sf.rstrip("/"), stop)
-    path = _INDEX_PATHS.get(key)
-    if path is None:
-        path = scratch_path(spark, "postings")
-        rt.write_postings(_postings(spark, sf, stop), path)
-        _INDEX_PATHS[key] = path
-    return spark.read.parquet(path).select("term", "docid", "tf")
+    """The index of the documents, written under the checkpoint folder."""
+    return rt.write_index(_postings(spark, sf, stop), scratch_path(spark, "index"))
 
 
 def _retrieve(spark, sf, weighting, mode="fixed", stop=True):
-    p = _index(spark, sf, stop)
-    return _ranked(rt.score(p, _qterms(spark, sf, stop), weighting, mode))
+    r = rt.retrieve(_index(spark, sf, stop), _qterms(spark, sf, stop), weighting, K, mode)
+    return r.select("qid", "docid", round6(F.col("score")).alias("score"), "rank")
 
 
 def _run(spark, sf):
-    return _retrieve(spark, sf, "tfidf").select("qid", "docid", F.col("rank").alias("line_no"))
+    """The tf-idf run, written: evaluation reads it more than once."""
+    return materialise(_retrieve(spark, sf, "tfidf").select("qid", "docid", F.col("rank").alias("line_no")), "run")
 
 
 @register("build_postings", _sql("SELECT term, docid, tf FROM post"))
@@ -143,9 +123,7 @@ def q_vector_norms(spark, sf):
 
 @register("vector_norms_tfidf", _sql("SELECT docid, round(norm_sq, 6) AS norm_sq FROM norm_tfidf"))
 def q_vector_norms_tfidf(spark, sf):
-    p = _postings(spark, sf)
-    n = rt.doc_norms(p, "tfidf", rt.idf_ln(p, rt.n_documents(p)))
-    return n.select("docid", round6(F.col("norm_sq")).alias("norm_sq"))
+    return _index(spark, sf).norms.select("docid", round6(F.col("tfidf")).alias("norm_sq"))
 
 
 @register("join_query_postings", _sql("SELECT qid, term, docid, qtf, tf FROM hits"))
@@ -155,7 +133,7 @@ def q_join_query_postings(spark, sf):
 
 @register("join_scores_norms", _sql("SELECT qid, docid, num, norm_sq FROM num_tf JOIN norm_tf USING (docid)"))
 def q_join_scores_norms(spark, sf):
-    p = _postings(spark, sf)
+    p = materialise(_postings(spark, sf), "postings")
     hits = p.join(_qterms(spark, sf), "term")
     num = hits.groupBy("qid", "docid").agg(F.sum(F.col("qtf") * F.col("tf")).cast("double").alias("num"))
     return num.join(rt.doc_norms(p, "tf"), "docid").select("qid", "docid", "num", "norm_sq")
@@ -236,7 +214,7 @@ def q_write_ranked_run(spark, sf):
 
 
 def _gold(spark, sf):
-    return fx.gold(spark, sf)
+    return materialise(fx.gold(spark, sf), "gold")
 
 
 @register("run_rank_with_dups", _esql("SELECT qid, docid, rank, first FROM rr"))
@@ -317,17 +295,8 @@ def q_interpolated_precision(spark, sf):
 @register("suffix_max", _esql("SELECT qid, point, round(p, 6) AS best, round(precision, 6) AS precision FROM ip"))
 def q_suffix_max(spark, sf):
     """Per-point best precision next to its suffix maximum."""
-    pah = ev.precision_at_hits(_run(spark, sf), _gold(spark, sf))
-    gold = _gold(spark, sf)
-    rel = gold.select("qid", "docid").distinct().groupBy("qid").agg(F.count(F.lit(1)).alias("relevant"))
-    best = (pah.join(rel, "qid").select("qid", F.floor(F.col("hit_no") * 10 / F.col("relevant")).cast("int")
-                                        .alias("point"), "precision")
-            .groupBy("qid", "point").agg(F.max("precision").alias("p")))
-    grid = ev.all_qids(_run(spark, sf), gold).select("qid", F.explode(F.sequence(F.lit(0), F.lit(10))).alias("point"))
-    cells = grid.join(best, ["qid", "point"], "left").withColumn("p", F.coalesce("p", F.lit(0.0)))
-    w = Window.partitionBy("qid").orderBy("point").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    return cells.select("qid", "point", round6(F.col("p")).alias("best"),
-                        round6(F.max("p").over(w)).alias("precision"))
+    cells = ev.suffix_max(ev.best_at_points(_run(spark, sf), _gold(spark, sf)), "qid", "point", "p")
+    return cells.select("qid", "point", round6(F.col("p")).alias("best"), round6(F.col("suffix_max")).alias("precision"))
 
 
 @register("interpolated_precision_avg", _esql(

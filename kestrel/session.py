@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Sizes used when a session is created here (tests, bench). A cluster session
 # keeps whatever its submitter configured.
@@ -34,7 +34,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     for k, v in LOCAL_CONF.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("KESTREL_DRIVER_MEMORY", "16g"))
+    builder = builder.config("spark.driver.memory", os.environ.get("KESTREL_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -64,6 +64,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet under the checkpoint folder and read back: several
+    branches read the files instead of computing the rows again, and the lineage ends
+    there. The folder's owner removes it with the checkpoints of the session."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path for a written intermediate table under the checkpoint folder."""
     import uuid

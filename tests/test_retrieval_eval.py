@@ -9,13 +9,18 @@ from kestrel.operators import retrieval as rt
 DOCS = [(1, "apple banana apple"), (2, "banana cherry"), (3, "cherry cherry cherry date"), (4, "elder")]
 
 
+def _postings(spark):
+    return rt.build_postings(spark.createDataFrame(DOCS, "doc_id long, text string"))
+
+
 def _index(spark):
-    d = spark.createDataFrame(DOCS, "doc_id long, text string")
-    return rt.build_postings(d)
+    from kestrel.session import scratch_path
+
+    return rt.write_index(_postings(spark), scratch_path(spark, "index"))
 
 
 def test_postings(spark):
-    p = _index(spark)
+    p = _postings(spark)
     assert ("apple", 1, 2) in rows(p)
     assert p.count() == 7
 
@@ -117,3 +122,32 @@ def test_containment_of_short_passages(spark):
                   for q, pt in ps.items() if pt and pt in t)
     assert got == want
     assert (1, 1) in got and (2, 3) in got
+
+
+def test_short_passages_match_without_longer_ones_in_the_batch(spark):
+    docs = spark.createDataFrame([(123456, "say hello world again"), (2, "other")], "doc_id long, text string")
+    passages = spark.createDataFrame([(1234, "hello world")], "qid long, text string")
+    assert rows(rt.containing_documents(passages, docs)) == [(1234, 123456)]
+
+
+def test_a_common_opening_phrase_does_not_hide_or_pair_too_much(spark):
+    docs = spark.createDataFrame([(i, f"a very common opening phrase then word{i} here.") for i in range(30)], "doc_id long, text string")
+    passages = spark.createDataFrame([(i, f"very common opening phrase then word{i} here") for i in range(30)], "qid long, text string")
+    assert rows(rt.containing_documents(passages, docs)) == [(i, i) for i in range(30)]
+
+
+def test_run_folder_of_many_files_keeps_its_order_at_the_defaults(spark, tmp_path):
+    from kestrel.sources.files import scan_pairs, write_ranked_run
+
+    ranked = spark.range(3000).selectExpr("cast(id % 30 as bigint) as qid", "id * 7919 as docid", "cast(id div 30 as int) + 1 as rank").repartition(8)
+    path = str(tmp_path / "run")
+    write_ranked_run(ranked, path)
+    got = ev.run_ranks(scan_pairs(spark, path)).select("qid", "docid", "rank")
+    assert rows(got) == rows(ranked)
+
+
+def test_index_reads_only_the_buckets_of_its_terms(spark):
+    index = _index(spark)
+    q = rt.query_terms(spark.createDataFrame([(9, "banana")], "qid long, text string"))
+    plan = rt.score(index, q, "tf")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(term_bucket" in plan or "term_bucket#" in plan.split("PartitionFilters: [")[1].split("]")[0]

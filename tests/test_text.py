@@ -82,17 +82,9 @@ def test_mean_embedding_modes(spark):
     assert md[(1, 0)] == 2.5 and md[(1, 1)] == 1.5
 
 
-def test_vocab_top_paths_agree(spark):
-    from kestrel.operators import text as t
-
+def test_vocab_of_counts_equals_vocab_of_features(spark):
     f = _feats(spark)
-    fast = rows(t.build_vocab(f, keep_top_n=3), "feature", "count", "df", "rank")
-    old = t.TOP_N_MERGE
-    try:
-        t.TOP_N_MERGE = 0   # force the global-ordinal path
-        slow = rows(t.build_vocab(f, keep_top_n=3), "feature", "count", "df", "rank")
-        slow_df = rows(t.build_vocab(f, min_df=2, keep_top_n=3, mode="docfreq"), "feature", "df", "rank")
-    finally:
-        t.TOP_N_MERGE = old
-    assert fast == slow
-    assert rows(t.build_vocab(f, min_df=2, keep_top_n=3, mode="docfreq"), "feature", "df", "rank") == slow_df
+    for mode in ("count", "docfreq"):
+        a = rows(tx.build_vocab(f, min_df=1, keep_top_n=3, mode=mode), "feature", "count", "df", "rank")
+        assert a == rows(tx.vocab_of_counts(tx.term_frequency(f), 1, 3, mode), "feature", "count", "df", "rank")
+        assert [r[3] for r in sorted(a, key=lambda r: r[3])] == list(range(1, len(a) + 1))
