@@ -6,11 +6,11 @@ instead of 576), and a pair of texts with similarity s meets in some table with
 (1 - (1 - s^2)^t)^2, 0.9999 at s = 0.75 for t = 12. A table key can repeat only if both of its halves do, so
 texts are first matched on the 2 * t halves and only halves that repeat are paired.
 
-Texts with equal shingle sets are one node (aggregated by digest). In a table's bucket no pairs are listed:
-a pivot is compared with the others, links merge components, and buckets whose nodes lie in one component are
-done; the rest get further pivots (1, 8, 64, ... a bucket) until every two nodes of a bucket that are in
-different components have been compared, so no link that some bucket shows is lost. Links are confirmed on
-the full shingle sets: 100 * intersection >= 75 * union.
+Texts with equal shingle sets are one node (aggregated by digest). In a table's bucket no pairs are listed: each
+node is compared with one of the bucket's largest component, links merge components, and buckets whose nodes lie
+in one component are done. When such turns find few links, the nodes left outside the largest components are
+compared with all nodes of other components that they share a table with, so no link that some bucket shows is
+lost. Links are confirmed on the full shingle sets: 100 * intersection >= 75 * union.
 
 Null or empty texts have no shingles and link with nothing; rows that share a doc_id are one document; rows
 with a null doc_id stay alone (component null, kept); repeated rows are returned as often; extra columns are
@@ -32,7 +32,7 @@ from kestrel.llm.tables import components, keep
 HALVES = 12
 PER_HALF = 2
 SIMILAR = 75  # per cent
-#: Of the 48 MinHash values, those that must agree before texts are fetched in later rounds; at similarity
+#: Of the 48 MinHash values, those that must agree before texts are fetched in later turns; at similarity
 #: 0.75 fewer agree with probability 1e-7.
 SKETCH_AGREE = 20
 
@@ -83,8 +83,9 @@ def table_keys(nodes: DataFrame) -> DataFrame:
     per_node = (halves.join(repeated, "half", "left_semi").groupBy("node")
                 .agg(F.collect_set(F.when(F.col("place") < HALVES, F.col("half"))).alias("a"),
                      F.collect_set(F.when(F.col("place") >= HALVES, F.col("half"))).alias("b")))
-    keys = keep(per_node.select("node", "b", F.explode("a").alias("x")).select("node", "x", F.explode("b").alias("y"))
-                .select("node", F.xxhash64("x", "y").alias("key")), "keys")
+    per_node = keep(per_node.where("size(a) > 0 and size(b) > 0"), "halves")
+    keys = (per_node.select("node", "b", F.explode("a").alias("x")).select("node", "x", F.explode("b").alias("y"))
+            .select("node", F.xxhash64("x", "y").alias("key")))
     buckets = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key", F.col("lo").alias("first"))
     return keep(keys.join(buckets, "key"), "buckets")
 
@@ -119,10 +120,10 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> DataFrame
     return both.mapInArrow(run, struct("a long, b long"))
 
 
-def _sketch_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs that sizes and sketches leave possible."""
-    side = lambda c: nodes.select(F.col("node").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").where(_alike(F.col("n_a"), F.col("n_b"))).select("a", "b", "sketch_a", "sketch_b")
+def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs that the sketches leave possible."""
+    side = lambda c: nodes.select(F.col("node").alias(c), F.col("sketch").alias(f"sketch_{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sketch_a", "sketch_b")
 
     def run(batches):
         for batch in pieces(batches, 8192):
@@ -133,6 +134,49 @@ def _sketch_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.mapInArrow(run, struct("a long, b long"))
 
 
+def _open(members: DataFrame, label: DataFrame) -> DataFrame:
+    """(key, node, component, size) of the buckets whose nodes lie in several components."""
+    sizes = label.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    placed = label.join(sizes, "component").select("node", "component", "size")
+    now = members.select("key", "node").join(placed, "node", "left").select(
+        "key", "node", F.coalesce("component", "node").alias("component"), F.coalesce("size", F.lit(1)).alias("size"))
+    several = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    return keep(now.join(several, "key", "left_semi"), "open")
+
+
+def _more(label: DataFrame, linked: DataFrame) -> DataFrame:
+    """The components with more links."""
+    return keep(components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).union(linked)), "labels")
+
+
+def _one_each(open_: DataFrame, turn: int) -> DataFrame:
+    """(a, b): each node outside the largest component of a bucket, with a node of that one; one pair a node."""
+    best = open_.groupBy("key").agg(F.min(F.struct(-F.col("size"), F.xxhash64("node", F.lit(turn)).alias("draw"), F.col("node").alias("p"),
+                                                   F.col("component").alias("of_p"))).alias("best")).select("key", "best.draw", "best.p", "best.of_p")
+    return (open_.join(best, "key").where("component <> of_p").groupBy("node").agg(F.min(F.struct("draw", "p")).alias("best"))
+            .select(F.least("best.p", "node").alias("a"), F.greatest("best.p", "node").alias("b")).distinct())
+
+
+def _all_left(open_: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b): all pairs of nodes that share a table and lie in different components, once each.
+
+    One component of each bucket is spared; every such pair has a node outside it. Pairs meet by halves of A and
+    are taken at the first half that they share, if they share one of B and their sizes allow the similarity.
+    """
+    spared = open_.groupBy("key").agg(F.min(F.struct(-F.col("size"), "component")).alias("s")).select("key", F.col("s.component").alias("spared"))
+    few = open_.join(spared, "key").where("component <> spared").select("node").distinct().withColumn("few", F.lit(True))
+    known = open_.select("node", "component").distinct().join(few, "node", "left").join(nodes, "node").select(
+        "node", "component", F.coalesce("few", F.lit(False)).alias("few"), "n_shingles",
+        F.slice("halves", 1, HALVES).alias("a"), F.slice("halves", HALVES + 1, HALVES).alias("b"))
+    known = keep(known, "known")
+    side = lambda df, c: df.select(F.explode("a").alias("half"), F.struct(*known.columns).alias(c))
+    x, y = F.col("x"), F.col("y")
+    once = (x["component"] != y["component"]) & (~y["few"] | (x["node"] < y["node"])) & _alike(x["n_shingles"], y["n_shingles"])
+    met = (F.element_at(F.array_intersect(x["a"], y["a"]), 1) == F.col("half_x")) & F.arrays_overlap(x["b"], y["b"])
+    pairs = side(known.where("few"), "x").withColumnRenamed("half", "half_x").join(side(known, "y"), (F.col("half_x") == F.col("half")) & once & met)
+    return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+
+
 def links(nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
     """(node, component) over confirmed links; None if no bucket holds two nodes."""
     buckets = table_keys(nodes)
@@ -141,36 +185,25 @@ def links(nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
     wanted = buckets.select(F.col("node").alias("doc_id")).distinct()
     texts = keep(texts.join(wanted, "doc_id", "left_semi"), "texts")
     # first each node with the smallest first node of its buckets
-    tested = keep(buckets.where("first < node").groupBy("node").agg(F.min("first").alias("a")).select("a", F.col("node").alias("b")), "pairs")
-    linked = keep(confirm(tested, texts), "links")
-    label = keep(components(linked), "labels")
-    done = None
-    pivots_a_bucket = 1
-    while True:
-        open_ = buckets.select("key", "node").join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-        if done is not None:
-            open_ = open_.join(done, ["key", "node"], "left_anti")
-        several = open_.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-        open_ = keep(open_.join(several, "key", "left_semi"), "open")
-        if not open_.head(1):
-            return label
-        counted = open_.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-        salt = F.pmod(F.xxhash64("node"), F.lit(pivots_a_bucket))
-        pivots = (open_.join(counted, ["key", "component"]).groupBy("key", salt.alias("salt"))
-                  .agg(F.min(F.struct("n", "node", "component")).alias("p")).select("key", "p.node", "p.component"))
-        pivots = keep(pivots, "pivots")
-        pairs = (open_.join(pivots.select("key", F.col("node").alias("p"), F.col("component").alias("of_p")), "key").where("component <> of_p")
-                 .select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
-                 .join(tested, ["a", "b"], "left_anti"))
-        pairs = keep(_sketch_pairs(pairs, nodes), "pairs")
-        fresh = keep(confirm(pairs, texts), "links")
-        tested = tested.union(pairs)
-        finished = pivots.select("key", "node")
-        done = keep(finished if done is None else done.union(finished), "done")
-        if fresh.head(1):
-            stars = label.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            label = keep(components(stars.union(fresh)), "labels")
-        pivots_a_bucket *= 8
+    pairs = buckets.where("first < node").groupBy("node").agg(F.min("first").alias("a")).select("a", F.col("node").alias("b"))
+    label = keep(components(confirm(pairs, texts)), "labels")
+    open_ = _open(buckets, label)
+    turn = 0
+    while open_.head(1):
+        turn += 1
+        pairs = keep(_one_each(open_, turn), "pairs")
+        fresh = keep(confirm(_likely(pairs, nodes), texts), "links")
+        found = fresh.count()
+        if found:
+            label = _more(label, fresh)
+            open_ = _open(open_, label)
+        if found * 10 < pairs.count():  # few nodes left that link with many others: compare with all
+            if open_.head(1):
+                fresh = keep(confirm(_likely(_all_left(open_, nodes), nodes), texts), "links")
+                if fresh.head(1):
+                    label = _more(label, fresh)
+            break
+    return label
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -190,8 +223,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     ties = placed.groupBy("doc_id").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     if ties.head(1):
         tied = components(placed.join(ties, "doc_id").select(F.col("component").alias("a"), F.col("lo").alias("b")))
-        placed = placed.join(tied.withColumnsRenamed({"node": "component", "component": "final"}), "component", "left").select(
-            "doc_id", F.coalesce("final", "component").alias("component"))
+        final = tied.select(F.col("node").alias("component"), F.col("component").alias("final"))
+        placed = placed.join(final, "component", "left").select("doc_id", F.coalesce("final", "component").alias("component"))
     placed = placed.groupBy("doc_id").agg(F.min("component").alias("component"))
     return (rows.select("doc_id", "n_shingles").join(placed, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
