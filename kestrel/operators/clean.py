@@ -165,21 +165,22 @@ def seeded_order_key(key: str, seed: int) -> Column:
 
 def undersample(df: DataFrame, is_minor: Column, key: str, seed: int = 0) -> DataFrame:
     """All minority rows plus exactly as many majority rows, chosen without
-    replacement by a seeded hash order (X3). The cut uses the distributed
-    global ordinal, not a single-task LIMIT."""
-    from kestrel.operators.splits import ordinal_by
-
-    n_minor = df.where(is_minor).count()
-    major = df.where(~is_minor).withColumn("_h", seeded_order_key(key, seed))
-    picked = ordinal_by(major, ["_h", key], "_ord").where(F.col("_ord") <= n_minor).drop("_h", "_ord")
-    return df.where(is_minor).unionByName(picked)
-
-
-def cached_scan(df: DataFrame) -> DataFrame:
-    """Persist a table reused by several passes (memory, spilling to disk)."""
-    from pyspark import StorageLevel
-
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    replacement by a seeded hash order (X3). The hash at the cut is located by
+    counting rows per hash range, and the table is filtered by it: no sort of the
+    majority and no copy of it."""
+    from kestrel.operators.splits import row_at, up_to
+
+    n = df.agg(F.count_if(is_minor).alias("minor"), F.count_if(~is_minor).alias("major")).first()
+    if n.major <= n.minor:
+        return df
+    if not n.minor:
+        return df.where(is_minor)
+    # the first 52 bits of the hash as a number order the rows as its text does, but for ties that the text breaks
+    ordered = df.withColumn("_h", seeded_order_key(key, seed))
+    ordered = ordered.withColumn("_n", F.conv(F.substr("_h", F.lit(1), F.lit(13)), 16, 10).cast("double"))
+    ties = ["_h", key]
+    row = row_at(ordered.where(~is_minor), "_n", ties, n.minor, n.major)
+    return ordered.where(is_minor | up_to("_n", ties, row)).drop("_h", "_n")
 
 
 def union_all(*dfs: DataFrame) -> DataFrame:
@@ -188,6 +189,3 @@ def union_all(*dfs: DataFrame) -> DataFrame:
         out = out.unionByName(d, allowMissingColumns=True)
     return out
 
-
-def union_distinct(*dfs: DataFrame) -> DataFrame:
-    return union_all(*dfs).distinct()

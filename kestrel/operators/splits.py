@@ -9,9 +9,10 @@ partitions. Only one count per partition passes through a window.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions import hash_bucket
@@ -51,13 +52,47 @@ def ordinal_by(df: DataFrame, order_cols: Sequence[str], ordinal_col: str = "ord
     return out if keep_total else out.drop("_total")
 
 
+def row_at(df: DataFrame, key: str, ties: Sequence[str], position: int, total: int, slack: float = 0.001):
+    """The (key, ties...) of the row at 1-based ``position`` of the order, without sorting all rows.
+
+    Two approximate quantiles bracket the key; the rows below the bracket are counted, and only those inside are
+    sorted. If the bracket misses the position (the quantiles are approximate) it is widened and tried again.
+    """
+    at = F.col(key)
+    while True:
+        marks = [max(0.0, (position - 1) / total - slack), min(1.0, position / total + slack)]
+        lo, hi = df.agg(F.percentile_approx(at, F.array(*map(F.lit, marks)), F.lit(10_000)).alias("q")).first().q
+        below, inside = df.agg(F.count_if(at < F.lit(lo)), F.count_if((at >= F.lit(lo)) & (at <= F.lit(hi)))).first()
+        if below < position <= below + inside:
+            skip = position - below - 1
+            return df.where((at >= F.lit(lo)) & (at <= F.lit(hi))).select(key, *ties).orderBy(key, *ties).offset(skip).limit(1).first()
+        slack *= 8
+
+
+def up_to(key: str, ties: Sequence[str], row) -> Column:
+    """True for the rows at or before ``row`` of the order (key, ties...)."""
+    names = [key, *ties]
+    before = F.lit(True)
+    for name in reversed(names):
+        last = F.lit(row[name])
+        before = (F.col(name) < last) | ((F.col(name) == last) & before)
+    return before
+
+
 def sequential_split(df: DataFrame, order_cols: Sequence[str], fraction: float,
                      split_col: str = "split") -> DataFrame:
-    """First floor(fraction * n) rows of the order -> 'train', the rest -> 'test' (W2)."""
-    ordd = ordinal_by(df, order_cols, keep_total=True)
-    cut = F.floor(F.col("_total") * F.lit(fraction))
-    return (ordd.withColumn(split_col, F.when(F.col("ordinal") <= cut, "train").otherwise("test"))
-            .drop("_total"))
+    """First floor(fraction * n) rows of the order -> 'train', the rest -> 'test' (W2).
+
+    The row at the cut is located by counting (``row_at``; the first order column is a number, date or time without
+    nulls, the others break its ties) and the table is filtered by its key: no full sort, no copy of the rows.
+    """
+    key, ties = order_cols[0], list(order_cols[1:])
+    total = df.count()
+    position = math.floor(total * fraction)
+    if not position:
+        return df.withColumn(split_col, F.lit("test"))
+    row = row_at(df, key, ties, position, total)
+    return df.withColumn(split_col, F.when(up_to(key, ties, row), "train").otherwise("test"))
 
 
 def sort_by(df: DataFrame, order_cols: Sequence[str]) -> DataFrame:

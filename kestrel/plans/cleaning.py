@@ -212,13 +212,9 @@ def q_sequential_split(spark, sf):
                 FROM ratings) s
        GROUP BY ALL"""))
 def q_split_sizes(spark, sf):
-    # the ordinal is computed once and shared by all three fractions
-    o = sp.ordinal_by(fx.ratings(spark, sf), ["ts", "event_id"], keep_total=True)
-    fr = F.explode(F.array(*[F.lit(x) for x in (0.5, 0.65, 0.8)])).alias("fraction")
-    e = o.select("ordinal", "_total", fr)
-    split = F.when(F.col("ordinal") <= F.floor(F.col("_total") * F.col("fraction")), "train").otherwise("test")
-    return e.groupBy(F.col("fraction").cast("double").alias("fraction"), split.alias("split")).agg(
-        F.count(F.lit(1)).alias("n"))
+    parts = [sp.sequential_split(fx.ratings(spark, sf), ["ts", "event_id"], x).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+             .select(F.lit(x).alias("fraction"), "split", "n") for x in (0.5, 0.65, 0.8)]
+    return cl.union_all(*parts)
 
 
 @register("sort_by_time", _rsql("SELECT event_id, user_id, item, rating FROM ratings ORDER BY ts, event_id"))

@@ -22,6 +22,7 @@ from kestrel.operators import text as tx
 from kestrel.plans import sentiment as sent_plans
 from kestrel.plans.registry import register
 from kestrel.session import scratch_path
+from kestrel.sources import files as fs
 from kestrel.sources import fixtures as fx
 
 CATS = ["o_orderpriority", "p_brand", "p_type", "l_linestatus", "o_orderstatus"]
@@ -129,7 +130,7 @@ def _claims_fitted(spark, sf):
     c = _claims(spark, sf)
     fp = _claims_pipeline(scale=False).fit(c.where("split = 'train'"))
     t = fp.transform(c).select("row_id", "features", "claim_amount", "split")
-    return cl.cached_scan(t.where("split = 'train'")), t.where("split = 'test'")
+    return fs.cached_scan(t.where("split = 'train'")), t.where("split = 'test'")
 
 
 @register("linear_regression")
@@ -179,7 +180,7 @@ def _balanced(train):
     without multiplying the rows the solvers pass over."""
     b = cl.oversample_weights(train, F.col("claim_amount") != 0).withColumn(
         "is_claim", (F.col("claim_amount") != 0).cast("double"))
-    return cl.cached_scan(b)
+    return fs.cached_scan(b)
 
 
 @register("logistic_binary")

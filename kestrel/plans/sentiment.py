@@ -45,6 +45,17 @@ _CTES = [
 ]
 
 
+def _model_ctes(src: str, suffix: str):
+    """The Naive Bayes model and its lexicon over another token table, under names with a suffix."""
+    out = []
+    for name, sql in _CTES:
+        if name in ("tot", "model", "power", "useful", "lexicon"):
+            for used in ("model", "power", "useful"):
+                sql = sql.replace(f"FROM {used}", f"FROM {used}{suffix}")
+            out.append((name + suffix, sql.replace("FROM tr", f"FROM {src}").replace(", tot", f", tot{suffix}")))
+    return out
+
+
 def _sql(body: str, extra=None) -> str:
     return fx.with_views(["texts"], body, _CTES + (extra or []))
 
@@ -65,6 +76,11 @@ def _test_docs(spark, sf):
     return fx.texts(spark, sf).where("split = 'test'").select("doc_id", "label")
 
 
+def _docs(spark, sf):
+    """All texts: the lexicon scorers have no training part."""
+    return fx.texts(spark, sf).select("doc_id", "label")
+
+
 def _scored(spark, sf):
     return se.nb_score(_test(spark, sf), _model(spark, sf), _test_docs(spark, sf), prior=0.5)
 
@@ -144,16 +160,33 @@ def q_top_bottom_n(spark, sf):
 
 
 @register("join_tokens_model", _sql(
-    "SELECT doc_id, pos, word, p_pos, p_neg FROM tst JOIN model USING (word)"))
+    "SELECT doc_id, word, n, p_pos, p_neg FROM (SELECT doc_id, word, count(*) AS n FROM tok GROUP BY ALL) "
+    "JOIN model USING (word)"))
 def q_join_tokens_model(spark, sf):
+    """Words of all texts with the model's probabilities: counted per document before the join, so that a frequent
+    word is one row a document."""
     m = _model(spark, sf).select("word", "p_pos", "p_neg")
-    return _test(spark, sf).join(m, "word").select("doc_id", "pos", "word", "p_pos", "p_neg")
+    counted = _tokens(spark, sf).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    return counted.join(m, "word").select("doc_id", "word", "n", "p_pos", "p_neg")
+
+
+@register("nb_score_prior", _sql("""
+    SELECT doc_id, round(ln(0.7) + coalesce(s_pos, 0), 6) AS log_pos, round(ln(0.3) + coalesce(s_neg, 0), 6) AS log_neg,
+           CAST(ln(0.7) + coalesce(s_pos, 0) > ln(0.3) + coalesce(s_neg, 0) AS INTEGER) AS predicted
+    FROM texts LEFT JOIN (
+      SELECT doc_id, sum(n * ln(p_pos)) AS s_pos, sum(n * ln(p_neg)) AS s_neg
+      FROM (SELECT doc_id, word, count(*) AS n FROM tok GROUP BY ALL) JOIN model USING (word)
+      WHERE p_word > 1e-8 GROUP BY doc_id) USING (doc_id)"""))
+def q_nb_score_prior(spark, sf):
+    """Train and test texts scored with prior 0.7 for the positive class."""
+    s = se.nb_score(_tokens(spark, sf), _model(spark, sf), _docs(spark, sf), prior=0.7)
+    return _r6(s.select("doc_id", "log_pos", "log_neg", "predicted"), ["log_pos", "log_neg"])
 
 
 @register("join_tokens_lexicon", _sql(
-    "SELECT doc_id, pos, word, polarity FROM tst JOIN lexicon USING (word)"))
+    "SELECT doc_id, pos, word, polarity FROM tok JOIN lexicon USING (word)"))
 def q_join_tokens_lexicon(spark, sf):
-    j = se.join_tokens_lexicon(_test(spark, sf), _lexicon(spark, sf), lexicon_bound=LEXICON_BOUND)
+    j = se.join_tokens_lexicon(_tokens(spark, sf), _lexicon(spark, sf), lexicon_bound=LEXICON_BOUND)
     return j.select("doc_id", "pos", "word", "polarity")
 
 
@@ -162,19 +195,21 @@ def q_join_tokens_lexicon(spark, sf):
         FROM ((SELECT word, 'head' AS side FROM power ORDER BY power, word LIMIT {2 * USEFUL_N})
               UNION ALL
               (SELECT word, 'tail' AS side FROM power ORDER BY power DESC, word DESC LIMIT {2 * USEFUL_N}))
-        GROUP BY side"""))
+        GROUP BY side""".replace("FROM lexicon)", "FROM lexicon2)"), _model_ctes("tst", "2")))
 def q_lexicon_overlap(spark, sf):
+    """Useful words of the training texts against the lexicon that the other texts give."""
     useful = se.most_useful_words(_model(spark, sf), 2 * USEFUL_N)
-    return se.lexicon_overlap(useful, _lexicon(spark, sf), lexicon_bound=LEXICON_BOUND)
+    other = se.lexicon_from_useful(se.most_useful_words(se.nb_train(_test(spark, sf)), USEFUL_N))
+    return se.lexicon_overlap(useful, other, lexicon_bound=LEXICON_BOUND)
 
 
 @register("lexicon_score", _sql(f"""
     SELECT d.doc_id, CAST(coalesce(s.score, 0) AS DOUBLE) AS score,
            CAST(coalesce(s.score, 0) >= {THRESHOLD} AS INTEGER) AS predicted
-    FROM tdocs d LEFT JOIN (SELECT doc_id, sum(polarity) AS score FROM tst JOIN lexicon USING (word)
+    FROM texts d LEFT JOIN (SELECT doc_id, sum(polarity) AS score FROM tok JOIN lexicon USING (word)
                             GROUP BY doc_id) s USING (doc_id)"""))
 def q_lexicon_score(spark, sf):
-    return se.lexicon_score(_test(spark, sf), _lexicon(spark, sf), _test_docs(spark, sf), THRESHOLD,
+    return se.lexicon_score(_tokens(spark, sf), _lexicon(spark, sf), _docs(spark, sf), THRESHOLD,
                             lexicon_bound=LEXICON_BOUND)
 
 
@@ -184,31 +219,31 @@ _WEIGHTS = """
                         WHEN word IN ('definitely', 'very', 'extremely') THEN 2.0
                         WHEN word IN ('somewhat', 'barely', 'rarely') THEN 0.5 ELSE 1.0 END)
              OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS weight
-    FROM tst"""
+    FROM tok"""
 
 
 @register("running_weight_product", _sql("SELECT doc_id, pos, word, weight FROM wt", [("wt", _WEIGHTS)]))
 def q_running_weight_product(spark, sf):
-    return se.running_weight_product(_test(spark, sf)).select("doc_id", "pos", "word", "weight")
+    return se.running_weight_product(_tokens(spark, sf)).select("doc_id", "pos", "word", "weight")
 
 
 @register("lexicon_score_rules", _sql(f"""
     SELECT d.doc_id, coalesce(s.score, 0.0) AS score, CAST(coalesce(s.score, 0.0) >= {THRESHOLD} AS INTEGER) AS predicted
-    FROM tdocs d LEFT JOIN (SELECT doc_id, sum(weight * polarity) AS score FROM wt JOIN lexicon USING (word)
+    FROM texts d LEFT JOIN (SELECT doc_id, sum(weight * polarity) AS score FROM wt JOIN lexicon USING (word)
                             GROUP BY doc_id) s USING (doc_id)""", [("wt", _WEIGHTS)]))
 def q_lexicon_score_rules(spark, sf):
-    return se.lexicon_score_rules(_test(spark, sf), _lexicon(spark, sf), _test_docs(spark, sf), THRESHOLD,
+    return se.lexicon_score_rules(_tokens(spark, sf), _lexicon(spark, sf), _docs(spark, sf), THRESHOLD,
                                   lexicon_bound=LEXICON_BOUND)
 
 
 @register("lexicon_score_caps", _sql(f"""
     SELECT d.doc_id, coalesce(s.score, 0.0) AS score, CAST(coalesce(s.score, 0.0) >= {THRESHOLD} AS INTEGER) AS predicted
-    FROM tdocs d LEFT JOIN (
+    FROM texts d LEFT JOIN (
         SELECT doc_id, sum(CASE WHEN upper(wt.word) = wt.word AND lower(wt.word) <> wt.word THEN 2.0 ELSE 1.0 END
                            * weight * polarity) AS score
         FROM wt JOIN lexicon ON lexicon.word = CASE WHEN upper(wt.word) = wt.word AND lower(wt.word) <> wt.word
                                                     THEN lower(wt.word) ELSE wt.word END
         GROUP BY doc_id) s USING (doc_id)""", [("wt", _WEIGHTS)]))
 def q_lexicon_score_caps(spark, sf):
-    return se.lexicon_score_rules(_test(spark, sf), _lexicon(spark, sf), _test_docs(spark, sf), THRESHOLD,
+    return se.lexicon_score_rules(_tokens(spark, sf), _lexicon(spark, sf), _docs(spark, sf), THRESHOLD,
                                   caps=True, lexicon_bound=LEXICON_BOUND)

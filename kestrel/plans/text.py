@@ -7,15 +7,18 @@ from pyspark.sql import functions as F
 from kestrel.functions import alpha_tokens, round6, word_tokens
 from kestrel.operators import text as tx
 from kestrel.plans.registry import register
-from kestrel.session import scratch_path
+from kestrel.session import materialise, scratch_path
 from kestrel.sources import fixtures as fx
 from kestrel.sources.files import scan_embeddings
 
 WORD_RE = r"[\p{L}\p{N}_'']+"  # SQL literal of the word pattern (quote doubled)
-VOCAB_N = 1000        # word vocabulary size (count mode)
-CHAR_VOCAB_N = 1000   # character n-gram vocabulary size
-TOPIC_VOCAB_N = 2000  # topic vocabulary (document-frequency mode)
-TOPIC_MIN_DF = 5
+VOCAB_N = 5000        # word vocabulary size (count mode)
+CHAR_VOCAB_N = 5000   # character n-gram vocabulary size
+MIN_COUNT = 5         # raw count above which a feature enters either vocabulary
+WORD_GRAMS = (1, 3)
+CHAR_GRAMS = (4, 7)
+TOPIC_VOCAB_N = 5000  # topic vocabulary (document-frequency mode)
+TOPIC_MIN_DF = 10
 
 
 def _list(words) -> str:
@@ -52,22 +55,22 @@ def _char_sql(src: str, lo: int, hi: int) -> str:
                  (SELECT unnest(generate_series({lo}, {hi})) AS n))"""
 
 
-def _vocab_count_sql(feats: str, top_n: int, min_count: int = 0) -> str:
+def _vocab_count_sql(tf: str, top_n: int, min_count: int = MIN_COUNT) -> str:
     return f"""
       SELECT feature, cnt AS count, df, rank FROM (
-        SELECT feature, count(*) AS cnt, count(DISTINCT doc_id) AS df,
-               row_number() OVER (ORDER BY count(*) DESC, feature) AS rank
-        FROM {feats} WHERE split = 'train' GROUP BY feature HAVING count(*) > {min_count})
+        SELECT feature, CAST(sum(tf) AS BIGINT) AS cnt, count(*) AS df,
+               row_number() OVER (ORDER BY sum(tf) DESC, feature) AS rank
+        FROM {tf} WHERE split = 'train' GROUP BY feature HAVING sum(tf) > {min_count})
       WHERE rank <= {top_n}"""
 
 
-_TEXT_CTES = [("st", _SQL_ST), ("ng", _ngram_sql("st", 1, 2)), ("cg", _char_sql("st", 3, 5)),
-              ("vocab", _vocab_count_sql("ng", VOCAB_N)), ("cvocab", _vocab_count_sql("cg", CHAR_VOCAB_N)),
+_TEXT_CTES = [("st", _SQL_ST), ("ng", _ngram_sql("st", *WORD_GRAMS)), ("cg", _char_sql("st", *CHAR_GRAMS)),
+              ("ngtf", "SELECT doc_id, split, feature, count(*) AS tf FROM ng GROUP BY ALL"),
+              ("cgtf", "SELECT doc_id, split, feature, count(*) AS tf FROM cg GROUP BY ALL"),
+              ("vocab", _vocab_count_sql("ngtf", VOCAB_N)), ("cvocab", _vocab_count_sql("cgtf", CHAR_VOCAB_N)),
               ("ntrain", "SELECT count(*) AS n FROM texts WHERE split = 'train'"),
-              ("cnt", "SELECT doc_id, rank - 1 AS term_id, count(*) AS tf FROM ng JOIN vocab USING (feature) "
-                      "GROUP BY ALL"),
-              ("ccnt", "SELECT doc_id, rank - 1 AS term_id, count(*) AS tf FROM cg JOIN cvocab USING (feature) "
-                       "GROUP BY ALL"),
+              ("cnt", "SELECT doc_id, rank - 1 AS term_id, tf FROM ngtf JOIN vocab USING (feature)"),
+              ("ccnt", "SELECT doc_id, rank - 1 AS term_id, tf FROM cgtf JOIN cvocab USING (feature)"),
               ("idf", "SELECT term_id, log10((SELECT n FROM ntrain) / count(*)) AS idf FROM cnt "
                       "WHERE doc_id IN (SELECT doc_id FROM texts WHERE split = 'train') GROUP BY term_id"),
               ("cidf", "SELECT term_id, log10((SELECT n FROM ntrain) / count(*)) AS idf FROM ccnt "
@@ -87,26 +90,33 @@ def _stopped(spark, sf):
 
 def _word_feats(spark, sf):
     st = _stopped(spark, sf)
-    return st.select("doc_id", "split", F.explode(tx.word_ngrams("toks", 1, 2)).alias("feature"))
+    return st.select("doc_id", "split", F.explode(tx.word_ngrams("toks", *WORD_GRAMS)).alias("feature"))
 
 
 def _char_feats(spark, sf):
     st = _stopped(spark, sf)
-    return st.select("doc_id", "split", F.explode(tx.char_ngrams("toks", 3, 5)).alias("feature"))
+    return st.select("doc_id", "split", F.explode(tx.char_ngrams("toks", *CHAR_GRAMS)).alias("feature"))
 
 
 def _vocab(feats, n):
-    return tx.build_vocab(feats.where("split = 'train'"), min_df=0, keep_top_n=n, mode="count")
+    return tx.build_vocab(feats.where("split = 'train'"), min_df=MIN_COUNT, keep_top_n=n, mode="count")
 
 
-def _counts(spark, sf):
-    feats = _word_feats(spark, sf)
-    return tx.count_vectors(feats, tx.vocab_ids(_vocab(feats, VOCAB_N)), vocab_bound=VOCAB_N)
+def _space(feats, n, name):
+    """(counts, ids) of a feature space: the texts are cut into features once, counted per document and written;
+    vocabulary, counts and document frequencies all read that table."""
+    tf = materialise(feats.groupBy("doc_id", "split", "feature").agg(F.count(F.lit(1)).alias("tf")), name)
+    ids = tx.vocab_ids(tx.vocab_of_counts(tf.where("split = 'train'"), MIN_COUNT, n))
+    counts = tf.join(tx.bounded_broadcast(ids, n), "feature").select("doc_id", "split", "term_id", "tf")
+    return counts, ids
+
+
+def _words(spark, sf):
+    return _space(_word_feats(spark, sf), VOCAB_N, "word-counts")
 
 
-def _ccounts(spark, sf):
-    feats = _char_feats(spark, sf)
-    return tx.count_vectors(feats, tx.vocab_ids(_vocab(feats, CHAR_VOCAB_N)), vocab_bound=CHAR_VOCAB_N)
+def _chars(spark, sf):
+    return _space(_char_feats(spark, sf), CHAR_VOCAB_N, "char-counts")
 
 
 def _n_train(spark, sf):
@@ -114,8 +124,12 @@ def _n_train(spark, sf):
 
 
 def _idf(spark, sf, counts):
-    train = fx.texts(spark, sf).where("split = 'train'").select("doc_id")
-    return tx.idf_log10(counts.join(train, "doc_id", "left_semi"), _n_train(spark, sf))
+    return tx.idf_log10(counts.where("split = 'train'"), _n_train(spark, sf))
+
+
+def _weighted(spark, sf, space, n):
+    counts, ids = space
+    return tx.tfidf(counts, _idf(spark, sf, counts), vocab_bound=n), ids
 
 
 # ------------------------------------------------------------------ plans
@@ -175,20 +189,19 @@ def q_filter_to_vocab(spark, sf):
 
 @register("count_vectors", _tsql("SELECT doc_id, term_id, tf FROM cnt"))
 def q_count_vectors(spark, sf):
-    return _counts(spark, sf)
+    return _words(spark, sf)[0].select("doc_id", "term_id", "tf")
 
 
 @register("idf_log10", _tsql("SELECT term_id, round(idf, 6) AS idf FROM idf"))
 def q_idf_log10(spark, sf):
-    return _idf(spark, sf, _counts(spark, sf)).select("term_id", round6(F.col("idf")).alias("idf"))
+    return _idf(spark, sf, _words(spark, sf)[0]).select("term_id", round6(F.col("idf")).alias("idf"))
 
 
 @register("tfidf_vectors", _tsql(
     "SELECT doc_id, term_id, round(tf * idf, 6) AS tfidf FROM cnt JOIN idf USING (term_id)"))
 def q_tfidf_vectors(spark, sf):
-    c = _counts(spark, sf)
-    return tx.tfidf(c, _idf(spark, sf, c), vocab_bound=VOCAB_N).select(
-        "doc_id", "term_id", round6(F.col("tfidf")).alias("tfidf"))
+    wt, _ = _weighted(spark, sf, _words(spark, sf), VOCAB_N)
+    return wt.select("doc_id", "term_id", round6(F.col("tfidf")).alias("tfidf"))
 
 
 @register("concat_feature_spaces", _tsql(f"""
@@ -197,11 +210,9 @@ def q_tfidf_vectors(spark, sf):
     SELECT doc_id, term_id + (SELECT count(*) FROM vocab) AS term_id, round(tf * idf, 6) AS tfidf
     FROM ccnt JOIN cidf USING (term_id)"""))
 def q_concat_feature_spaces(spark, sf):
-    w, c = _counts(spark, sf), _ccounts(spark, sf)
-    wt = tx.tfidf(w, _idf(spark, sf, w), vocab_bound=VOCAB_N)
-    ct = tx.tfidf(c, _idf(spark, sf, c), vocab_bound=CHAR_VOCAB_N)
-    width = _vocab(_word_feats(spark, sf), VOCAB_N).count()
-    out = tx.concat_spaces([(wt, width), (ct, CHAR_VOCAB_N)], "tfidf")
+    wt, ids = _weighted(spark, sf, _words(spark, sf), VOCAB_N)
+    ct, _ = _weighted(spark, sf, _chars(spark, sf), CHAR_VOCAB_N)
+    out = tx.concat_spaces([(wt, ids.count()), (ct, CHAR_VOCAB_N)], "tfidf")
     return out.select("doc_id", "term_id", round6(F.col("tfidf")).alias("tfidf"))
 
 
@@ -223,7 +234,7 @@ def q_document_frequency(spark, sf):
 
 @register("collection_size", fx.with_views(["texts"], "SELECT count(DISTINCT doc_id) AS n_docs FROM texts"))
 def q_collection_size(spark, sf):
-    return fx.texts(spark, sf).agg(F.count_distinct("doc_id").alias("n_docs"))
+    return spark.range(1).select(F.lit(tx.collection_size(fx.texts(spark, sf))).cast("bigint").alias("n_docs"))
 
 
 # ---- topic vocabulary (document-frequency mode, lower-cased, second stop list)
@@ -284,7 +295,7 @@ def q_doc_to_ids(spark, sf):
 _WV_DIM = 8
 _WV_SQL = ("SELECT word, [CAST(('0x' || substr(md5(word), 2 * i + 1, 2))::INTEGER / 255.0 AS FLOAT) "
            f"FOR i IN range({_WV_DIM})] AS vector FROM "
-           f"(SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{WORD_RE}')) AS word FROM texts)")
+           f"(SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{WORD_RE}')) AS word FROM documents)")
 _TL_SQL = (f"SELECT doc_id, u.word FROM texts, unnest(regexp_extract_all(lower(text), '{WORD_RE}')) "
            "AS u(word)")
 

@@ -18,20 +18,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over the cluster's cores when it has fewer splits
-    than cores (a file with one row group is one task). The CPU-heavy per-row
-    work that follows (regular expressions, parsing, model iterations) then
-    runs in parallel. A large source already has more splits than cores, so
-    this adds no shuffle at scale. Filters and column pruning still reach the
-    scan below the exchange."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # ---------------------------------------------------------------- web log
@@ -120,13 +107,14 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # fixed values: topic label by language
-TOPIC_LABELS = {"en": 1, "fr": 2, "de": 3}
+TOPIC_LABELS = {"en": 1, "fr": 2, "de": 3, "es": 4}
 
 
 def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
-    lab = (F.when(F.col("lang") == "en", 1).when(F.col("lang") == "fr", 2)
-           .when(F.col("lang") == "de", 3))
+    lab = F.lit(None).cast("int")
+    for lang, number in TOPIC_LABELS.items():
+        lab = F.when(F.col("lang") == lang, number).otherwise(lab)
     return (d.select("doc_id", "text", lab.alias("label"),
                      F.when(hash_bucket("doc_id") == 0, "test").otherwise("train").alias("split"))
             .where(F.col("label").isNotNull()))
@@ -159,8 +147,8 @@ def word_vector_expr(word_col: str = "word", dim: int = 8):
 
 
 def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(word, vector) for every distinct word of the labelled texts."""
-    t = texts(spark, sf_dir)
+    """(word, vector) for every distinct word of the documents."""
+    t = table(spark, sf_dir, "documents")
     words = t.select(F.explode(word_tokens("text", lower=True)).alias("word")).distinct()
     return words.select("word", word_vector_expr().alias("vector"))
 
@@ -199,10 +187,10 @@ FIXTURE_SQL = {
                     THEN 'test' ELSE 'train' END AS split
         FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
     "topics": """
-        SELECT doc_id, text, CASE lang WHEN 'en' THEN 1 WHEN 'fr' THEN 2 WHEN 'de' THEN 3 END AS label,
+        SELECT doc_id, text, CASE lang WHEN 'en' THEN 1 WHEN 'fr' THEN 2 WHEN 'de' THEN 3 WHEN 'es' THEN 4 END AS label,
                CASE WHEN ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT % 10 = 0
                     THEN 'test' ELSE 'train' END AS split
-        FROM documents WHERE lang IN ('en', 'fr', 'de')""",
+        FROM documents WHERE lang IN ('en', 'fr', 'de', 'es')""",
     "queries": "SELECT item_id AS qid, text FROM benchmark",
     "gold": """
         SELECT b.item_id AS qid, d.doc_id AS docid
