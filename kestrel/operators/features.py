@@ -10,6 +10,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (PCA, OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel,
                                 VectorAssembler)
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,15 +58,17 @@ def standardize(df: DataFrame, cols: Sequence[str], ddof: int = 0, suffix: str =
 
 def feature_pipeline(cat_cols: Sequence[str], num_cols: Sequence[str], out: str = "features",
                      scale: bool = True) -> Pipeline:
-    """Index + encode categories, assemble with numeric columns, scale (M5).
-    The fitted PipelineModel is what scoring re-applies to new data."""
+    """Index + encode categories, scale the numeric columns, assemble both (M5).
+    Only the numeric columns are centred: the encoded ones stay sparse. The
+    fitted PipelineModel is what scoring re-applies to new data."""
     stages = one_hot_stages(cat_cols) if cat_cols else []
-    raw = out + "_raw" if scale else out
-    stages.append(VectorAssembler(inputCols=list(num_cols) + [c + "_ohe" for c in cat_cols], outputCol=raw,
-                                  handleInvalid="keep"))
-    if scale:
-        stages.append(StandardScaler(inputCol=raw, outputCol=out, withMean=True, withStd=True))
-    return Pipeline(stages=stages)
+    encoded = [c + "_ohe" for c in cat_cols]
+    if not scale or not num_cols:
+        return Pipeline(stages=[*stages, VectorAssembler(inputCols=[*num_cols, *encoded], outputCol=out, handleInvalid="keep")])
+    return Pipeline(stages=[
+        *stages, VectorAssembler(inputCols=list(num_cols), outputCol=out + "_raw", handleInvalid="keep"),
+        StandardScaler(inputCol=out + "_raw", outputCol=out + "_scaled", withMean=True, withStd=True),
+        VectorAssembler(inputCols=[out + "_scaled", *encoded], outputCol=out, handleInvalid="keep")])
 
 
 def pca_fit(df: DataFrame, k: int, features: str = "features") -> PipelineModel:
@@ -86,8 +89,8 @@ def pca_components(spark: SparkSession, model: PipelineModel, total_variance: fl
 
 def total_variance(df: DataFrame, features: str = "features") -> float:
     """Sum of the per-dimension sample variances (one aggregation)."""
-    a = df.select(F.posexplode(vector_to_array(features)).alias("j", "x"))
-    return a.groupBy("j").agg(F.var_samp("x").alias("v")).agg(F.sum("v")).first()[0]
+    v = df.agg(Summarizer.variance(F.col(features)).alias("v")).first().v
+    return float(v.toArray().sum())
 
 
 def pca_reconstruct_mse(df: DataFrame, model: PipelineModel, features: str = "features") -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
@@ -43,10 +43,6 @@ def regressor(name: str, label: str = "label", features: str = "features", **par
     return REGRESSORS[name](labelCol=label, featuresCol=features, **params)
 
 
-def fit_pipeline(df: DataFrame, stages: Sequence) -> PipelineModel:
-    return Pipeline(stages=list(stages)).fit(df)
-
-
 def logistic(family: str = "binomial", reg: float = 0.0, l1: bool = False, label: str = "label",
              features: str = "features", **params) -> LogisticRegression:
     """Binary or multinomial logistic regression with none / L2 / L1 penalty."""
@@ -58,11 +54,16 @@ def ridge(alpha: float, n_rows: int, label_std: float, label: str = "label",
           features: str = "features") -> LinearRegression:
     """Ridge with the penalty alpha * ||w||^2 of least squares written as a sum
     (G12). Spark minimises 1/(2n) * RSS + regParam/2 * ||w||^2 with the
-    penalty scaled by the label's std, so regParam = alpha * std_y / n."""
-    return LinearRegression(labelCol=label, featuresCol=features, regParam=alpha * label_std / n_rows,
+    penalty scaled by the label's std, so regParam = alpha * std_y / n. The
+    normal-equation solver takes 4,096 features at most; wider inputs raise."""
+    return LinearRegression(labelCol=label, featuresCol=features, regParam=ridge_penalty(alpha, n_rows, label_std),
                             elasticNetParam=0.0, standardization=False, solver="normal")
 
 
+def ridge_penalty(alpha: float, n_rows: int, label_std: float) -> float:
+    return alpha * label_std / n_rows
+
+
 def gamma_glm(link: str = "identity", label: str = "label", features: str = "features", **params):
     """Gamma GLM for positive amounts (G15); ``link='log'`` when identity does
     not converge."""

@@ -112,10 +112,13 @@ def q_kmeans_user_factors(spark, sf):
 @register("largest_cluster_top_genres_kmeans")
 def q_largest_cluster_top_genres_kmeans(spark, sf):
     """G4 on ALS + KMeans clusters: top 5 genres liked by the largest cluster,
-    in the train and test part of the 80 % split."""
-    tr, te = _splits(spark, sf, (0.8,))["0.8"]
-    assign = rs.cluster_factors(rs.als_fit(rs.pair_ratings(tr)), k=20)
+    in the train and test part of the three time splits."""
     items = fx.items(spark, sf)
-    a = rs.largest_cluster_top_genres(assign, tr, items).select(F.lit("train").alias("part"), "genre", "n")
-    b = rs.largest_cluster_top_genres(assign, te, items).select(F.lit("test").alias("part"), "genre", "n")
-    return a.unionByName(b)
+    out = None
+    for split, (tr, te) in _splits(spark, sf).items():
+        assign = rs.cluster_factors(rs.als_fit(rs.pair_ratings(tr)), k=20)
+        for part, rows in (("train", tr), ("test", te)):
+            top = rs.largest_cluster_top_genres(assign, rows, items).select(
+                F.lit(split).alias("split"), F.lit(part).alias("part"), "genre", "n")
+            out = top if out is None else out.unionByName(top)
+    return out
