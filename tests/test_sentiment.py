@@ -77,3 +77,11 @@ def test_running_weight_blocks_agree(spark):
                 w *= mods.get(word, 1.0)
                 want.append((d, p, w))
     assert one == sorted(want)
+
+
+def test_many_modifiers_give_a_finite_weight(spark):
+    words = ["very", "barely"] * 1200 + ["not", "good"]
+    tokens = spark.createDataFrame([(1, i, w) for i, w in enumerate(words)], "doc_id long, pos int, word string")
+    weights = [r.weight for r in se.running_weight_product(tokens).orderBy("pos").collect()]
+    assert weights[:4] == [2.0, 1.0, 2.0, 1.0] and weights[-1] == -1.0
+    assert all(1.0 <= abs(w) <= 2.0 for w in weights)

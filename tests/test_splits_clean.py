@@ -87,3 +87,23 @@ def test_oversample_weights_equal_replicated_fit(spark):
     b = lr.copy().setWeightCol("weight").fit(wtd)
     assert all(abs(u - v) < 1e-4 for u, v in zip(a.coefficients, b.coefficients))
     assert abs(a.intercept - b.intercept) < 1e-4
+
+
+def test_cut_by_counting_equals_cut_by_sorting(spark):
+    import random
+
+    rng = random.Random(4)
+    data = [(i, rng.choice([1, 1, 1, 2, 3, rng.randrange(1000)])) for i in range(500)]  # many ties on the key
+    df = spark.createDataFrame(data, "id long, t long")
+    order = [i for i, _ in sorted(data, key=lambda r: (r[1], r[0]))]
+    for fraction in (0.0, 0.001, 0.3, 0.5, 0.999, 1.0):
+        got = {r.id for r in sp.sequential_split(df, ["t", "id"], fraction).where("split = 'train'").collect()}
+        assert got == set(order[:int(fraction * 500)])
+
+
+def test_undersample_edge_cases(spark):
+    df = spark.createDataFrame([(i, int(i % 7 == 0)) for i in range(100)], "id long, y int")
+    got = cl.undersample(df, F.col("y") == 1, "id", seed=3).groupBy("y").count().collect()
+    assert {r.y: r["count"] for r in got} == {0: 15, 1: 15}
+    assert cl.undersample(df.where("y = 0"), F.col("y") == 1, "id").count() == 0
+    assert cl.undersample(df.where("y = 1"), F.col("y") == 1, "id").count() == 15

@@ -79,3 +79,10 @@ def test_sort_desc_limit_plans_top_k(spark):
     assert [r.id for r in out.collect()] == [6, 13, 20]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_one_token_line_has_null_status_and_bytes(spark):
+    df = spark.createDataFrame([("n1.d1.edu",), ('n1.d1.edu - - [01/Jul/1995:00:00:01 +0000] "GET /a HTTP/1.0" 200 5',)], "value string")
+    got = sorted((r.status, r.bytes) for r in wl.parse_log(df).collect() if r.status is not None)
+    assert got == [(200, 5)]
+    assert wl.parse_log(df).where("status is null").count() == 1
