@@ -8,9 +8,9 @@ texts are first matched on the 2 * t halves and only halves that repeat are pair
 
 Texts with equal shingle sets are one node (aggregated by digest). In a table's bucket no pairs are listed: each
 node is compared with one of the bucket's largest component, links merge components, and buckets whose nodes lie
-in one component are done. When such turns find few links, the nodes left outside the largest components are
-compared with all nodes of other components that they share a table with, so no link that some bucket shows is
-lost. Links are confirmed on the full shingle sets: 100 * intersection >= 75 * union.
+in one component are done. When such turns find few links, the nodes that open buckets connect are compared in blocks of a bounded
+size, all with all, and only links leave a block; so no link that some bucket shows is lost. Links are confirmed
+on the full shingle sets: 100 * intersection >= 75 * union.
 
 Null or empty texts have no shingles and link with nothing; rows that share a doc_id are one document; rows
 with a null doc_id stay alone (component null, kept); repeated rows are returned as often; extra columns are
@@ -32,9 +32,10 @@ from kestrel.llm.tables import components, keep
 HALVES = 12
 PER_HALF = 2
 SIMILAR = 75  # per cent
-#: Of the 48 MinHash values, those that must agree before texts are fetched in later turns; at similarity
-#: 0.75 fewer agree with probability 1e-7.
-SKETCH_AGREE = 20
+#: Bounds of a block whose nodes are compared in one task, and of the columns of its incidence matrix at a time.
+BLOCK_NODES = 1024
+BLOCK_SHINGLES = 2_000_000
+TOKENS_AT_ONCE = 4096
 
 _N = 2 * HALVES * PER_HALF
 _rng = np.random.default_rng(20240611)
@@ -61,19 +62,18 @@ def half_keys(low: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, digest, halves, sketch) of every row."""
+    """(doc_id, n_shingles, digest, halves) of every row."""
 
     def make():
         def one(doc_id, text):
             h = shingle_hashes(text, words)
             if not len(h):
-                return doc_id, 0, None, None, None
-            low = minhash(h)
-            return doc_id, len(h), xxhash.xxh3_128_digest(h.tobytes()), half_keys(low).tolist(), (low >> np.uint64(48)).astype(np.uint16).tobytes()
+                return doc_id, 0, None, None
+            return doc_id, len(h), xxhash.xxh3_128_digest(h.tobytes()), half_keys(minhash(h)).tolist()
 
         return one
 
-    return map_rows(id_and_text(docs), make, struct("doc_id long, n_shingles long, digest binary, halves array<long>, sketch binary"))
+    return map_rows(id_and_text(docs), make, struct("doc_id long, n_shingles long, digest binary, halves array<long>"))
 
 
 def table_keys(nodes: DataFrame) -> DataFrame:
@@ -90,11 +90,6 @@ def table_keys(nodes: DataFrame) -> DataFrame:
     return keep(keys.join(buckets, "key"), "buckets")
 
 
-def _alike(n_a, n_b):
-    """Sizes that allow the similarity."""
-    return F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * SIMILAR
-
-
 def confirm(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough."""
     both = (pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
@@ -120,20 +115,6 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> DataFrame
     return both.mapInArrow(run, struct("a long, b long"))
 
 
-def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs that the sketches leave possible."""
-    side = lambda c: nodes.select(F.col("node").alias(c), F.col("sketch").alias(f"sketch_{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sketch_a", "sketch_b")
-
-    def run(batches):
-        for batch in pieces(batches, 8192):
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, _N) for i in (2, 3))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= SKETCH_AGREE))
-
-    return both.mapInArrow(run, struct("a long, b long"))
-
-
 def _open(members: DataFrame, label: DataFrame) -> DataFrame:
     """(key, node, component, size) of the buckets whose nodes lie in several components."""
     sizes = label.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
@@ -157,24 +138,62 @@ def _one_each(open_: DataFrame, turn: int) -> DataFrame:
             .select(F.least("best.p", "node").alias("a"), F.greatest("best.p", "node").alias("b")).distinct())
 
 
-def _all_left(open_: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(a, b): all pairs of nodes that share a table and lie in different components, once each.
-
-    One component of each bucket is spared; every such pair has a node outside it. Pairs meet by halves of A and
-    are taken at the first half that they share, if they share one of B and their sizes allow the similarity.
+def _block_links(node: np.ndarray, component: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links (a, b) that join different components of a block: of all pairs, one tree for each group they form."""
+    n, size = len(node), np.array([len(x) for x in sets], np.int64)
+    token, at = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(n), size)
+    shared = np.bincount(at, minlength=len(token)) > 1
+    place = np.cumsum(shared) - 1
+    owner, at = owner[shared[at]], place[at[shared[at]]]
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    common = np.zeros((n, n), np.float32)  # exact: counts stay far below 2^24
+    for start in range(0, int(shared.sum()), TOKENS_AT_ONCE):
+        lo, hi = np.searchsorted(at, (start, start + TOKENS_AT_ONCE))
+        x = np.zeros((n, TOKENS_AT_ONCE), np.float32)
+        x[owner[lo:hi], at[lo:hi] - start] = 1
+        common += x @ x.T
+    common = common.astype(np.int64)
+    linked = 100 * common >= SIMILAR * (size[:, None] + size[None, :] - common)
+    linked |= component[:, None] == component[None, :]
+    out, seen = [], np.zeros(n, bool)
+    for root in range(n):
+        if seen[root]:
+            continue
+        todo = [root]
+        seen[root] = True
+        while todo:
+            x = todo.pop()
+            fresh = np.flatnonzero(linked[x] & ~seen)
+            seen[fresh] = True
+            todo += fresh.tolist()
+            out += [(int(node[x]), int(node[y])) for y in fresh if component[x] != component[y]]
+    return out
+
+
+def _all_left(open_: DataFrame, nodes: DataFrame, texts: DataFrame, words: int = WORDS) -> DataFrame:
+    """(a, b): links between different components of the open buckets, from all their pairs.
+
+    Nodes that open buckets connect form a cluster. A cluster is cut into blocks of a bounded size, and every pair of
+    blocks is compared in a task of its own; tasks give links, never pairs.
     """
-    spared = open_.groupBy("key").agg(F.min(F.struct(-F.col("size"), "component")).alias("s")).select("key", F.col("s.component").alias("spared"))
-    few = open_.join(spared, "key").where("component <> spared").select("node").distinct().withColumn("few", F.lit(True))
-    known = open_.select("node", "component").distinct().join(few, "node", "left").join(nodes, "node").select(
-        "node", "component", F.coalesce("few", F.lit(False)).alias("few"), "n_shingles",
-        F.slice("halves", 1, HALVES).alias("a"), F.slice("halves", HALVES + 1, HALVES).alias("b"))
-    known = keep(known, "known")
-    side = lambda df, c: df.select(F.explode("a").alias("half"), F.struct(*known.columns).alias(c))
-    x, y = F.col("x"), F.col("y")
-    once = (x["component"] != y["component"]) & (~y["few"] | (x["node"] < y["node"])) & _alike(x["n_shingles"], y["n_shingles"])
-    met = (F.element_at(F.array_intersect(x["a"], y["a"]), 1) == F.col("half_x")) & F.arrays_overlap(x["b"], y["b"])
-    pairs = side(known.where("few"), "x").withColumnRenamed("half", "half_x").join(side(known, "y"), (F.col("half_x") == F.col("half")) & once & met)
-    return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    first = open_.groupBy("key").agg(F.min("node").alias("first"))
+    ties = open_.join(first, "key").select(F.col("node").alias("a"), F.col("first").alias("b")).where("a <> b").distinct()
+    cluster = components(ties).withColumnRenamed("component", "cluster")
+    placed = keep(open_.select("node", "component").distinct().join(cluster, "node")
+                  .join(nodes.groupBy("node").agg(F.max("n_shingles").alias("n_shingles")), "node"), "clusters")
+    cuts = placed.groupBy("cluster").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_NODES), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("cuts"))
+    block = F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")
+    pairs = placed.join(cuts, "cluster").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    pairs = pairs.select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "component")
+    rows = pairs.join(texts.withColumnRenamed("doc_id", "node"), "node").select("cluster", "i", "j", "node", "component", "text")
+
+    def run(t: pa.Table) -> pa.Table:
+        found = _block_links(t["node"].to_numpy(), t["component"].to_numpy(), [shingle_hashes(x.as_py(), words) for x in t["text"]])
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+    return rows.groupBy("cluster", "i", "j").applyInArrow(run, struct("a long, b long"))
 
 
 def links(nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
@@ -192,14 +211,14 @@ def links(nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
     while open_.head(1):
         turn += 1
         pairs = keep(_one_each(open_, turn), "pairs")
-        fresh = keep(confirm(_likely(pairs, nodes), texts), "links")
+        fresh = keep(confirm(pairs, texts), "links")
         found = fresh.count()
         if found:
             label = _more(label, fresh)
             open_ = _open(open_, label)
-        if found * 10 < pairs.count():  # few nodes left that link with many others: compare with all
+        if found * 4 < pairs.count():  # few of the nodes left link with many others: compare with all
             if open_.head(1):
-                fresh = keep(confirm(_likely(_all_left(open_, nodes), nodes), texts), "links")
+                fresh = keep(_all_left(open_, nodes, texts), "links")
                 if fresh.head(1):
                     label = _more(label, fresh)
             break
@@ -213,7 +232,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     same = sets.groupBy("digest").agg(F.min("doc_id").alias("node"))
     member = keep(sets.select("doc_id", "digest").distinct().join(same, "digest").select("doc_id", "node"), "members")
     nodes = keep(sets.join(same.withColumnRenamed("node", "doc_id"), ["digest", "doc_id"], "left_semi")
-                 .select(F.col("doc_id").alias("node"), "n_shingles", "halves", "sketch"), "nodes")
+                 .select(F.col("doc_id").alias("node"), "n_shingles", "halves"), "nodes")
     texts = id_and_text(docs).where("doc_id is not null")
     label = links(nodes, texts)
     if label is None:
