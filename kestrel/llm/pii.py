@@ -7,7 +7,9 @@ corpus, whatever follows; an instance that is no seed is as sure as its best pat
 sums propagate this, and tokens behind patterns of high confidence and support become identifiers (kind ``id``).
 
 Counts of the patterns' occurrences cover every text: hashes of word pairs pass a bitmap of ``BITMAP`` places made
-from the patterns (a constant size), and only those that pass are summed and joined.
+from the patterns (a constant size), and only those that pass are summed and joined. A pattern that has too many
+occurrences in a part of the corpus already can't reach the confidence in the whole; parts of growing size drop such
+patterns (two common words, in the main) before all texts are counted.
 
 A null or empty text has no spans; repeated rows are searched each; extra columns are kept by ``redact`` and dropped
 by ``find``; an empty table gives an empty one. Patterns are written so that they take linear time on long runs:
@@ -29,6 +31,8 @@ MIN_SEEDS = 3
 ROUNDS = 3
 MIN_TOKEN = 6
 BITMAP = 1 << 18
+#: One text in so many is counted before all are.
+PARTS = (256, 16)
 
 _PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -143,10 +147,18 @@ def _occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
 def discover(docs: DataFrame, found: DataFrame) -> DataFrame | None:
     """(_key, extra array of (start, end)) of the tokens behind trusted patterns; None if no pattern has enough seeds."""
     mentions = keep(found.where(F.size("_mentions") > 0).select("_key", F.inline("_mentions")), "mentions")
-    supported = keep(mentions.where("seed").groupBy("context").agg(F.countDistinct("value").alias("seeds")).where(F.col("seeds") >= MIN_SEEDS), "patterns")
+    seeds = mentions.where("seed").groupBy("context").agg(F.countDistinct("value").alias("seeds")).where(F.col("seeds") >= MIN_SEEDS)
+    supported = keep(mentions.groupBy("context").agg(F.count(F.lit(1)).alias("n")).join(seeds, "context"), "patterns")
+    for part in (*PARTS, 1):
+        if not supported.head(1):
+            return None
+        texts = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(part)) == 0) if part > 1 else docs
+        counted = supported.join(_occurrences(texts.select("text"), supported), "context", "left").withColumn("occurrences", F.coalesce("occurrences", F.lit(0)))
+        # no more than all n mentions can be sure
+        supported = keep(counted.where(F.col("n") >= (F.col("occurrences") + 1) * MIN_CONFIDENCE).drop("seeds" if part == 1 else "occurrences"), "patterns")
     if not supported.head(1):
         return None
-    counted = keep(supported.join(_occurrences(docs.select("text"), supported), "context").select("context", "occurrences"), "contexts")
+    counted = supported.select("context", "occurrences")
     edges = keep(mentions.groupBy("context", "value").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed")).join(counted, "context"), "edges")
     known = edges.groupBy("value").agg(F.max(F.col("seed").cast("double")).alias("sure"))
     for _ in range(ROUNDS):
