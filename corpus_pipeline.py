@@ -67,7 +67,7 @@ def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, token_ids, ids_sha256, decoded_sha256) of every document."""
     files = bpe_files()
-    return bpe.decode(bpe.encode(docs, *files), *files).select(
+    return bpe.encode_and_decode(docs, *files).select(
         "doc_id", F.expr("octet_length(token_ids) div 4").alias("n_tokens"), "token_ids",
         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

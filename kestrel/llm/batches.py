@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -14,8 +16,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Most bytes of an Arrow batch on its way to a Python worker; Spark's own 64 MB, on both sides and for each core, is
+#: much beside an executor's heap.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's bound for Arrow batches to ``BATCH_BYTES``."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+#: Caches of a worker that a task's end empties.
+CACHES: list[dict] = []
+
+
+def lean(run: Callable) -> Callable:
+    """``run`` for mapInArrow, giving back what it no longer needs when a task ends: workers stay for later stages, and
+    what they hold counts beside the executor's heap."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            for cache in CACHES:
+                cache.clear()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the whole text (null: empty); other columns, whatever their names, are dropped."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias(id_col), F.coalesce(F.col(text_col), F.lit("")).alias(text_col))
 
 
@@ -29,6 +63,7 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
 def map_rows(df: DataFrame, make: Callable[[], Callable[..., tuple]], schema: T.StructType) -> DataFrame:
     """One output row per input row. ``make`` is called once per task and returns a function that takes
     the values of a row and returns those of the output row."""
+    small_batches(df.sparkSession)
     names = schema.fieldNames()
     types = arrow_types(schema)
 
@@ -39,11 +74,12 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[..., tuple]], schema: T.
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out), types)], names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def append(df: DataFrame, inputs: list[str], make: Callable[[], Callable[..., tuple]], schema: T.StructType) -> DataFrame:
     """All columns of ``df`` and those of ``schema``, computed for each row from its ``inputs`` as in ``map_rows``."""
+    small_batches(df.sparkSession)
     at = [df.columns.index(c) for c in inputs]
     types = arrow_types(schema)
     names = [*df.columns, *schema.fieldNames()]
@@ -55,7 +91,7 @@ def append(df: DataFrame, inputs: list[str], make: Callable[[], Callable[..., tu
             if out:
                 yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(v, t) for v, t in zip(zip(*out), types))], names)
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, *schema.fields]))
+    return df.mapInArrow(lean(run), T.StructType([*df.schema.fields, *schema.fields]))
 
 
 _ARROW = {

@@ -89,3 +89,19 @@ def decode(tokens: DataFrame, rank_file: str, pattern: str) -> DataFrame:
         return lambda doc_id, data: (doc_id, data, enc.decode_bytes(_unpack(data or b"")))
 
     return map_rows(tokens.select("doc_id", "token_ids"), make, struct("doc_id long, token_ids binary, decoded binary"))
+
+
+def encode_and_decode(docs: DataFrame, rank_file: str, pattern: str, limit: int = PIECE_CHARS) -> DataFrame:
+    """(doc_id, token_ids, decoded) as ``decode(encode(docs))`` gives them, in one pass of one Python worker a task."""
+
+    def make():
+        enc = encoding(rank_file, pattern)
+
+        def one(doc_id, text):
+            ids = [i for p in safe_pieces(text, limit) for i in enc.encode_ordinary(p)]
+            packed = _pack(ids)
+            return doc_id, packed, enc.decode_bytes(_unpack(packed))
+
+        return one
+
+    return map_rows(id_and_text(docs), make, struct("doc_id long, token_ids binary, decoded binary"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.batches import append, id_and_text, pieces, struct
+from kestrel.llm.batches import append, id_and_text, lean, pieces, struct
 
 ERROR_RATE = 0.05
 MIN_PIECE = 12
@@ -146,7 +146,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RAT
                     yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(i, pa.int64()), pa.array(e, pa.int32()),
                                                       pa.array(p, pa.int64())], schema.fieldNames())
 
-        return texts.mapInArrow(run, schema)
+        return texts.mapInArrow(lean(run), schema)
 
     result = None
     for block in item_blocks(benchmark):

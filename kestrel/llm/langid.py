@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.batches import map_rows, pieces, struct
+from kestrel.llm.batches import lean, map_rows, pieces, small_batches, struct
 
 BIN_BITS = 16
 BINS = 1 << BIN_BITS
@@ -99,9 +99,10 @@ def fit(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") ->
                 [pa.array([lang] * (len(at) + 1), pa.string()), pa.array(np.append(at, -1).astype(np.int32)),
                  pa.array(np.append(mine[at], docs[lang]))], ["lang", "bin", "n"])
 
+    small_batches(labelled.sparkSession)
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     per_task = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).mapInArrow(
-        count, struct("lang string, bin int, n long"))
+        lean(count), struct("lang string, bin int, n long"))
     summed = per_task.groupBy("lang", "bin").agg(F.sum("n").alias("n"))
     got = summed.toPandas()  # languages x bins rows at most
     languages = sorted(got["lang"].unique().tolist())

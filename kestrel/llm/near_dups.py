@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.batches import id_and_text, map_rows, pieces, struct
+from kestrel.llm.batches import id_and_text, lean, map_rows, pieces, struct
 from kestrel.llm.shingles import WORDS, mix, shingle_hashes
 from kestrel.llm.tables import components, keep
 
@@ -112,7 +112,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> DataFrame
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*out)], ["a", "b"])
 
-    return both.mapInArrow(run, struct("a long, b long"))
+    return both.mapInArrow(lean(run), struct("a long, b long"))
 
 
 def _open(members: DataFrame, label: DataFrame) -> DataFrame:

@@ -45,7 +45,7 @@ def bpe_files() -> tuple[str, str]:
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document, decoded from its ids."""
     files = bpe_files()
-    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), *files), *files)
+    both = bpe.encode_and_decode(table(spark, sf_dir, "documents"), *files)
     return both.select("doc_id", F.expr("octet_length(token_ids) div 4").alias("n_tokens"),
                        F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

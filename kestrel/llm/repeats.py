@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm.anchors import CORE, WINDOW, anchors, window_hashes
-from kestrel.llm.batches import id_and_text, pieces, struct
+from kestrel.llm.batches import id_and_text, lean, pieces, struct
 from kestrel.llm.shingles import mix
 from kestrel.llm.suffix_runs import decode, front_code, merge
 from kestrel.llm.tables import keep
@@ -101,7 +101,7 @@ def _stretches(texts: DataFrame) -> DataFrame:
         if parts:
             yield from flush(parts)
 
-    return texts.select("key", "text").mapInArrow(run, struct("spread long, core long, stretch long, key long, place long, seen boolean"))
+    return texts.select("key", "text").mapInArrow(lean(run), struct("spread long, core long, stretch long, key long, place long, seen boolean"))
 
 
 def _classified(stretches: DataFrame, slots: int) -> DataFrame:
@@ -159,7 +159,7 @@ def _classified(stretches: DataFrame, slots: int) -> DataFrame:
             yield from settle(held[0], False)
 
     dealt = stretches.repartition("spread").sortWithinPartitions("seen", "core", "stretch", "key", "place")
-    return dealt.select("core", "stretch", "key", "place", "seen").mapInArrow(run, struct("key long, place long, slot int"))
+    return dealt.select("core", "stretch", "key", "place", "seen").mapInArrow(lean(run), struct("key long, place long, slot int"))
 
 
 def _runs(texts: DataFrame, open_places: DataFrame) -> DataFrame:
@@ -207,7 +207,7 @@ def _runs(texts: DataFrame, open_places: DataFrame) -> DataFrame:
 
     per_text = open_places.groupBy("key").agg(F.collect_list(F.struct("place", "slot")).alias("p")).select("key", "p.place", "p.slot")
     return texts.select("key", "text").join(per_text, "key").select("key", "text", "place", "slot").mapInArrow(
-        run, struct("slot int, run binary, a long, b long, key long, start long"))
+        lean(run), struct("slot int, run binary, a long, b long, key long, start long"))
 
 
 def _unpack(data: bytes):
@@ -301,7 +301,7 @@ def _merged(runs: DataFrame) -> DataFrame:
         if blobs:
             yield from slot_intervals(blobs)
 
-    return runs.repartition("slot").sortWithinPartitions("slot").mapInArrow(run, struct("key long, start long, end long"))
+    return runs.repartition("slot").sortWithinPartitions("slot").mapInArrow(lean(run), struct("key long, start long, end long"))
 
 
 def _hot_windows(windows: DataFrame) -> DataFrame:
@@ -348,4 +348,4 @@ def without_repeats(docs: DataFrame, slots: int | None = None) -> DataFrame:
                 yield _batch(schema, *zip(*out))
 
     return texts.join(per_text, "key", "left").select("doc_id", "text", "starts", "ends").mapInArrow(
-        run, struct("doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))
+        lean(run), struct("doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))

@@ -5,8 +5,10 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from kestrel.llm.batches import CACHES
+
 WORDS = 5
-_CACHE_WORDS = 500_000
+_CACHE_WORDS = 200_000
 
 
 class _WordHash(dict):
@@ -20,6 +22,7 @@ class _WordHash(dict):
 
 
 _hash = _WordHash()
+CACHES.append(_hash)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

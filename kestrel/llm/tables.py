@@ -1,19 +1,14 @@
-"""Tables written between the steps of an operator, and connected components over them."""
+"""Tables written between the steps of an operator (``keep``), and connected components over them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.session import scratch_path
+# Executors that are lost after a table is written take nothing of it with them, and the steps before aren't run again.
+from kestrel.session import materialise as keep
 
-
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the folder of spark.checkpoint.dir and read again: executors that are lost
-    afterwards take nothing with them, and the steps before aren't computed again."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["components", "keep"]
 
 
 def _mark(edges: DataFrame) -> tuple:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.batches import id_and_text, map_rows, struct
+from kestrel.llm.batches import CACHES, id_and_text, map_rows, struct
 
 MAX_SAMPLE = 8000
 FEATURES = 1 << 18
@@ -52,6 +52,7 @@ class _Bins(dict):
 
 
 _bins = _Bins()
+CACHES.append(_bins)
 
 
 def count_features(text: str) -> tuple[np.ndarray, np.ndarray]:
