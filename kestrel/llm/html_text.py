@@ -143,12 +143,16 @@ class _Tree(HTMLParser):
 
 def parse(page: str) -> Node:
     tree = _Tree()
+    rest = ""
     try:
         tree.feed(page)
+        if re.match(r"</?[A-Za-z]", tree.rawdata):  # a tag that the page's end cuts off
+            rest, tree.rawdata = tree.rawdata, ""
         tree.close()
-    except AssertionError:  # the parser gives up on a malformed declaration: the rest is taken without markup
-        rest = tree.rawdata[1:] if tree.rawdata else ""
-        tree.handle_data(html.unescape(re.sub(r"<[^>]*>", " ", rest)))
+    except AssertionError:  # the parser gives up on a malformed declaration
+        rest = tree.rawdata[1:]
+    if rest:  # taken without its markup
+        tree.handle_data(html.unescape(re.sub(r"<[^>]*>?", " ", rest)))
     return tree.root
 
 
