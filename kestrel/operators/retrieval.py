@@ -37,7 +37,7 @@ def build_postings(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     return t.groupBy("term", "docid").agg(F.count(F.lit(1)).alias("tf"))
 
 
-BUCKETS = 64
+BUCKETS = 32
 SALTS = 16
 
 
@@ -56,11 +56,11 @@ class Index:
     n_docs: int
 
 
-def write_index(postings: DataFrame, path: str) -> Index:
+def write_index(postings: DataFrame, path: str, salts: int = SALTS) -> Index:
     """Write the index under ``path`` and return it. Postings lie in one folder for each term bucket, spread over
-    ``SALTS`` tasks by document, so that a frequent term is not one task; df, norms and N are kept beside them."""
+    ``salts`` tasks by document, so that a frequent term is not one task; df, norms and N are kept beside them."""
     spark = postings.sparkSession
-    (postings.withColumn("term_bucket", _bucket()).repartition(F.col("term_bucket"), F.pmod(F.xxhash64("docid"), F.lit(SALTS)))
+    (postings.withColumn("term_bucket", _bucket()).repartition(F.col("term_bucket"), F.pmod(F.xxhash64("docid"), F.lit(salts)))
      .write.partitionBy("term_bucket").parquet(f"{path}/postings"))
     stored = spark.read.schema(T.StructType([*postings.schema.fields, T.StructField("term_bucket", T.IntegerType())])).parquet(f"{path}/postings")
     stored.groupBy("term_bucket", "term").agg(F.count(F.lit(1)).alias("df")).write.parquet(f"{path}/terms")

@@ -98,7 +98,7 @@ def _qterms(spark, sf, stop=True):
 
 def _index(spark, sf, stop=True):
     """The index of the documents, written under the checkpoint folder."""
-    return rt.write_index(_postings(spark, sf, stop), scratch_path(spark, "index"))
+    return rt.write_index(_postings(spark, sf, stop), scratch_path(spark, "index"), salts=2)
 
 
 def _retrieve(spark, sf, weighting, mode="fixed", stop=True):
