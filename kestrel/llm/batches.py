@@ -97,6 +97,7 @@ def append(df: DataFrame, inputs: list[str], make: Callable[[], Callable[..., tu
 _ARROW = {
     "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(),
     "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
+    "array<string>": pa.list_(pa.string()), "array<double>": pa.list_(pa.float64()),
 }
 
 
@@ -108,5 +109,6 @@ def struct(ddl: str) -> T.StructType:
     """A schema from ``name type, ...``."""
     simple = {"long": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType(),
               "boolean": T.BooleanType(), "binary": T.BinaryType(), "array<long>": T.ArrayType(T.LongType()),
-              "array<int>": T.ArrayType(T.IntegerType())}
+              "array<int>": T.ArrayType(T.IntegerType()), "array<string>": T.ArrayType(T.StringType()),
+              "array<double>": T.ArrayType(T.DoubleType())}
     return T.StructType([T.StructField(n, simple[t]) for n, t in (f.split() for f in ddl.split(","))])

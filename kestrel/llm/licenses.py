@@ -1,9 +1,12 @@
 """Licence scans: normalised text against licence templates by the Dice coefficient over word bigrams.
 
-Units of a text are its lines, its paragraphs (between empty lines) and the whole text, so a licence line in
-front of an article is found as well as a document that is a licence. With a and b bigrams in the two
-multisets, Dice = 2 * common / (a + b) reaches a threshold t only if a lies between t / (2 - t) * b and
-(2 - t) / t * b; templates outside these bounds are not compared.
+Units of a text are all runs of neighbouring lines (empty ones don't count): single lines, paragraphs, notices of
+several paragraphs inside a longer document, hard-wrapped headers, and the whole text. Templates are the notices
+below and the complete texts in ``license_texts``, those also by paragraph.
+
+With a and b bigrams in the two multisets, Dice = 2 * common / (a + b) reaches a threshold t only if a lies between
+t / (2 - t) * b and (2 - t) / t * b, and only if at least t / (2 - t) * b bigrams of the template are in the unit,
+hence in the text: runs are made only for templates that the text as a whole has so much of.
 
 A null or empty text has no licence (null, score 0); equal scores go to the licence name that sorts first;
 repeated rows are scanned each; extra columns are dropped; an empty table gives an empty one.
@@ -11,10 +14,14 @@ repeated rows are scanned each; extra columns are dropped; an empty table gives
 
 from __future__ import annotations
 
+import pkgutil
 import re
 from collections import Counter
+from functools import cache, lru_cache
 
+import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from kestrel.llm.batches import id_and_text, map_rows, struct
 
@@ -82,6 +89,12 @@ TEMPLATES = (
                   "binary, for any purpose, commercial or non-commercial, and by any means."),
 )
 
+#: Licences whose complete text is a file in ``license_texts``.
+TEXTS = ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.0", "LGPL-2.1",
+         "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense")
+#: Shorter paragraphs of a complete text (headings, definitions) don't tell a licence.
+PARAGRAPH_WORDS = 20
+
 _WORD = re.compile(r"[^\W_]+")
 _PARAGRAPH = re.compile(r"\n[^\S\n]*\n")
 
@@ -95,62 +108,118 @@ def bigrams(ws: list[str]) -> Counter:
     return Counter(zip(ws, ws[1:]))
 
 
+@cache
+def all_templates() -> tuple[tuple[str, str], ...]:
+    """``TEMPLATES``, the complete texts, and their paragraphs that no other licence has as well."""
+    texts = [(name, pkgutil.get_data(__package__, f"license_texts/{name}.txt").decode()) for name in TEXTS]
+    paragraphs = [(name, p) for name, text in texts for p in _PARAGRAPH.split(text) if len(words(p)) >= PARAGRAPH_WORDS]
+    matcher = Matcher(paragraphs, THRESHOLD)
+    return (*TEMPLATES, *texts, *((name, p) for name, p in paragraphs if {m[1] for m in matcher.matches(" ".join(words(p)))} == {name}))
+
+
 class Matcher:
-    """Templates by size, each with its bigram multiset."""
+    """Templates as counts of their bigrams."""
 
     def __init__(self, templates, threshold: float):
         if not 0 < threshold <= 1:
             raise ValueError("threshold must lie in (0, 1]")
+        made = [(name, grams) for name, grams in ((name, bigrams(words(text))) for name, text in templates) if grams]
         self.threshold = threshold
-        self.by_size: dict[int, list[tuple[str, Counter, int]]] = {}
-        made = [(name, bigrams(words(text))) for name, text in templates]
-        for name, grams in made:
-            b = sum(grams.values())
-            low, high = threshold / (2 - threshold) * b, (2 - threshold) / threshold * b
-            for a in range(max(1, int(low)), int(high) + 2):
-                self.by_size.setdefault(a, []).append((name, grams, b))
-        self.vocabulary = {w for _, grams in made for pair in grams for w in pair}
-        self.most = max(self.by_size, default=0)
-
-    def best(self, ws: list[str], found: tuple[float, str | None]) -> tuple[float, str | None]:
-        """The better of ``found`` and the best template for a unit of these words."""
-        a = len(ws) - 1
-        candidates = self.by_size.get(a)
-        # at least half of the bigrams must be shared, hence a word of the vocabulary among the first few
-        if not candidates or not self.vocabulary.intersection(ws):
-            return found
-        grams = bigrams(ws)
-        for name, other, b in candidates:
-            common = sum(min(n, grams[g]) for g, n in other.items() if g in grams)
-            dice = 2 * common / (a + b)
-            if dice >= self.threshold and (dice > found[0] or dice == found[0] and name < (found[1] or "~")):
-                found = dice, name
-        return found
+        self.names = [name for name, _ in made]
+        self.sizes = np.array([sum(grams.values()) for _, grams in made], np.int64)
+        self.ids = {w: i for i, w in enumerate(sorted({w for _, grams in made for pair in grams for w in pair}))}
+        code = lambda pair: self.ids[pair[0]] * len(self.ids) + self.ids[pair[1]]
+        self.codes = np.array(sorted({code(pair) for _, grams in made for pair in grams}), np.int64)
+        self.counts = np.zeros((len(self.codes), len(made)), np.int32)
+        for i, (_, grams) in enumerate(made):
+            self.counts[np.searchsorted(self.codes, [code(pair) for pair in grams]), i] = list(grams.values())
+        # rounded to the safe side: what passes is compared exactly
+        self.least = np.floor(threshold / (2 - threshold) * self.sizes).clip(1).astype(np.int64)
+        self.most = np.ceil((2 - threshold) / threshold * self.sizes).astype(np.int64)
+
+    def _found(self, ws: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the text's bigrams that some template has, and their rows in ``counts``."""
+        get = self.ids.get
+        ids = np.array([get(w, -1) for w in ws], np.int64)
+        places = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
+        code = ids[places] * len(self.ids) + ids[places + 1]
+        rows = np.searchsorted(self.codes, code).clip(max=len(self.codes) - 1)
+        same = self.codes[rows] == code
+        return places[same], rows[same]
+
+    def matches(self, text: str) -> list[tuple[float, str, int, int, int]]:
+        """(dice, licence, bigrams of the template, first line, last line) of every run of lines and template at or above
+        the threshold; lines without words don't count."""
+        text = text.lower()
+        ws = _WORD.findall(text)
+        if len(ws) < 2 or not self.names:
+            return []
+        places, rows = self._found(ws)
+        once, n = np.unique(rows, return_counts=True)
+        common = np.zeros(len(self.names), np.int64)
+        for k in range(0, len(once), 1024):
+            common += np.minimum(self.counts[once[k:k + 1024]], n[k:k + 1024, None]).sum(0)
+        candidates = np.flatnonzero(common >= self.least)
+        if not len(candidates):
+            return []
+        lengths = np.array([n for n in (len(_WORD.findall(line)) for line in text.split("\n")) if n], np.int64)
+        ends = np.cumsum(lengths)
+        return [m for t in candidates for m in self._runs(int(t), places, rows, ends - lengths, ends)]
+
+    def _runs(self, t: int, places: np.ndarray, rows: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        """The matches of one template. A bigram that the template has c times counts in a run that starts at s if its c-th
+        last occurrence before lies in front of s."""
+        held = self.counts[rows, t] > 0
+        places, rows = places[held], rows[held]
+        order = np.argsort(rows, kind="stable")
+        back = np.arange(len(rows)) - self.counts[rows[order], t]
+        same = (back >= 0) & (rows[order][back.clip(0)] == rows[order])
+        before = np.empty(len(rows), np.int64)
+        before[order] = np.where(same, places[order][back.clip(0)], -1)
+        b, least, most = int(self.sizes[t]), int(self.least[t]), int(self.most[t])
+        first, last = np.searchsorted(places, starts), np.searchsorted(places, starts + most)
+        # a first line without a bigram of the template only lowers the score
+        useful = np.flatnonzero((last - first >= least) & (np.searchsorted(places, ends) > first))
+        for i in useful.tolist():
+            s, lo, hi = int(starts[i]), int(first[i]), int(last[i])
+            shared = np.concatenate(([0], np.cumsum(before[lo:hi] < s)))
+            if shared[-1] < least:
+                continue
+            j0, j1 = np.searchsorted(ends, s + 1 + max(1, least)), np.searchsorted(ends, s + 1 + most, "right")
+            a = ends[j0:j1] - s - 1
+            dice = 2 * shared[np.searchsorted(places, ends[j0:j1] - 1) - lo] / (a + b)
+            for k in np.flatnonzero(dice >= self.threshold).tolist():
+                yield float(dice[k]), self.names[t], b, i, int(j0) + k
 
     def scan(self, text: str) -> tuple[float, str | None]:
-        found: tuple[float, str | None] = (0.0, None)
-        whole: list[str] = []
-        for paragraph in _PARAGRAPH.split(text):
-            start, lines = len(whole), 0
-            for line in paragraph.split("\n"):
-                ws = words(line)
-                if ws:
-                    lines += 1
-                    found = self.best(ws, found)
-                    whole += ws
-            if lines > 1:
-                n = len(whole) - start
-                if n - 1 in self.by_size:
-                    found = self.best(whole[start:], found)
-        return self.best(whole, found)
-
-
-def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+        """The best template of any unit."""
+        best = min(((-dice, name) for dice, name, *_ in self.matches(text)), default=(0.0, None))
+        return -best[0] if best[1] else 0.0, best[1]
+
+    def every(self, text: str) -> list[tuple[str, float]]:
+        """(licence, score) of all licences of the text, the best first: of units that share a line the best one counts, of
+        equal ones that of the longer template."""
+        found = self.matches(text)
+        taken = bytearray(max((m[4] for m in found), default=0) + 1)  # lines
+        scores: dict[str, float] = {}
+        for dice, name, _, i, j in sorted(found, key=lambda m: (-m[0], -m[2], m[1], m[3])):
+            if taken.find(1, i, j + 1) < 0:
+                taken[i:j + 1] = b"\x01" * (j + 1 - i)
+                scores.setdefault(name, dice)
+        return sorted(scores.items(), key=lambda x: (-x[1], x[0]))
+
+
+@lru_cache(1)
+def _matcher(templates, threshold: float) -> Matcher:
+    return Matcher(templates, threshold)
+
+
+def scan(docs: DataFrame, templates=None, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, licence, score): the best template of any unit of the text, null and 0 below the threshold."""
-    templates = tuple(templates)
+    templates = all_templates() if templates is None else tuple(templates)
 
     def make():
-        matcher = Matcher(templates, threshold)
+        matcher = _matcher(templates, threshold)
 
         def one(doc_id, text):
             score, name = matcher.scan(text)
@@ -159,3 +228,20 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
         return one
 
     return map_rows(id_and_text(docs), make, struct("doc_id long, licence string, score double"))
+
+
+def every(docs: DataFrame, templates=None, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, licences): all licences of the text as an array of (licence, score), the best first."""
+    templates = all_templates() if templates is None else tuple(templates)
+
+    def make():
+        matcher = _matcher(templates, threshold)
+
+        def one(doc_id, text):
+            found = matcher.every(text)
+            return doc_id, [name for name, _ in found], [score for _, score in found]
+
+        return one
+
+    found = map_rows(id_and_text(docs), make, struct("doc_id long, licences array<string>, scores array<double>"))
+    return found.select("doc_id", F.zip_with("licences", "scores", lambda a, b: F.struct(a.alias("licence"), b.alias("score"))).alias("licences"))

@@ -1,6 +1,7 @@
 """Quality cascade, toxicity, language, licences: edge cases, order independence, accuracy on held-out rows."""
 
 import random
+import textwrap
 from collections import Counter
 
 import pytest
@@ -138,3 +139,30 @@ def test_licence_edge_cases(spark):
                                 (4, "word " * 50000 + "\n\nAll rights reserved.\n", "x")], "doc_id long, text string, licence string")
     assert [tuple(r) for r in licenses.scan(df).collect()] == [(1, None, 0.0), (2, None, 0.0), (3, "MIT", 1.0), (3, "MIT", 1.0), (4, "All-rights-reserved", 1.0)]
     assert licenses.scan(df.limit(0)).collect() == []
+
+
+def test_complete_licences_and_runs_of_lines(spark):
+    full = {name: t for name, t in licenses.all_templates()[len(licenses.TEMPLATES):][:len(licenses.TEXTS)]}
+    wrap = lambda t: "\n\n".join("\n".join(textwrap.wrap(p, 72)) for p in t.split("\n\n"))
+    article = "\n".join(f"Line {i} of an article about gardens and rivers." for i in range(40))
+    notice = next(t for name, t in licenses.TEMPLATES if name == "Apache-2.0" and len(t) > 100)
+    texts = [(name, f"Copyright (c) 2020 Some Holder\n\n{wrap(t)}") for name, t in full.items()]
+    texts += [("MIT", f"{article}\n\n{full['MIT']}\n\n{article}"), ("BSD-3-Clause", f"{article}\n{wrap(full['BSD-3-Clause'])}\n{article}"),
+              ("Apache-2.0", f"package a;\n{wrap(notice)}\nimport b;\n{article}")]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)] + [(99, f"{article}\n{wrap(full['MIT'])}\n{article}\n{wrap(full['BSD-2-Clause'])}"), (100, article)], "doc_id long, text string")
+    assert {r.doc_id: r.licence for r in licenses.scan(df).collect()} == {**{i: name for i, (name, _) in enumerate(texts)}, 99: "BSD-2-Clause", 100: None}
+    every = {r.doc_id: [x.licence for x in r.licences] for r in licenses.every(df).collect()}
+    assert every[99] == ["BSD-2-Clause", "MIT"] and every[100] == []
+    assert [every[i] for i, (name, _) in enumerate(texts) if name == "BSD-3-Clause"] == [["BSD-3-Clause"]] * 2
+
+
+def test_runs_of_lines_match_full_comparison():
+    rng = random.Random(3)
+    matcher = licenses.Matcher(licenses.TEMPLATES, licenses.THRESHOLD)
+    for _ in range(40):
+        ws = " ".join(rng.choice(licenses.TEMPLATES)[1] for _ in range(2)).split()
+        lines = " ".join(w + ("\n" if rng.random() < 0.15 else "") for w in ws if rng.random() > 0.05).split("\n")
+        units = ["\n".join(lines[i:j]) for i in range(len(lines)) for j in range(i + 1, len(lines) + 1)]
+        scores = [(-max(dice(u, t) for u in units), name) for name, t in licenses.TEMPLATES]
+        best = min((s for s in scores if -s[0] >= licenses.THRESHOLD), default=(0.0, None))
+        assert matcher.scan("\n".join(lines)) == (-best[0], best[1])
