@@ -108,9 +108,26 @@ def _context(before: Column) -> Column:
     return F.when(w2 != "", F.xxhash64(F.xxhash64(F.lower(w1)), F.xxhash64(F.lower(w2))))
 
 
+def _sums_at(xs: str, edge: str, spans: str, other: str, spans_first: bool) -> Column:
+    """For each of ``xs``, which are in order and apart, the number of spans whose ``other`` lies in front of its ``edge``
+    (or there, if ``spans_first``)."""
+    entry = lambda pos, first, n: F.struct(pos.alias("pos"), F.lit(0 if first else 1).alias("order"), F.lit(n).cast("long").alias("n"))
+    entries = F.sort_array(F.concat(F.transform(xs, lambda x: entry(x[edge], not spans_first, 0)), F.transform(spans, lambda s: entry(s[other], spans_first, 1))))
+    return F.transform(F.array(entries), lambda es: F.filter(
+        F.zip_with(es, _sums_before(F.transform(es, lambda e: e["n"])), lambda e, k: F.when(e["n"] == 0, k)), lambda k: k.isNotNull()))[0]
+
+
+def _free(df: DataFrame, xs: str, spans: str) -> DataFrame:
+    """``df`` without those elements of its array ``xs`` that overlap a span: spans that start before an element's end,
+    and don't end up to its start."""
+    df = df.withColumns({"_started": _sums_at(xs, "end", spans, "start", False), "_ended": _sums_at(xs, "start", spans, "end", True)})
+    marked = F.zip_with(F.arrays_zip("_started", "_ended"), xs, lambda k, x: F.struct((k["_started"] == k["_ended"]).alias("free"), x.alias("x")))
+    return df.withColumn(xs, F.transform(F.filter(marked, lambda m: m["free"]), lambda m: m["x"])).drop("_started", "_ended")
+
+
 def base(docs: DataFrame) -> DataFrame:
     """All columns of ``docs`` with _text, _key, _spans (start, rank, kind, end) in order, and _mentions of seeds and other
-    tokens with their contexts."""
+    tokens with their contexts: one for each occurrence of a context, so tokens that overlap a span are none."""
     df = docs.withColumn("_text", F.coalesce("text", F.lit("")))
     for kind in KINDS:
         df = _located(df, f"_{kind}", _PATTERNS[kind], _needs(kind, F.col("_text")))
@@ -121,15 +138,20 @@ def base(docs: DataFrame) -> DataFrame:
     mention = lambda x, seed, m: F.struct(
         _context(x["before"]).alias("context"), m.alias("value"), x["start"].alias("start"),
         (x["start"] + F.length(m)).alias("end"), F.lit(seed).alias("seed"))
-    seeds = [F.transform(f"_{kind}", lambda x: mention(x, True, x["m"])) for kind in KINDS]
+    # an address in front of an @ has the e-mail's context
+    df = _free(df.withColumn("_alone", F.col("_ip")), "_alone", "_email")
+    seeds = [F.transform({"ip": "_alone"}.get(kind, f"_{kind}"), lambda x: mention(x, True, x["m"])) for kind in KINDS]
     tokens = F.transform("_token", lambda x: mention(x, False, F.regexp_replace(x["m"], r"[^\p{L}\p{N}]+$", "")))
+    known = lambda mentions: F.filter(mentions, lambda t: t["context"].isNotNull())
     df = df.withColumns({
         "_spans": F.sort_array(F.concat(*(span(i, kind) for i, kind in enumerate(KINDS)))),
-        "_mentions": F.concat(*seeds, F.filter(tokens, lambda t: F.length(t["value"]) >= MIN_TOKEN)),
+        "_seeds": known(F.concat(*seeds)),
+        "_tokens": known(F.filter(tokens, lambda t: F.length(t["value"]) >= MIN_TOKEN)),
         "_key": F.when(F.col("_text").rlike("[0-9@]"), F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), F.col("_text")))),
         **{f"n_{kind}": F.size(f"_{kind}").cast("long") for kind in KINDS},
     })
-    return df.withColumn("_mentions", F.filter("_mentions", lambda t: t["context"].isNotNull())).drop(*(f"_{kind}" for kind in KINDS), "_token")
+    df = _free(df.drop(*(f"_{kind}" for kind in KINDS), "_token", "_alone"), "_tokens", "_spans")
+    return df.withColumn("_mentions", F.concat("_seeds", "_tokens")).drop("_seeds", "_tokens")
 
 
 def _occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:

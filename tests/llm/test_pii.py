@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -72,6 +73,26 @@ def test_patterns_around_seeds_find_unseen_identifiers(spark):
     assert common[6] == []
 
 
+@pytest.mark.parametrize("seed", ["user{}@mail.example.com", "10.0.0.{}", "{}.1.1.1@mail.example.com"])
+def test_an_occurrence_counts_once(spark, seed):
+    # 10 and 13 of 30 occurrences are seeds, under 60 %; 20 of 30 are over it
+    for n, ids in ((10, []), (13, []), (20, ["id"])):
+        texts = [f"please contact us {seed.format(i + 1)} or wait" for i in range(n)] + ["please contact us soon or wait"] * (30 - n - 1) + ["please contact us 2024-05-06 or wait"]
+        got = found(spark, texts, extra=True)
+        assert [s[2] for s in got[29]] == ids, n
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.integers(0, 9), max_size=12), st.lists(st.integers(0, 40), max_size=12)), min_size=20, max_size=20))
+def test_free_elements_against_brute_force(spark, rows):
+    # elements apart from each other, spans anywhere
+    made = [([(5 * i + min(x, 4), 5 * i + 5) for i, x in enumerate(xs)], sorted((s, s + 1 + s % 7) for s in spans)) for xs, spans in rows]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(made)], "i int, xs array<struct<start:bigint,end:bigint>>, spans array<struct<start:bigint,end:bigint>>")
+    got = {r.i: [tuple(x) for x in r.xs] for r in pii._free(df, "xs", "spans").collect()}
+    for i, (xs, spans) in enumerate(made):
+        assert got[i] == [x for x in xs if not any(s < x[1] and x[0] < e for s, e in spans)]
+
+
 def test_redaction(spark):
     rows = [(1, "Mail a@b.co now", "en", 15, "q"), (2, None, None, None, None), (3, "call +1 (415) 555-2671, é 10.0.0.1", "fr", 34, "r"), (4, "no data", "de", 7, "s")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long, n_email string")
