@@ -9,8 +9,9 @@ that density outside it, headed by the node of their largest sum, belong to the
 the path.
 
 Elements that never hold article text (menus, forms, scripts, page headers and footers, asides, adverts,
-notices and reader comments, by tag, role, class or id) don't count and are left out. Blocks are trimmed, their
-white space becomes one space, and they are joined in page order by one line feed.
+notices and reader comments, by tag, role, or a whole class name or id) don't count and are left out; a class or id
+drops no element around an article or main element nor, on pages without one and comments apart, one with most of the
+page's text. Blocks are trimmed, their white space becomes one space, and they are joined in page order by one line feed.
 
 A null or empty page, or one without text, gives an empty string; repeated rows are extracted each; extra
 columns are dropped; an empty table gives an empty one. Markup that is not closed is closed by its parents.
@@ -43,41 +44,62 @@ _SAME = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd
 _LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre a b i em strong span u s small big code font sub sup tt cite q mark time abbr "
                   "ins del figcaption caption summary".split())
 _SCOPE = frozenset("table td th caption button object template html".split())
+# Whole class names and ids of what isn't the text: every part between '-' and '_' is one of these words or says where and
+# in what form it stands, so 'cookie-notice' and 'site-footer' are, 'has-sidebar' and 'related-work' are not.
 _NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|sponsor\w*|promo\w*|banner|sidebar|side-?bar|menu|nav|navbar|navigation|breadcrumbs?|"
-    r"footer|page-?header|site-?header|masthead|comments?|commentlist|disqus|respond|replies|cookies?|consent|gdpr|notice|notices|"
-    r"alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|search|share|sharing|social|related|recommended|"
-    r"widget|pagination|pager|skip|copyright|legal|disclaimer|toolbar|tags)(?:$|[\s_-])", re.I)
-_PAGE_HEADER = re.compile(r"(?:^|\s)(?:header|top-?bar|head)(?:$|\s)", re.I)
+    r"ads?|advert\w*|adbox|sponsor\w*|promo\w*|banner|sidebar|menu|nav|navbar|navigation|breadcrumbs?|footer|pageheader|siteheader|masthead|"
+    r"cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|search|share|sharing|social|"
+    r"related|recommended|widget|pagination|pager|skip|copyright|legal|disclaimer|toolbar|tags")
+_PLACE = frozenset("site page global primary secondary top bottom list area link links button buttons bar box".split())
+_NOISE_NAMES = frozenset("side-bar page-header site-header".split())
+_COMMENTS = re.compile(r"(?:(?:post|article|entry|page|site|user|reader)[-_]+)?(?:comments?(?:[-_]+(?:list|area|section|body|content|text|wrap|wrapper|"
+                       r"thread|item|box|form|respond))?|commentlist|disqus(?:[-_]+thread)?|respond|replies)")
+_PAGE_HEADER = frozenset("header top-bar topbar head".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "drop", "chars", "tags", "link_chars", "link_tags", "density", "density_sum")
+    __slots__ = ("tag", "parent", "children", "drop", "named", "chars", "tags", "link_chars", "link_tags", "density", "density_sum")
 
     def __init__(self, tag: str, parent: Node | None):
-        self.tag, self.parent, self.children, self.drop = tag, parent, [], False
+        self.tag, self.parent, self.children, self.drop, self.named = tag, parent, [], False, ""
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.density_sum = 0.0
 
 
-def _is_noise(tag: str, attrs: list[tuple[str, str | None]], inside_article: bool) -> bool:
+def _is_dropped(tag: str, attrs: list[tuple[str, str | None]], inside_article: bool) -> bool:
+    """Whether the tag, role or visibility says that the element never holds article text."""
     if tag in _DROPPED or tag == "header" and not inside_article:
         return True
-    if tag in ("html", "body"):
+    if tag in ("html", "body", "article", "main"):
         return False
-    if tag in ("article", "main"):
-        return any(name in ("class", "id") and re.search(r"(?:^|[\s_-])comments?(?:$|[\s_-])", value or "", re.I) for name, value in attrs)
     for name, value in attrs:
         value = value or ""
-        if name in ("class", "id") and (_NOISE.search(value) or not inside_article and _PAGE_HEADER.search(value)) or name == "role" and value.lower() in _ROLES or \
-                name == "hidden" or name == "aria-hidden" and value.lower() == "true" or \
+        if name == "role" and value.lower() in _ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true" or \
                 name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
     return False
 
 
+def _is_noise_name(name: str) -> bool:
+    parts = [part for part in re.split("[-_]+", name) if part]
+    words = [part for part in parts if part not in _PLACE]
+    return name in _NOISE_NAMES or bool(words) and all(_NOISE.fullmatch(word) for word in words)
+
+
+def _named(tag: str, attrs: list[tuple[str, str | None]], inside_article: bool) -> str:
+    """What a class or the id calls the element: reader comments, other noise, or neither ("")."""
+    if tag in ("html", "body"):
+        return ""
+    names = [x for name, value in attrs if name in ("class", "id") for x in (value or "").lower().split()]
+    if any(_COMMENTS.fullmatch(x) for x in names):
+        return "comments"
+    if tag in ("article", "main"):
+        return ""
+    return "noise" if any(_is_noise_name(x) or not inside_article and x in _PAGE_HEADER for x in names) else ""
+
+
 class _Tree(HTMLParser):
     """Builds the tree; text outside dropped elements becomes a string child."""
 
@@ -114,7 +136,8 @@ class _Tree(HTMLParser):
         inside, n = False, self.open
         while n is not None and not inside:
             inside, n = n.tag in ("article", "main"), n.parent
-        node.drop = self.open.drop or _is_noise(tag, attrs, inside)
+        node.drop = self.open.drop or _is_dropped(tag, attrs, inside)
+        node.named = "" if node.drop else _named(tag, attrs, inside)
         self.open.children.append(node)
         if tag not in _VOID:
             self.open = node
@@ -153,6 +176,7 @@ def parse(page: str) -> Node:
         rest = tree.rawdata[1:]
     if rest:  # taken without its markup
         tree.handle_data(html.unescape(re.sub(r"<[^>]*>?", " ", rest)))
+    _drop_named(tree.root)
     return tree.root
 
 
@@ -168,6 +192,20 @@ def _nodes(root: Node) -> list[Node]:
     return out
 
 
+def _drop_named(root: Node) -> None:
+    """Drops what its class or id calls noise, but for elements around an article or main element and, on pages without
+    one, those with most of the page's text, unless they are reader comments."""
+    nodes = _nodes(root)
+    chars, holds = {}, set()
+    for n in reversed(nodes):
+        chars[id(n)] = sum(len(_SPACE.sub(" ", c).strip()) if isinstance(c, str) else chars.get(id(c), 0) for c in n.children)
+        if n.tag in ("article", "main") and not n.named or any(id(c) in holds for c in n.children if not isinstance(c, str)):
+            holds.add(id(n))
+    for n in nodes:
+        if n.named and id(n) not in holds and (n.named == "comments" or id(root) in holds or 2 * chars[id(n)] <= chars[id(root)]):
+            n.drop = True
+
+
 def _measure(nodes: list[Node]) -> None:
     for n in reversed(nodes):
         for c in n.children:

@@ -126,6 +126,24 @@ def test_main_text():
         "Second one — with some more words, and more of them still.", "One thing", "Another thing", "Quote me."]
 
 
+LONG = "A sentence of the article that runs on for a while, so that it is dense. " * 4
+
+
+@pytest.mark.parametrize("name", ["layout has-sidebar", "no-sidebar", "layout with-sidebar", "content-sidebar-wrap", "post comments-closed", "comments-open",
+                                  "sharing-enabled", "related-work", "legal-analysis", "sidebar", "widget"])
+def test_names_do_not_drop_the_article(name):
+    for page in (f"<div class='{name}'><article><p>{LONG}</p><p>{LONG}</p></article></div>", f"<div class='{name}'><p>{LONG}</p><p>{LONG}</p></div><p>x</p>",
+                 f"<article class='{name}'><p>{LONG}</p><p>{LONG}</p></article>"):
+        assert html_text.main_text(page).split("\n")[:2] == [LONG.strip()] * 2
+    if "-" in name:
+        assert html_text.main_text(f"<article><p>{LONG}</p><p>{LONG}</p><section id='{name.split()[-1]}'><p>Another part.</p></section></article>").endswith("Another part.")
+
+
+@pytest.mark.parametrize("name", ["ad", "site-footer", "x cookie-notice", "nav_menu", "side-bar", "comments", "comment-list", "Related", "advert_" * 40])
+def test_whole_names_of_noise_are_dropped(name):
+    assert html_text.main_text(f"<article><p>{LONG}</p><div class='{name}'><p>Something else.</p></div></article><div id='comments'><article class='comment-body'>{LONG * 9}</article></div>") == LONG.strip()
+
+
 @pytest.mark.parametrize("page", ["", "<", "<p", "no markup at all", "<p>open<div>never closed", "<![bad]><p>x</p>", "</p></div></b>", "<a><a><a>x", "&#0;&bad; &amp;lt;"])
 def test_odd_markup_does_not_fail(page):
     assert isinstance(html_text.main_text(page), str)
