@@ -6,7 +6,7 @@ the page, so a menu scores low and running text high. The node with the largest
 is selected (paragraphs and inline elements can't be the whole text; an article or main element around it is taken
 with it); the smallest density on the path from it up to the body is the threshold, and other subtrees of at least
 that density outside it, headed by the node of their largest sum, belong to the text as well, as do headings beside
-the path.
+the path and runs of bare text (with the inline elements in them) of the path's elements that have that density.
 
 Elements that never hold article text (menus, forms, scripts, page headers and footers, asides, adverts,
 notices and reader comments, by tag, role, or a whole class name or id) don't count and are left out; a class or id
@@ -206,31 +206,72 @@ def _drop_named(root: Node) -> None:
             n.drop = True
 
 
+def _count(n: Node) -> None:
+    """The counts of a node from those of its children."""
+    for c in n.children:
+        if isinstance(c, str):
+            n.chars += len(_SPACE.sub(" ", c).strip())
+        elif not c.drop:
+            n.chars += c.chars
+            n.tags += c.tags + 1
+            n.link_chars += c.link_chars
+            n.link_tags += c.link_tags + (c.tag == "a")
+    if n.tag == "a":
+        n.link_chars = n.chars
+
+
+def _share(body: Node) -> float:
+    """Share of link text on the page."""
+    return body.link_chars / max(1, body.chars)
+
+
+def _density(n: Node, share: float) -> float:
+    c, t, lc, lt = n.chars, max(1, n.tags), max(1, n.link_chars), max(1, n.link_tags)
+    if not c:
+        return 0.0
+    not_link = max(1, c - n.link_chars)
+    base = math.log(c / not_link * n.link_chars + share * c + math.e)
+    return c / t * max(0.0, math.log(max(1.0, c / lc * t / lt) + 1e-9) / math.log(base) if base > 1 + 1e-9 else math.log(c / lc * t / lt + 1e-9))
+
+
 def _measure(nodes: list[Node]) -> None:
     for n in reversed(nodes):
-        for c in n.children:
-            if isinstance(c, str):
-                n.chars += len(_SPACE.sub(" ", c).strip())
-            elif not c.drop:
-                n.chars += c.chars
-                n.tags += c.tags + 1
-                n.link_chars += c.link_chars
-                n.link_tags += c.link_tags + (c.tag == "a")
-        if n.tag == "a":
-            n.link_chars = n.chars
-    body = nodes[0]
-    share = body.link_chars / max(1, body.chars)
+        _count(n)
+    share = _share(nodes[0])
     for n in nodes:
-        c, t, lc, lt = n.chars, max(1, n.tags), max(1, n.link_chars), max(1, n.link_tags)
-        if not c:
-            continue
-        not_link = max(1, c - n.link_chars)
-        base = math.log(c / not_link * n.link_chars + share * c + math.e)
-        n.density = c / t * max(0.0, math.log(max(1.0, c / lc * t / lt) + 1e-9) / math.log(base) if base > 1 + 1e-9 else math.log(c / lc * t / lt + 1e-9))
+        n.density = _density(n, share)
     for n in nodes:
         n.density_sum = sum(c.density for c in n.children if not isinstance(c, str) and not c.drop)
 
 
+def _wrap_runs(p: Node, inline: set[int], share: float, threshold: float) -> list[Node]:
+    """Puts each run of bare text in ``p``, with the inline elements in it, into a node of its own where its density reaches
+    the threshold; these nodes."""
+    made, children, run = [], [], []
+
+    def close():
+        node = Node("#text", p)
+        node.children = run[:]
+        _count(node)
+        node.density = _density(node, share)
+        if any(isinstance(c, str) and c.strip() for c in run) and node.density >= threshold and node.chars > node.link_chars:
+            made.append(node)
+            children.append(node)
+        else:
+            children.extend(run)
+        run.clear()
+
+    for c in p.children:
+        if isinstance(c, str) or c.drop or id(c) in inline:
+            run.append(c)
+        else:
+            close()
+            children.append(c)
+    close()
+    p.children = children
+    return made
+
+
 def content_roots(root: Node) -> list[Node]:
     """The heads of the selected subtrees."""
     nodes = _nodes(root)
@@ -249,13 +290,22 @@ def content_roots(root: Node) -> list[Node]:
     threshold = min(x.density for x in path)
     on_path = set(map(id, path))
     heads = {id(best)}
+    # elements without blocks inside, off the path
+    inline: set[int] = set()
+    for n in reversed(nodes):
+        if n.tag not in _BLOCK and id(n) not in on_path and all(isinstance(c, str) or c.drop or id(c) in inline for c in n.children):
+            inline.add(id(n))
+    share = _share(root)
+    runs = [x for p in path[1:] for x in _wrap_runs(p, inline, share, threshold)]
+    heads.update(map(id, runs))
+    on_path.update(heads)
     todo = [x for p in path[1:] for x in p.children if not isinstance(x, str) and not x.drop and id(x) not in on_path]
     for x in todo:
         if re.fullmatch("h[1-6]", x.tag):
             heads.add(id(x))
         elif x.density >= threshold and x.density > 0 and x.chars > x.link_chars:
             heads.add(id(max(_nodes(x), key=lambda y: (y.density_sum, y.chars))) if x.density_sum else id(x))
-    return [n for n in nodes if id(n) in heads]
+    return [n for n in (_nodes(root) if runs else nodes) if id(n) in heads]
 
 
 def blocks(heads: list[Node]) -> list[str]:

@@ -139,6 +139,17 @@ def test_names_do_not_drop_the_article(name):
         assert html_text.main_text(f"<article><p>{LONG}</p><p>{LONG}</p><section id='{name.split()[-1]}'><p>Another part.</p></section></article>").endswith("Another part.")
 
 
+def test_bare_text_beside_the_selected_node():
+    bare = ("Some words of the article without an element. " * 40).strip()
+    ps = [f"Paragraph {i} of the article with so many words that it is about a hundred code points long, or so." for i in range(20)]
+    inner = "<div>" + "".join(f"<p>{p}</p>" for p in ps) + "</div>"
+    link = bare.replace("words", "<b>words</b>", 1)
+    for page, want in ((f"<div id=content>{bare}{inner}</div>", [bare, *ps]), (f"<div id=content>{inner}{bare}</div>", [*ps, bare]),
+                       (f"<div id=content>{link}<script>x()</script>{inner}</div>", [bare, *ps]), (f"{bare}<div>{inner}{bare}</div>{bare}", [bare, *ps, bare, bare]),
+                       (f"<div id=content>Home <a href=x>News</a> | 2020{inner}</div>", ps)):
+        assert html_text.main_text(page).split("\n") == want
+
+
 @pytest.mark.parametrize("name", ["ad", "site-footer", "x cookie-notice", "nav_menu", "side-bar", "comments", "comment-list", "Related", "advert_" * 40])
 def test_whole_names_of_noise_are_dropped(name):
     assert html_text.main_text(f"<article><p>{LONG}</p><div class='{name}'><p>Something else.</p></div></article><div id='comments'><article class='comment-body'>{LONG * 9}</article></div>") == LONG.strip()
