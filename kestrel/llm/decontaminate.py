@@ -8,14 +8,16 @@ lower-cased and runs of white space become one space first.
 
 Test items are taken in blocks of at most ``BLOCK_CHARS`` code points, each broadcast and held against all
 rows, so the broadcast doesn't grow with the benchmark. k is lowered where pieces would fall under
-``MIN_PIECE`` code points; items under ``min_chars`` code points identify nothing and match nothing.
+``MIN_PIECE`` code points. Items under ``min_chars`` code points match exactly and at word boundaries only, and those of
+a single word (without a letter of a script that has no spaces) only as a whole line, as words alone identify nothing.
 
-Null or empty texts and items match nothing; repeated rows are matched each; extra columns are dropped; an
+Items without an id have no row in ``matches``, but ``without_items`` heeds them. Null or empty texts and items match nothing; repeated rows are matched each; extra columns are dropped; an
 empty table on either side gives an empty result.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,6 +32,10 @@ MIN_CHARS = 24
 BLOCK_CHARS = 4_000_000
 
 
+# Scripts written without spaces: Thai to Myanmar, Khmer, and the ideographs and syllables of East Asia.
+_UNSPACED = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
 def normalise(text: str) -> str:
     return " ".join(text.lower().split())
 
@@ -58,6 +64,10 @@ def myers(masks: dict[str, int], m: int, text: str) -> tuple[int, int]:
     return best, end
 
 
+def _inside_word(text: str, at: int) -> bool:
+    return 0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum()
+
+
 class Matcher:
     """Automaton over the pieces of a block of items."""
 
@@ -65,9 +75,14 @@ class Matcher:
         import ahocorasick
 
         self.items: dict[str, tuple[list[int], int, dict[str, int]]] = {}
+        self.lines: dict[str, list[int]] = {}
+        self.min_chars = min_chars
         for item_id, text in items:
             text = normalise(text or "")
-            if item_id is None or len(text) < min_chars:
+            if item_id is None or not text:
+                continue
+            if len(text) < min_chars and " " not in text and not _UNSPACED.search(text):
+                self.lines.setdefault(text, []).append(item_id)
                 continue
             if text in self.items:
                 self.items[text][0].append(item_id)
@@ -75,7 +90,7 @@ class Matcher:
             masks: dict[str, int] = {}
             for i, ch in enumerate(text):
                 masks[ch] = masks.get(ch, 0) | 1 << i
-            k = max(0, min(int(error_rate * len(text)), len(text) // MIN_PIECE - 1))
+            k = max(0, min(int(error_rate * len(text)), len(text) // MIN_PIECE - 1)) if len(text) >= min_chars else 0
             self.items[text] = [item_id], k, masks
         where: dict[str, list[tuple[str, int]]] = {}
         for text, (_, k, _) in self.items.items():
@@ -91,6 +106,12 @@ class Matcher:
     def find(self, text: str) -> dict[int, tuple[int, int]]:
         """item_id -> (edits, end in the normalised text) of its best match."""
         found: dict[int, tuple[int, int]] = {}
+        if self.lines:
+            at = 0
+            for line in map(normalise, text.split("\n")):
+                for item_id in self.lines.get(line, ()):
+                    found.setdefault(item_id, (0, at + len(line)))
+                at += len(line) + 1 if line else 0
         if not self.items:
             return found
         text = normalise(text)
@@ -102,6 +123,11 @@ class Matcher:
             ids, k, masks = self.items[item]
             m, best = len(item), (k + 1, 0)
             for start in sorted(places):
+                if m < self.min_chars:  # a piece of such an item is the whole of it
+                    if not (_inside_word(text, start) or _inside_word(text, start + m)):
+                        best = 0, start + m
+                        break
+                    continue
                 if 0 <= start and text.startswith(item, start):
                     got = 0, start + m
                 else:
@@ -114,7 +140,8 @@ class Matcher:
                     break
             if best[0] <= k:
                 for item_id in ids:
-                    found[item_id] = best
+                    if item_id not in found or best < found[item_id]:
+                        found[item_id] = best
         return found
 
 
@@ -158,7 +185,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RAT
 def without_items(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_chars: int = MIN_CHARS) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text holds no test item."""
     for block in item_blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+        shared = docs.sparkSession.sparkContext.broadcast([(item_id or 0, text) for item_id, text in block])
 
         def make(shared=shared):
             matcher = Matcher(shared.value, error_rate, min_chars)

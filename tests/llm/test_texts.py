@@ -104,6 +104,16 @@ def test_decontamination_in_blocks_and_empty_tables(spark, monkeypatch):
     assert decontaminate.without_items(d, b.limit(0)).count() == 16
 
 
+def test_short_items_and_items_without_an_id(spark):
+    items = [(1, "Who wrote Emma?"), (2, "中国的首都是哪里"), (3, "Paris"), (None, "an item that has no id at all but a long text"), (4, "in the art")]
+    docs = [(1, "Quiz: who  wrote\nEmma? Jane Austen."), (2, "你好。中国的首都是哪里？北京"), (3, "Name it.\n\n paris \nEnd."), (4, "Paris is a city. She starred in the arts, who wrote emma"),
+            (5, "so here is an item that has no id at all but a long text, as said")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    assert sorted(tuple(r) for r in decontaminate.matches(d, b).collect()) == [(1, 1, 0, 21), (2, 2, 0, 11), (3, 3, 0, 14)]
+    assert [r.doc_id for r in decontaminate.without_items(d, b).collect()] == [4]
+
+
 def test_decontamination_query_finds_exact_items(spark, small_dir):
     docs, items = (spark.read.parquet(f"{small_dir}/{t}.parquet").collect() for t in ("documents", "benchmark"))
     exact = {(d.doc_id, i.item_id) for d in docs for i in items if decontaminate.normalise(i.text) in decontaminate.normalise(d.text)}
