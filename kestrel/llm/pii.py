@@ -4,7 +4,8 @@ Seeds are e-mail addresses, IP addresses, payment card and phone numbers found b
 before a seed are a lexical pattern. In the graph of patterns and instances (seeds and other tokens with a digit),
 a pattern's confidence is the sum of its instances' confidences over all occurrences of its two words in the
 corpus, whatever follows; an instance that is no seed is as sure as its best pattern. A few rounds of joins and
-sums propagate this, and tokens behind patterns of high confidence and support become identifiers (kind ``id``).
+sums propagate this, and tokens behind patterns of high confidence and support become identifiers (kind ``id``). These
+act as seeds in their turn: patterns that they support are counted and weighed as well, until no identifier is added.
 
 Counts of the patterns' occurrences cover every text: hashes of word pairs pass a bitmap of ``BITMAP`` places made
 from the patterns (a constant size), and only those that pass are summed and joined. A pattern that has too many
@@ -166,30 +167,51 @@ def _occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     return pairs.select(F.explode(may).alias("context")).groupBy("context").agg(F.count(F.lit(1)).alias("occurrences"))
 
 
-def discover(docs: DataFrame, found: DataFrame) -> DataFrame | None:
-    """(_key, extra array of (start, end)) of the tokens behind trusted patterns; None if no pattern has enough seeds."""
-    mentions = keep(found.where(F.size("_mentions") > 0).select("_key", F.inline("_mentions")), "mentions")
-    seeds = mentions.where("seed").groupBy("context").agg(F.countDistinct("value").alias("seeds")).where(F.col("seeds") >= MIN_SEEDS)
-    supported = keep(mentions.groupBy("context").agg(F.count(F.lit(1)).alias("n")).join(seeds, "context"), "patterns")
+def _counted(docs: DataFrame, mentions: DataFrame, contexts: DataFrame) -> DataFrame | None:
+    """(context, occurrences) of those contexts that can reach the confidence; None if there are none."""
+    supported = keep(mentions.groupBy("context").agg(F.count(F.lit(1)).alias("n")).join(contexts, "context"), "patterns")
     for part in (*PARTS, 1):
         if not supported.head(1):
             return None
         texts = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(part)) == 0) if part > 1 else docs
         counted = supported.join(_occurrences(texts.select("text"), supported), "context", "left").withColumn("occurrences", F.coalesce("occurrences", F.lit(0)))
         # no more than all n mentions can be sure
-        supported = keep(counted.where(F.col("n") >= (F.col("occurrences") + 1) * MIN_CONFIDENCE).drop("seeds" if part == 1 else "occurrences"), "patterns")
-    if not supported.head(1):
-        return None
-    counted = supported.select("context", "occurrences")
-    edges = keep(mentions.groupBy("context", "value").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed")).join(counted, "context"), "edges")
-    known = edges.groupBy("value").agg(F.max(F.col("seed").cast("double")).alias("sure"))
-    for _ in range(ROUNDS):
-        trust = (edges.join(known, "value").groupBy("context").agg((F.sum(F.col("n") * F.col("sure")) / (F.first("occurrences") + 1)).alias("trust")))
-        trust = keep(trust, "trust")
-        known = keep(edges.join(trust, "context").groupBy("value").agg(
-            F.max(F.when(F.col("seed"), 1.0).otherwise(F.least("trust", F.lit(1.0)))).alias("sure")), "instances")
+        counted = counted.where(F.col("n") >= (F.col("occurrences") + 1) * MIN_CONFIDENCE)
+        supported = keep(counted if part == 1 else counted.drop("occurrences"), "patterns")
+    return supported.select("context", "occurrences") if supported.head(1) else None
+
+
+def discover(docs: DataFrame, found: DataFrame) -> DataFrame | None:
+    """(_key, extra array of (start, end)) of the tokens behind trusted patterns; None if no pattern has enough seeds.
+
+    Instances of the confidence act as seeds for the contexts they appear in, with what is known of them, until no
+    more come."""
+    mentions = keep(found.where(F.size("_mentions") > 0).select("_key", F.inline("_mentions")), "mentions")
+    seeds = mentions.where("seed").select("value").distinct().withColumn("sure", F.lit(1.0))
+    acting, n_acting, tried, counted = seeds, -1, None, None
+    while True:
+        contexts = mentions.join(acting.select("value"), "value").groupBy("context").agg(F.countDistinct("value").alias("seeds")).where(F.col("seeds") >= MIN_SEEDS).select("context")
+        contexts = keep(contexts if tried is None else contexts.join(tried, "context", "left_anti"), "contexts")
+        tried = contexts if tried is None else keep(tried.union(contexts), "tried")
+        more = _counted(docs, mentions, contexts)
+        counted = counted if more is None else more if counted is None else keep(counted.union(more), "patterns")
+        if counted is None:
+            return None
+        edges = keep(mentions.groupBy("context", "value").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed")).join(counted, "context"), "edges")
+        known = edges.groupBy("value").agg(F.max(F.col("seed").cast("double")).alias("own")).join(acting, "value", "left").select(
+            "value", F.greatest("own", F.coalesce("sure", F.lit(0.0))).alias("sure"))
+        for _ in range(ROUNDS):
+            trust = (edges.join(known, "value").groupBy("context").agg((F.sum(F.col("n") * F.col("sure")) / (F.first("occurrences") + 1)).alias("trust")))
+            trust = keep(trust, "trust")
+            known = keep(edges.join(trust, "context").groupBy("value").agg(
+                F.max(F.when(F.col("seed"), 1.0).otherwise(F.least("trust", F.lit(1.0)))).alias("sure")), "instances")
+        now = known.where(F.col("sure") >= MIN_CONFIDENCE).join(seeds, "value", "left_anti")
+        before, n_acting = n_acting, now.count()
+        if n_acting in (0, before):
+            break
+        acting = keep(seeds.union(now), "acting")
     trusted = trust.where(F.col("trust") >= MIN_CONFIDENCE).select("context")
-    fresh = mentions.where("not seed").join(trusted, "context", "left_semi").join(mentions.where("seed").select("value").distinct(), "value", "left_anti")
+    fresh = mentions.where("not seed").join(trusted, "context", "left_semi").join(seeds, "value", "left_anti")
     return keep(fresh.groupBy("_key").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("extra")), "extra")
 
 

@@ -93,6 +93,14 @@ def test_free_elements_against_brute_force(spark, rows):
         assert got[i] == [x for x in xs if not any(s < x[1] and x[0] < e for s, e in spans)]
 
 
+def test_found_identifiers_are_seeds_of_further_patterns(spark):
+    first = [f"please write to user{i}@mail.example.com or wait" for i in range(9)] + [f"please write to handle-7723{i} or wait" for i in range(4)]
+    second = [f"our member called handle-7723{i} went home" for i in range(4)] + ["our member called other-88441 went home"]
+    apart = [f"your lucky number 99{i}123 went home" for i in range(5)]
+    got = found(spark, first + second + apart, extra=True)
+    assert [[s[2] for s in got[i]] for i in range(23)] == [["email"]] * 9 + [["id"]] * 9 + [[]] * 5
+
+
 def test_redaction(spark):
     rows = [(1, "Mail a@b.co now", "en", 15, "q"), (2, None, None, None, None), (3, "call +1 (415) 555-2671, é 10.0.0.1", "fr", 34, "r"), (4, "no data", "de", 7, "s")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long, n_email string")
