@@ -1,9 +1,11 @@
 """A corpus pipeline of the training-text operators: each stage takes what its predecessor kept.
 
 1. ``language``: documents without a recognisable language go (null texts, texts without a letter, and those whose
-   best language has a posterior under one half).
+   best language has a posterior under one half). Where no row is labelled, so that no language can be learned, all
+   texts with a letter stay.
 2. ``near_duplicates``: of each group of near copies the document with the smallest doc_id stays; of rows with one
-   doc_id a single one; rows with a null doc_id stay.
+   doc_id and text a single one; rows with one doc_id and different texts are documents of their own; rows with a null
+   doc_id stay.
 3. ``decontamination``: documents that hold a benchmark item go.
 4. ``pii``: personal data in the texts is replaced by its kind in brackets, and n_chars follows.
 5. ``bpe``: the texts as token ids, with digests of the ids and of the bytes decoded from them.
@@ -33,6 +35,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         model = shared.value
 
         def one(text):
+            if not model.languages:
+                return (any(True for _ in langid.text_bins(text or "")),)
             lang, score = langid.best(model, text)
             return (lang != langid.UNKNOWN and score >= MIN_SCORE,)
 
@@ -41,8 +45,26 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return append(docs, ["text"], make, struct("__known boolean")).where("__known").drop("__known")
 
 
+def _one_of_each_text(docs: DataFrame, several: DataFrame) -> DataFrame:
+    """``near_duplicates`` where some doc_ids (``several``) have different texts: there each text has an id of its own."""
+    row = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    keyed = keep(row.join(several.withColumn("many", F.lit(True)), "doc_id", "left").select(
+        F.when(F.col("many"), F.xxhash64("doc_id", "text")).otherwise(F.col("doc_id").cast("long")).alias("id"), "text", "row"), "keyed")
+    found = near_dups.near_duplicates(keyed.select(F.col("id").alias("doc_id"), "text")).where("doc_id is not null").select(
+        F.col("doc_id").alias("id"), "component_id").distinct()
+    ids = keyed.select("id", F.col("row.doc_id").alias("doc_id")).distinct()
+    first = ids.join(found, "id").groupBy("component_id").agg(F.min(F.struct("doc_id", "id")).alias("first")).select("first.id")
+    once = keyed.join(first, "id", "left_semi").groupBy("id").agg(F.min("row").alias("row"))
+    return keyed.where("id is null").select("row.*").unionByName(once.select("row.*"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    several = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("h")).groupBy("doc_id").agg(
+        F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi")
+    several = keep(several.select("doc_id"), "several")
+    if several.head(1):
+        return _one_of_each_text(docs, several)
     found = keep(near_dups.near_duplicates(docs).where("doc_id is not null").groupBy("doc_id").agg(
         F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "groups")
     out = docs.join(found.where("not kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)

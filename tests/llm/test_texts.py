@@ -223,3 +223,18 @@ def test_pipeline_stages_on_odd_rows(spark, small_dir):
             docs = stage(spark, docs, small_dir)
             assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "kept"]
         assert sorted((r.doc_id for r in docs.collect()), key=lambda x: (x is not None, x)) == want
+
+
+def test_pipeline_keeps_different_texts_of_one_id(spark, small_dir):
+    a, b, c = ("alpha beta gamma delta epsilon zeta", "one two three four five six seven eight", "red green blue black white grey pink")
+    rows = [(1, a, "x"), (1, b, "x"), (1, b, "y"), (2, b.upper(), "x"), (2, c, "x"), (3, c + "!", "x"), (4, a + " " + b, "x"), (None, a, "x"), (5, None, "x"), (5, a, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = corpus_pipeline.near_duplicates(spark, docs, small_dir)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, a, "x"), (1, b, "x"), (2, c, "x"), (3, c + "!", "x"), (4, a + " " + b, "x"), (None, a, "x"), (5, None, "x")], key=str)
+
+
+def test_pipeline_without_a_labelled_row(spark, small_dir):
+    rows = [(1, "some words here", None), (2, "123", None), (3, None, None), (4, "", None), (5, "más palabras", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in corpus_pipeline.language(spark, docs, small_dir).collect()) == [1, 5]
