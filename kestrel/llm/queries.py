@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, decontaminate, html_text, langid, licenses, near_dups, pii, quality, repeats, toxicity
+from kestrel.llm import bpe, decontaminate, filter_audit, hard_negatives, html_text, langid, licenses, near_dups, pii, quality, repeats, toxicity
 from kestrel.llm.batches import table
 
 
@@ -80,6 +80,19 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley) per source."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score) of every 100th vector."""
+    rows = hard_negatives.integer_vectors(table(spark, sf_dir, "embeddings"))
+    # labels disagree on purpose: some of each class pass for the next one
+    mixed = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(mixed, F.col("vec_id") % 100 == 0)
+
+
 OP1_SQL = r"""
 with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x20\x09-\x0D]+') as ws from documents),
@@ -130,5 +143,45 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
     or n_shouts * 10 > n_words * 3 or n_upper * 2 > n_letters or n_lettered * 2 < n_words or n_stutter * 10 > n_words * 2) as kept
 from b"""
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_decontamination, op3_quality_rules, op4_html_text, op5_toxicity, op6_bpe, op7_pii, op8_repeated_strings, op9_language, op10_licenses)}
-ORACLE: dict[str, str] = {"op1_near_duplicates": OP1_SQL, "op10_licenses": op10_sql(), "op3_quality_rules": OP3_SQL}
+OP11_SQL = r"""
+with d as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+m as (select text, min(doc_id) as first from d group by text),
+l as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id),
+f as (select part, coalesce(good, 0) = 1 as good, coalesce(toxic, 0) = 1 as toxic,
+    (len(ws) < 50)::int + 2 * (100 * len(list_distinct(ws)) < 65 * len(ws))::int
+    + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text))::int
+    + 8 * regexp_matches(text, '[#$%&*|]')::int + 16 * coalesce(doc_id > first, false)::int as fails
+  from d join m using (text) left join l using (doc_id)),
+c(i, x) as (values (0, 'A'), (1, 'B'), (2, 'C'), (3, 'D'), (4, 'E')),
+o as (select a.x || b.x || c.x || d.x || e.x as filter_order, [a.i, b.i, c.i, d.i, e.i] as fs
+  from c a, c b, c c, c d, c e where len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s as (select filter_order, k::int as step, (1 << fs[k])::int as own, coalesce(list_sum(list_transform(fs[1:k - 1], lambda i: 1 << i)), 0)::int as before
+  from o, range(1, 6) t(k)),
+g as (select part, fails, good, toxic, count(*) as n from f group by all),
+r as (select part, filter_order, step, own, coalesce(sum(n) filter ((fails & (before | own)) = 0), 0) as kept,
+    coalesce(sum(n) filter ((fails & before) = 0 and (fails & own) > 0), 0) as removed,
+    coalesce(sum(n) filter ((fails & before) > 0 and (fails & own) > 0), 0) as redundant,
+    coalesce(sum(n) filter (fails = own), 0) as unique_fails,
+    coalesce(sum(n) filter ((fails & before) = 0 and (fails & own) > 0 and good), 0) as good_lost,
+    coalesce(sum(n) filter ((fails & before) = 0 and (fails & own) > 0 and toxic), 0) as toxic_lost
+  from g, s group by part, filter_order, step, own)
+select part, filter_order, step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant, unique_fails::bigint as unique_fails,
+  good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost, (sum(removed) over (partition by part, own))::bigint as shapley from r"""
+
+
+OP13_SQL = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+  where label is not null and embedding is not null and not list_contains(list_transform(embedding, lambda x: coalesce(not isfinite(x), true)), true)),
+s as (select a.vec_id as a, b.vec_id as b, a.label = b.label as same, list_dot_product(a.v, b.v)::bigint as score
+  from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+p as (select a, b, score from s where same qualify row_number() over (partition by a order by score desc, b) <= 5),
+n as (select p.a, p.b as pos, p.score as ps, s.b as neg, s.score as ns, row_number() over (partition by p.a, p.b order by s.score desc, s.b) as rank
+  from p join s on s.a = p.a and not s.same and 80 * p.score <= 100 * s.score and s.score <= p.score)
+select a as anchor_id, pos as positive_id, rank::int as rank, neg as negative_id, ps as positive_score, ns as negative_score from n where rank <= 5"""
+
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_decontamination, op3_quality_rules, op4_html_text, op5_toxicity, op6_bpe, op7_pii, op8_repeated_strings, op9_language, op10_licenses,
+                                   op11_filter_audit, op13_hard_negatives)}
+ORACLE: dict[str, str] = {"op1_near_duplicates": OP1_SQL, "op10_licenses": op10_sql(), "op3_quality_rules": OP3_SQL,
+                          "op11_filter_audit": OP11_SQL, "op13_hard_negatives": OP13_SQL}
