@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, decontaminate, filter_audit, hard_negatives, html_text, langid, licenses, near_dups, pii, quality, repeats, toxicity
+from kestrel.llm import bpe, decontaminate, filter_audit, hard_negatives, html_text, langid, licenses, lm_scores, near_dups, pii, quality, repeats, toxicity
 from kestrel.llm.batches import table
 
 
@@ -85,6 +85,12 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document."""
+    learned = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 != 2, F.lit(True))
+    return lm_scores.score(table(spark, sf_dir, "documents"), learned, *bpe_files())
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score) of every 100th vector."""
     rows = hard_negatives.integer_vectors(table(spark, sf_dir, "embeddings"))
@@ -182,6 +188,6 @@ n as (select p.a, p.b as pos, p.score as ps, s.b as neg, s.score as ns, row_numb
 select a as anchor_id, pos as positive_id, rank::int as rank, neg as negative_id, ps as positive_score, ns as negative_score from n where rank <= 5"""
 
 QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_decontamination, op3_quality_rules, op4_html_text, op5_toxicity, op6_bpe, op7_pii, op8_repeated_strings, op9_language, op10_licenses,
-                                   op11_filter_audit, op13_hard_negatives)}
+                                   op11_filter_audit, op12_lm_scores, op13_hard_negatives)}
 ORACLE: dict[str, str] = {"op1_near_duplicates": OP1_SQL, "op10_licenses": op10_sql(), "op3_quality_rules": OP3_SQL,
                           "op11_filter_audit": OP11_SQL, "op13_hard_negatives": OP13_SQL}
