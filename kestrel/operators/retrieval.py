@@ -1,22 +1,20 @@
-"""Document retrieval (S8, A12, A13, J5, J6, R1-R5) and passage containment.
+"""Document retrieval (S8, A13, J6, R1-R5) and passage containment.
 
-The index is a long postings table ``(term, docid, tf)`` written in term buckets,
-with document frequencies, norms and the collection size beside it. A query batch
-is ``(qid, term, qtf)``. Scoring is term-at-a-time as joins: query terms x postings
-on bucket and term -> partial sums by (qid, docid) -> join with document norms ->
-top-k per query.
+Postings are a long table ``(term, docid, tf)``, kept in an ``index``; a query batch is
+``(qid, term, qtf)``. ``score`` gives every document that shares a term with a query:
+query terms x postings -> partial sums by (qid, docid) -> join with document norms.
+``retrieve`` gives the best k of them without forming all those pairs (``topk``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kestrel.functions import WORD_PATTERN, word_tokens
+from kestrel.operators.index import Index, hits
 from kestrel.operators.text import remove_stopwords
 
 
@@ -37,44 +35,6 @@ def build_postings(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     return t.groupBy("term", "docid").agg(F.count(F.lit(1)).alias("tf"))
 
 
-BUCKETS = 32
-SALTS = 16
-
-
-def _bucket(term: str = "term") -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
-
-
-@dataclass(frozen=True)
-class Index:
-    """Postings with their statistics: ``postings`` (term_bucket, term, docid, tf), ``terms`` (term_bucket, term, df),
-    ``norms`` (docid, binary, tf, tfidf: squared norms) and the number of documents."""
-
-    postings: DataFrame
-    terms: DataFrame
-    norms: DataFrame
-    n_docs: int
-
-
-def write_index(postings: DataFrame, path: str, salts: int = SALTS) -> Index:
-    """Write the index under ``path`` and return it. Postings lie in one folder for each term bucket, spread over
-    ``salts`` tasks by document, so that a frequent term is not one task; df, norms and N are kept beside them."""
-    spark = postings.sparkSession
-    (postings.withColumn("term_bucket", _bucket()).repartition(F.col("term_bucket"), F.pmod(F.xxhash64("docid"), F.lit(salts)))
-     .write.partitionBy("term_bucket").parquet(f"{path}/postings"))
-    stored = spark.read.schema(T.StructType([*postings.schema.fields, T.StructField("term_bucket", T.IntegerType())])).parquet(f"{path}/postings")
-    stored.groupBy("term_bucket", "term").agg(F.count(F.lit(1)).alias("df")).write.parquet(f"{path}/terms")
-    terms_ = spark.read.schema("term_bucket int, term string, df long").parquet(f"{path}/terms")
-    n = n_documents(stored)
-    idf = terms_.select("term", F.log(F.lit(float(max(n, 1))) / F.col("df")).alias("idf"))
-    w = F.col("tf") * F.col("idf")
-    stored.join(idf, "term").groupBy("docid").agg(
-        F.count(F.lit(1)).cast("double").alias("binary"), F.sum(F.col("tf") * F.col("tf")).cast("double").alias("tf"),
-        F.sum(w * w).alias("tfidf")).write.parquet(f"{path}/norms")
-    norms = spark.read.schema("docid " + dict(postings.dtypes)["docid"] + ", binary double, tf double, tfidf double").parquet(f"{path}/norms")
-    return Index(stored, terms_, norms, n)
-
-
 def query_terms(queries: DataFrame, id_col: str = "qid", text: str = "text",
                 stopwords: Sequence[str] | None = None) -> DataFrame:
     """(qid, term, qtf): query term counts (repeats kept as qtf)."""
@@ -86,11 +46,6 @@ def document_frequency(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def n_documents(postings: DataFrame) -> int:
-    """Collection size N = distinct documents in the index."""
-    return postings.select("docid").distinct().count()
-
-
 def idf_ln(postings: DataFrame, n_docs: int) -> DataFrame:
     """(term, idf) with idf = ln(N / df)."""
     return document_frequency(postings).select("term", F.log(F.lit(float(n_docs)) / F.col("df")).alias("idf"))
@@ -117,14 +72,9 @@ def score(index: Index, qterms: DataFrame, weighting: str = "tfidf", mode: str =
     * tfidf: sum qtf * idf * tf * idf / sqrt(sum (tf idf)^2); ``mode='literal'``
       uses qtf^2 (a repeated query term counted once per repeat).
 
-    Only the folders of the query terms' buckets are read; the join carries the
-    bucket, and hot terms are split by AQE's skew handling.
+    A frequent term meets its postings in several tasks (``index.by_salt``).
     """
-    qt = qterms.withColumn("term_bucket", _bucket())
-    wanted = [r[0] for r in qt.select("term_bucket").distinct().collect()]  # at most BUCKETS values
-    here = F.col("term_bucket").isin(wanted) if wanted else F.lit(False)
-    on = ["term_bucket", "term"]
-    hits = index.postings.where(here).join(qt, on)  # J5: term-at-a-time
+    found = hits(index, qterms)
     norm = F.col(weighting)
     if weighting == "binary":
         if mode == "literal":
@@ -135,12 +85,13 @@ def score(index: Index, qterms: DataFrame, weighting: str = "tfidf", mode: str =
     elif weighting == "tf":
         value = F.sum(F.col("qtf") * F.col("tf")).cast("double")
     else:
-        idf = index.terms.where(here).join(qt.select(*on).distinct(), on).select(
-            *on, F.log(F.lit(float(max(index.n_docs, 1))) / F.col("df")).alias("idf"))
-        hits = index.postings.where(here).join(qt.join(idf, on), on)
+        idf = F.log(F.lit(float(max(index.n_docs, 1))) / F.col("df"))
+        weighted = qterms.join(index.terms, "term").withColumn("idf", idf).drop("df")
+        found = hits(index, weighted.withColumn("qtf", F.struct("qtf", "idf"))).select(
+            "qid", "docid", "tf", F.col("qtf.qtf").alias("qtf"), F.col("qtf.idf").alias("idf"))
         qpow = F.col("qtf") * F.col("qtf") if mode == "literal" else F.col("qtf")
         value = F.sum(qpow * F.col("idf") * F.col("idf") * F.col("tf"))
-    num = hits.groupBy("qid", "docid").agg(value.alias("num"))
+    num = found.groupBy("qid", "docid").agg(value.alias("num"))
     j = num.join(index.norms.select("docid", norm.alias("norm_sq")), "docid")  # J6: numerator x document norm
     return j.select("qid", "docid", F.try_divide(F.col("num"), F.sqrt("norm_sq")).alias("score"))
 
@@ -155,7 +106,10 @@ def rank_top(scores: DataFrame, k: int = 10) -> DataFrame:
 
 def retrieve(index: Index, qterms: DataFrame, weighting: str = "tfidf", k: int = 10,
              mode: str = "fixed") -> DataFrame:
-    return rank_top(score(index, qterms, weighting, mode), k)
+    """(qid, docid, score, rank): the rows of ``rank_top(score(...), k)``, from as few pairs as the bounds allow."""
+    from kestrel.operators import topk
+
+    return topk.best(index, qterms, weighting, k, mode)
 
 
 # ------------------------------------------------------------------ containment

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kestrel.functions import round6
+from kestrel.operators import index as ix
 from kestrel.operators import ireval as ev
 from kestrel.operators import retrieval as rt
 from kestrel.operators.text import STOPWORDS_NLP2
@@ -98,7 +99,7 @@ def _qterms(spark, sf, stop=True):
 
 def _index(spark, sf, stop=True):
     """The index of the documents, written under the checkpoint folder."""
-    return rt.write_index(_postings(spark, sf, stop), scratch_path(spark, "index"), salts=2)
+    return ix.write_index(materialise(_postings(spark, sf, stop), "postings"))
 
 
 def _retrieve(spark, sf, weighting, mode="fixed", stop=True):
@@ -128,15 +129,14 @@ def q_vector_norms_tfidf(spark, sf):
 
 @register("join_query_postings", _sql("SELECT qid, term, docid, qtf, tf FROM hits"))
 def q_join_query_postings(spark, sf):
-    return _postings(spark, sf).join(_qterms(spark, sf), "term").select("qid", "term", "docid", "qtf", "tf")
+    return ix.hits(_index(spark, sf), _qterms(spark, sf))
 
 
 @register("join_scores_norms", _sql("SELECT qid, docid, num, norm_sq FROM num_tf JOIN norm_tf USING (docid)"))
 def q_join_scores_norms(spark, sf):
-    p = materialise(_postings(spark, sf), "postings")
-    hits = p.join(_qterms(spark, sf), "term")
-    num = hits.groupBy("qid", "docid").agg(F.sum(F.col("qtf") * F.col("tf")).cast("double").alias("num"))
-    return num.join(rt.doc_norms(p, "tf"), "docid").select("qid", "docid", "num", "norm_sq")
+    index = _index(spark, sf)
+    num = ix.hits(index, _qterms(spark, sf)).groupBy("qid", "docid").agg(F.sum(F.col("qtf") * F.col("tf")).cast("double").alias("num"))
+    return num.join(index.norms.select("docid", F.col("tf").alias("norm_sq")), "docid").select("qid", "docid", "num", "norm_sq")
 
 
 @register("retrieve_binary", _sql(_rank_sql("num_bin", "norm_bin")))

@@ -3,6 +3,7 @@ import math
 import pytest
 
 from conftest import rows
+from kestrel.operators import index as ix
 from kestrel.operators import ireval as ev
 from kestrel.operators import retrieval as rt
 
@@ -14,9 +15,7 @@ def _postings(spark):
 
 
 def _index(spark):
-    from kestrel.session import scratch_path
-
-    return rt.write_index(_postings(spark), scratch_path(spark, "index"))
+    return ix.write_index(_postings(spark))
 
 
 def test_postings(spark):
@@ -146,8 +145,7 @@ def test_run_folder_of_many_files_keeps_its_order_at_the_defaults(spark, tmp_pat
     assert rows(got) == rows(ranked)
 
 
-def test_index_reads_only_the_buckets_of_its_terms(spark):
-    index = _index(spark)
+def test_scans_of_the_index_are_filtered_by_the_query_terms(spark):
     q = rt.query_terms(spark.createDataFrame([(9, "banana")], "qid long, text string"))
-    plan = rt.score(index, q, "tf")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(term_bucket" in plan or "term_bucket#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    plan = rt.score(_index(spark), q, "tf")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(term,banana)" in plan or "In(term, [banana])" in plan
