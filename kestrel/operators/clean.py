@@ -175,12 +175,9 @@ def undersample(df: DataFrame, is_minor: Column, key: str, seed: int = 0) -> Dat
         return df
     if not n.minor:
         return df.where(is_minor)
-    # the first 52 bits of the hash as a number order the rows as its text does, but for ties that the text breaks
     ordered = df.withColumn("_h", seeded_order_key(key, seed))
-    ordered = ordered.withColumn("_n", F.conv(F.substr("_h", F.lit(1), F.lit(13)), 16, 10).cast("double"))
-    ties = ["_h", key]
-    row = row_at(ordered.where(~is_minor), "_n", ties, n.minor, n.major)
-    return ordered.where(is_minor | up_to("_n", ties, row)).drop("_h", "_n")
+    row = row_at(ordered.where(~is_minor), ["_h", key], n.minor)
+    return ordered.where(is_minor | up_to(ordered, ["_h", key], row)).drop("_h")
 
 
 def union_all(*dfs: DataFrame) -> DataFrame:

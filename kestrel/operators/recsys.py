@@ -112,14 +112,12 @@ def largest_cluster_top_genres(assign: DataFrame, ratings: DataFrame, items: Dat
 
 def time_splits(ratings: DataFrame, fractions: Sequence[float] = (0.5, 0.65, 0.8),
                 order_cols: Sequence[str] = ("ts", "event_id")) -> dict[str, tuple[DataFrame, DataFrame]]:
-    """{fraction: (train, test)}: the global ordinal is computed once and
-    shared by all fractions."""
-    from kestrel.operators.splits import ordinal_by
+    """{fraction: (train, test)}: the ratings before and after the row at each cut, which is located by counting
+    (``splits.row_at``); the ratings are neither sorted nor copied."""
+    from kestrel.operators.splits import sequential_split
 
-    o = ordinal_by(ratings, list(order_cols), keep_total=True)
     out = {}
     for fr in fractions:
-        cut = F.floor(F.col("_total") * F.lit(fr))
-        out[str(fr)] = (o.where(F.col("ordinal") <= cut).drop("_total", "ordinal"),
-                        o.where(F.col("ordinal") > cut).drop("_total", "ordinal"))
+        parts = sequential_split(ratings, list(order_cols), fr, "_split")
+        out[str(fr)] = tuple(parts.where(F.col("_split") == name).drop("_split") for name in ("train", "test"))
     return out

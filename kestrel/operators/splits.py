@@ -52,47 +52,83 @@ def ordinal_by(df: DataFrame, order_cols: Sequence[str], ordinal_col: str = "ord
     return out if keep_total else out.drop("_total")
 
 
-def row_at(df: DataFrame, key: str, ties: Sequence[str], position: int, total: int, slack: float = 0.001):
-    """The (key, ties...) of the row at 1-based ``position`` of the order, without sorting all rows.
+#: Rows that a selection sorts in the end, rows it samples each round, and pivots in units of the sample's deviation.
+FEW = 4096
+SAMPLE = 8192
+_SPREAD = (-16, -8, -4, -2, -1, -0.5, 0, 0.5, 1, 2, 4, 8, 16)
 
-    Two approximate quantiles bracket the key; the rows below the bracket are counted, and only those inside are
-    sorted. If the bracket misses the position (the quantiles are approximate) it is widened and tried again.
+
+def _comparable(df: DataFrame, cols: Sequence[str]) -> list[Column]:
+    """The columns as values that stay the same on their way to the driver and back: instants as numbers."""
+    types = dict(df.dtypes)
+    return [F.unix_micros(c).alias(c) if types[c] == "timestamp" else F.col(c) for c in cols]
+
+
+def _key(df: DataFrame, cols: Sequence[str]) -> Column:
+    return F.struct(*_comparable(df, cols))
+
+
+def _literal(df: DataFrame, cols: Sequence[str], row) -> Column:
+    types = {c: "bigint" if t == "timestamp" else t for c, t in df.dtypes}
+    return F.struct(*[F.lit(row[c]).cast(types[c]).alias(c) for c in cols])
+
+
+def row_at(df: DataFrame, cols: Sequence[str], position: int):
+    """The values of ``cols`` in the row at 1-based ``position`` of their order; None beyond the last row.
+
+    Exact selection by repeated histograms: a bounded sample of the rows that are still possible gives pivots around the
+    wanted position, one pass counts the rows below and at each pivot, and only the rows between two neighbouring pivots are
+    possible from then on. With ``FEW`` rows or fewer left, these are sorted. A pivot is a row, so every round leaves fewer
+    rows, and a key that all rows share is its own pivot. Order: nulls before values, NaN last (``ordinal_by``'s).
+    Instants come back as microseconds, as ``up_to`` takes them.
     """
-    at = F.col(key)
-    while True:
-        marks = [max(0.0, (position - 1) / total - slack), min(1.0, position / total + slack)]
-        lo, hi = df.agg(F.percentile_approx(at, F.array(*map(F.lit, marks)), F.lit(10_000)).alias("q")).first().q
-        below, inside = df.agg(F.count_if(at < F.lit(lo)), F.count_if((at >= F.lit(lo)) & (at <= F.lit(hi)))).first()
-        if below < position <= below + inside:
-            skip = position - below - 1
-            return df.where((at >= F.lit(lo)) & (at <= F.lit(hi))).select(key, *ties).orderBy(key, *ties).offset(skip).limit(1).first()
-        slack *= 8
-
-
-def up_to(key: str, ties: Sequence[str], row) -> Column:
-    """True for the rows at or before ``row`` of the order (key, ties...)."""
-    names = [key, *ties]
-    before = F.lit(True)
-    for name in reversed(names):
-        last = F.lit(row[name])
-        before = (F.col(name) < last) | ((F.col(name) == last) & before)
-    return before
+    keys = df.select(*_comparable(df, cols))
+    possible, below = keys, 0
+    n = keys.count()
+    if not 1 <= position <= n:
+        return None
+    seed = 0
+    while n > FEW:
+        seed += 1
+        sample = possible.sample(min(1.0, SAMPLE / n), seed).orderBy(*[F.col(c).asc_nulls_first() for c in cols]).collect()  # about SAMPLE rows
+        if not sample:
+            continue
+        m, at = len(sample), (position - below) / n * len(sample)
+        places = sorted({min(m - 1, max(0, round(at + x * math.sqrt(m) / 2))) for x in _SPREAD})
+        pivots = list(dict.fromkeys(sample[i] for i in places))
+        key = F.struct(*cols)
+        limits = [_literal(keys, cols, p) for p in pivots]
+        got = possible.agg(*[F.count_if(key < x) for x in limits], *[F.count_if(key <= x) for x in limits]).first()
+        less, upto = [below + x for x in got[:len(pivots)]], [below + x for x in got[len(pivots):]]
+        i = sum(position > x for x in upto)  # pivots that lie before the position
+        if i < len(pivots) and position > less[i]:
+            return pivots[i]
+        if i:
+            possible = possible.where(key > limits[i - 1])
+        if i < len(pivots):
+            possible = possible.where(key < limits[i])
+        n = (less[i] if i < len(pivots) else below + n) - (upto[i - 1] if i else below)
+        below = upto[i - 1] if i else below
+    return possible.orderBy(*[F.col(c).asc_nulls_first() for c in cols]).offset(position - below - 1).limit(1).first()
+
+
+def up_to(df: DataFrame, cols: Sequence[str], row) -> Column:
+    """True for the rows of ``df`` at or before ``row`` (of ``row_at``) in the order of ``cols``."""
+    return _key(df, cols) <= _literal(df, cols, row)
 
 
 def sequential_split(df: DataFrame, order_cols: Sequence[str], fraction: float,
                      split_col: str = "split") -> DataFrame:
     """First floor(fraction * n) rows of the order -> 'train', the rest -> 'test' (W2).
 
-    The row at the cut is located by counting (``row_at``; the first order column is a number, date or time without
-    nulls, the others break its ties) and the table is filtered by its key: no full sort, no copy of the rows.
+    The row at the cut is located by counting (``row_at``) and the table is filtered by its key: no full sort, no copy of
+    the rows. Rows without a key come first; rows equal in all of ``order_cols`` lie on one side of the cut.
     """
-    key, ties = order_cols[0], list(order_cols[1:])
-    total = df.count()
-    position = math.floor(total * fraction)
+    position = math.floor(df.count() * fraction)
     if not position:
         return df.withColumn(split_col, F.lit("test"))
-    row = row_at(df, key, ties, position, total)
-    return df.withColumn(split_col, F.when(up_to(key, ties, row), "train").otherwise("test"))
+    row = row_at(df, order_cols, position)
+    return df.withColumn(split_col, F.when(up_to(df, order_cols, row), "train").otherwise("test"))
 
 
 def sort_by(df: DataFrame, order_cols: Sequence[str]) -> DataFrame:

@@ -29,6 +29,61 @@ def test_sequential_split_sizes(spark):
         assert mx < mn
 
 
+def _check_selection(df, cols, positions):
+    """``row_at`` and ``up_to`` against a full sort."""
+    key = [F.unix_micros(c).alias(c) if t == "timestamp" else F.col(c) for c, t in df.dtypes if c in cols]
+    order = df.select(*key).orderBy(*[F.col(c).asc_nulls_first() for c in cols]).collect()
+    for p in positions:
+        got = sp.row_at(df, cols, p)
+        assert repr(tuple(got[c] for c in cols)) == repr(tuple(order[p - 1][c] for c in cols)), p
+        last = max(i for i, r in enumerate(order, 1) if repr(r) == repr(order[p - 1]))
+        assert df.where(sp.up_to(df, cols, got)).count() == last
+
+
+def test_selection_with_nulls_nan_and_instants(spark, monkeypatch):
+    monkeypatch.setattr(sp, "FEW", 20)
+    monkeypatch.setattr(sp, "SAMPLE", 100)
+    df = spark.range(2000).select("id", F.when(F.col("id") % 3 != 0, (F.col("id") * 7919) % 500).alias("k"),
+                                  F.when(F.col("id") % 5 == 0, F.lit(float("nan"))).when(F.col("id") % 7 != 0, F.rand(1)).alias("x"),
+                                  F.timestamp_seconds(F.col("id") % 37 * 86400).alias("ts"), F.md5(F.col("id").cast("string")).alias("s"))
+    for cols in (["k", "id"], ["x", "id"], ["ts", "s"], ["s"]):
+        _check_selection(df, cols, [1, 2, 666, 667, 1000, 1999, 2000])
+    assert sp.row_at(df, ["id"], 0) is None and sp.row_at(df, ["id"], 2001) is None and sp.row_at(df.limit(0), ["id"], 1) is None
+
+
+def test_selection_with_one_key(spark, monkeypatch):
+    monkeypatch.setattr(sp, "FEW", 20)
+    monkeypatch.setattr(sp, "SAMPLE", 100)
+    df = spark.range(1500).select(F.lit(5).alias("k"), "id", F.lit(None).cast("int").alias("nothing"))
+    _check_selection(df, ["k", "id"], [1, 750, 1500])
+    _check_selection(df, ["k"], [1, 1500])
+    _check_selection(df, ["nothing"], [700])
+    _check_selection(df, ["nothing", "id"], [700])
+
+
+def test_selection_sorts_a_bounded_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(sp, "FEW", 50)
+    monkeypatch.setattr(sp, "SAMPLE", 400)
+    df = spark.range(200_000).select((F.col("id") * 48271 % 2147483647).alias("k"))
+    assert sp.row_at(df, ["k"], 123_456).k == sorted(i * 48271 % 2147483647 for i in range(200_000))[123_455]
+
+
+def test_split_ends_with_missing_keys(spark):
+    df = spark.createDataFrame([(i, None if i < 5 else i) for i in range(10)], "id int, ts int")
+    got = {r.id: r.split for r in sp.sequential_split(df, ["ts", "id"], 0.8).collect()}
+    assert [i for i, x in got.items() if x == "test"] == [8, 9]
+    assert sp.sequential_split(df.withColumn("ts", F.lit(None).cast("int")), ["ts", "id"], 0.5).where("split = 'train'").count() == 5
+
+
+def test_time_splits(spark):
+    from kestrel.operators.recsys import time_splits
+
+    df = spark.range(100).select(F.timestamp_seconds(F.col("id") % 10).alias("ts"), F.col("id").alias("event_id"))
+    for name, (train, test) in time_splits(df).items():
+        assert (train.count(), test.count()) == (int(100 * float(name)), 100 - int(100 * float(name)))
+        assert train.agg(F.max("ts")).first()[0] <= test.agg(F.min("ts")).first()[0]
+
+
 def test_hash_split_is_deterministic(spark):
     df = spark.range(2000)
     a = sp.hash_split(df, "id", [0.8, 0.2], ["train", "test"])
