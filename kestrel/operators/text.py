@@ -11,8 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kestrel.functions import alpha_tokens, word_tokens
 
@@ -107,6 +112,27 @@ def char_ngrams(tokens: Column | str, lo: int, hi: int) -> Column:
     return F.flatten(F.array(*per_n))
 
 
+def gram_dictionary(terms: DataFrame, lo: int, hi: int, term: str = "term") -> DataFrame:
+    """(term, feature, times): the character n-grams of each distinct term, cut once however often the term occurs."""
+    grams = terms.select(term).distinct().select(term, F.explode(char_ngrams(F.array(term), lo, hi)).alias("feature"))
+    return grams.groupBy(term, "feature").agg(F.count(F.lit(1)).alias("times"))
+
+
+def gram_totals(term_counts: DataFrame, grams: DataFrame, term: str = "term", tf: str = "tf") -> DataFrame:
+    """(feature, count): occurrences of each n-gram, from the totals of the terms that hold it."""
+    totals = term_counts.groupBy(term).agg(F.sum(tf).alias("total"))
+    return totals.join(grams, term).groupBy("feature").agg(F.sum(F.col("total") * F.col("times")).alias("count"))
+
+
+def gram_counts(term_counts: DataFrame, grams: DataFrame, ids: DataFrame, *keep: str, term: str = "term", tf: str = "tf",
+                vocab_bound: int | None = None) -> DataFrame:
+    """(keep..., term_id, tf): counts of the n-grams in the vocabulary ``ids`` per document. A document's term meets one row,
+    with the ids of its n-grams in it; n-grams outside the vocabulary never form a row of a document."""
+    known = grams.join(bounded_broadcast(ids, vocab_bound), "feature").groupBy(term).agg(F.collect_list(F.struct("term_id", "times")).alias("known"))
+    return (term_counts.join(known, term).select(*keep, tf, F.inline("known"))
+            .groupBy(*keep, "term_id").agg(F.sum(F.col(tf) * F.col("times")).alias("tf")))
+
+
 def features_long(df: DataFrame, features: str, doc: str = "doc_id") -> DataFrame:
     """(doc_id, feature) one row per occurrence."""
     return df.select(doc, F.explode(features).alias("feature"))
@@ -136,31 +162,48 @@ def build_vocab(feats: DataFrame, min_df: int = 0, keep_top_n: int = 0, mode: st
     * ``mode='count'``: raw count > min_df, the first ``keep_top_n`` by count;
     * ``mode='docfreq'``: document frequency >= min_df, intersected with the
       top ``keep_top_n`` by raw count.
-    Ties are broken by the feature text. ``keep_top_n=0`` keeps all. One plan for
-    every size: candidates are ranked by the distributed global ordinal.
+    Ties are broken by the feature text. ``keep_top_n=0`` keeps all.
     """
     return vocab_of_counts(term_frequency(feats, doc, feature), min_df, keep_top_n, mode, feature)
 
 
+#: Groups in which the first rows are cut before they meet in one task.
+_HEADS = 64
+
+
+def first_n(df: DataFrame, n: int, key: str, *order: Column) -> DataFrame:
+    """The first ``n`` rows of ``order``: cut in each task, then in each of ``_HEADS`` groups by ``key``, then once more, so that
+    no task receives more than ``_HEADS`` * n rows, whatever the number of tasks (a plain limit sends n rows of every task
+    to one)."""
+    group = F.pmod(F.xxhash64(key), F.lit(_HEADS))
+    heads = df.withColumn("_place", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("_place") <= n)
+    return heads.drop("_place").orderBy(*order).limit(n)
+
+
 def vocab_of_counts(tf: DataFrame, min_df: int = 0, keep_top_n: int = 0, mode: str = "count",
                     feature: str = "feature") -> DataFrame:
     """``build_vocab`` from (doc, feature, tf) counts that are there already."""
+    return vocab_of_totals(tf.groupBy(feature).agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("count")), min_df, keep_top_n, mode, feature)
+
+
+def vocab_of_totals(stats: DataFrame, min_df: int = 0, keep_top_n: int = 0, mode: str = "count",
+                    feature: str = "feature") -> DataFrame:
+    """``build_vocab`` from (feature, df, count) totals; without ``df`` in count mode if there is none. With a size the
+    features are cut, not sorted, and only the ``keep_top_n`` rows that are left get their ranks in one task; a whole
+    vocabulary is ranked by the distributed ordinal."""
     from kestrel.operators.splits import ordinal_by
 
-    stats = tf.groupBy(feature).agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("count"))
+    order = [F.desc("count"), F.asc(feature)]
     if mode == "count":
         stats = stats.where(F.col("count") > min_df)
-    if mode == "count":
-        ranked = ordinal_by(stats.withColumn("_neg", -F.col("count")), ["_neg", feature], "rank").drop("_neg")
-        if keep_top_n:
-            ranked = ranked.where(F.col("rank") <= keep_top_n)
-        return ranked
-    ranked = ordinal_by(stats.withColumn("_neg", -F.col("count")), ["_neg", feature], "_r")
     if keep_top_n:
-        ranked = ranked.where(F.col("_r") <= keep_top_n)
-    kept = ranked.where(F.col("df") >= min_df).drop("_r")
-    # ids stay contiguous after the document-frequency cut
-    return ordinal_by(kept, ["_neg", feature], "rank").drop("_neg")
+        kept = first_n(stats, keep_top_n, feature, *order)
+        if mode != "count":
+            kept = kept.where(F.col("df") >= min_df)  # ids stay contiguous after the document-frequency cut
+        return kept.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("long"))
+    if mode != "count":
+        stats = stats.where(F.col("df") >= min_df)
+    return ordinal_by(stats.withColumn("_neg", -F.col("count")), ["_neg", feature], "rank").drop("_neg")
 
 
 def vocab_ids(vocab: DataFrame, feature: str = "feature") -> DataFrame:
@@ -210,13 +253,29 @@ def concat_spaces(spaces: Sequence[tuple[DataFrame, int]], value: str, doc: str
     return out
 
 
-def doc_to_ids(tokens_long: DataFrame, ids: DataFrame, doc: str = "doc_id", token: str = "token",
-               vocab_bound: int | None = None) -> DataFrame:
-    """(doc_id, ids array) in token order, out-of-vocabulary words dropped
-    (F13, J9). The list of one document is bounded by its length."""
-    j = tokens_long.join(bounded_broadcast(ids.withColumnRenamed("feature", token), vocab_bound), token)
-    return j.groupBy(doc).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "term_id"))), lambda s: s["term_id"]).alias("ids"))
+def doc_to_ids(docs: DataFrame, ids: DataFrame, doc: str = "doc_id", tokens: str = "tokens") -> DataFrame:
+    """(doc_id, ids array) in token order, out-of-vocabulary words dropped (F13). ``docs`` has the tokens as an array, and
+    ``ids`` (feature, term_id) is a bounded vocabulary: it is broadcast, and each batch of documents is looked up in it as it
+    lies, without a row for each token and without a shuffle. Documents without a known word are left out."""
+    got = ids.select("feature", F.col("term_id").cast("long")).toArrow()
+    shared = docs.sparkSession.sparkContext.broadcast((got["feature"].to_pylist(), got["term_id"].to_pylist()))
+
+    def run(batches):
+        words, numbers = (pa.array(x, t) for x, t in zip(shared.value, (pa.string(), pa.int64())))
+        for batch in batches:
+            lists = batch.column(1)
+            found = numbers.take(pc.index_in(lists.flatten(), value_set=words))
+            known = found.is_valid()
+            # known words before each place give where a document's ids begin and end
+            before = pa.concat_arrays([pa.array([0], pa.int64()), pc.cumulative_sum(known.cast(pa.int64()))])
+            ends = pc.cumulative_sum(pc.fill_null(lists.value_lengths(), 0)).cast(pa.int64())
+            offsets = before.take(pa.concat_arrays([pa.array([0], pa.int64()), ends]))
+            out = pa.ListArray.from_arrays(offsets.cast(pa.int32()), found.filter(known))
+            some = pc.greater(out.value_lengths(), 0)
+            yield pa.RecordBatch.from_arrays([batch.column(0), out], [doc, "ids"]).filter(some)
+
+    schema = T.StructType([docs.schema[doc], T.StructField("ids", T.ArrayType(T.LongType()))])
+    return docs.select(doc, tokens).mapInArrow(run, schema)
 
 
 def mean_embedding(tokens_long: DataFrame, vectors: DataFrame, mode: str = "tokens", doc: str = "doc_id",
@@ -231,7 +290,7 @@ def mean_embedding(tokens_long: DataFrame, vectors: DataFrame, mode: str = "toke
     t = tokens_long.groupBy(doc, F.col(token).alias(word)).agg(F.count(F.lit(1)).alias("n"))
     if mode == "distinct":
         t = t.withColumn("n", F.lit(1))
-    j = t.join(vectors.select(word, vector), word)
-    return (j.select(doc, "n", F.posexplode(vector).alias("dim", "x"))
-            .groupBy(doc, "dim").agg((F.sum(F.col("n") * F.col("x").cast("double")) / F.sum("n")).alias("value")))
-
+    # whole vectors are added up in each task; a document leaves it as one row
+    weighted = t.join(vectors.select(word, array_to_vector(F.col(vector).cast("array<double>")).alias("v")), word)
+    means = weighted.groupBy(doc).agg(Summarizer.mean(F.col("v"), F.col("n").cast("double")).alias("mean"))
+    return means.select(doc, F.posexplode(vector_to_array("mean")).alias("dim", "value"))

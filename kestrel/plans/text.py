@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from kestrel.functions import alpha_tokens, round6, word_tokens
@@ -69,16 +71,24 @@ _TEXT_CTES = [("st", _SQL_ST), ("ng", _ngram_sql("st", *WORD_GRAMS)), ("cg", _ch
               ("cgtf", "SELECT doc_id, split, feature, count(*) AS tf FROM cg GROUP BY ALL"),
               ("vocab", _vocab_count_sql("ngtf", VOCAB_N)), ("cvocab", _vocab_count_sql("cgtf", CHAR_VOCAB_N)),
               ("ntrain", "SELECT count(*) AS n FROM texts WHERE split = 'train'"),
-              ("cnt", "SELECT doc_id, rank - 1 AS term_id, tf FROM ngtf JOIN vocab USING (feature)"),
-              ("ccnt", "SELECT doc_id, rank - 1 AS term_id, tf FROM cgtf JOIN cvocab USING (feature)"),
+              ("cnt", "SELECT doc_id, split, rank - 1 AS term_id, tf FROM ngtf JOIN vocab USING (feature)"),
+              ("ccnt", "SELECT doc_id, split, rank - 1 AS term_id, tf FROM cgtf JOIN cvocab USING (feature)"),
               ("idf", "SELECT term_id, log10((SELECT n FROM ntrain) / count(*)) AS idf FROM cnt "
-                      "WHERE doc_id IN (SELECT doc_id FROM texts WHERE split = 'train') GROUP BY term_id"),
+                      "WHERE split = 'train' GROUP BY term_id"),
               ("cidf", "SELECT term_id, log10((SELECT n FROM ntrain) / count(*)) AS idf FROM ccnt "
-                       "WHERE doc_id IN (SELECT doc_id FROM texts WHERE split = 'train') GROUP BY term_id")]
+                       "WHERE split = 'train' GROUP BY term_id")]
 
 
 def _tsql(body: str) -> str:
-    return fx.with_views(["texts"], body, _TEXT_CTES)
+    # each step is computed once, however many later ones read it, and only those that the body needs
+    needed, names = [], [name for name, _ in _TEXT_CTES]
+    wanted = {n for n in names if re.search(rf"\b{n}\b", body)}
+    for name, sql in reversed(_TEXT_CTES):
+        if name in wanted:
+            needed.insert(0, (f"{name} AS MATERIALIZED", sql))
+            wanted |= {n for n in names if n != name and re.search(rf"\b{n}\b", sql)}
+    lists = [f"texts AS MATERIALIZED ({fx.FIXTURE_SQL['texts']})", *(f"{name} ({sql})" for name, sql in needed)]
+    return "WITH " + ",\n".join(lists) + "\n" + body
 
 
 # ------------------------------------------------------------------ Spark building blocks
@@ -93,20 +103,20 @@ def _word_feats(spark, sf):
     return st.select("doc_id", "split", F.explode(tx.word_ngrams("toks", *WORD_GRAMS)).alias("feature"))
 
 
-def _char_feats(spark, sf):
-    st = _stopped(spark, sf)
-    return st.select("doc_id", "split", F.explode(tx.char_ngrams("toks", *CHAR_GRAMS)).alias("feature"))
-
-
 def _vocab(feats, n):
     return tx.build_vocab(feats.where("split = 'train'"), min_df=MIN_COUNT, keep_top_n=n, mode="count")
 
 
+def _counted(feats, n, name):
+    """(counts of features per document, ids of the first ``n`` features of the training part), both written."""
+    tf = materialise(feats.groupBy("doc_id", "split", "feature").agg(F.count(F.lit(1)).alias("tf")), name)
+    return tf, materialise(tx.vocab_ids(tx.vocab_of_counts(tf.where("split = 'train'"), MIN_COUNT, n)), f"{name}-ids")
+
+
 def _space(feats, n, name):
     """(counts, ids) of a feature space: the texts are cut into features once, counted per document and written;
     vocabulary, counts and document frequencies all read that table."""
-    tf = materialise(feats.groupBy("doc_id", "split", "feature").agg(F.count(F.lit(1)).alias("tf")), name)
-    ids = tx.vocab_ids(tx.vocab_of_counts(tf.where("split = 'train'"), MIN_COUNT, n))
+    tf, ids = _counted(feats, n, name)
     counts = tf.join(tx.bounded_broadcast(ids, n), "feature").select("doc_id", "split", "term_id", "tf")
     return counts, ids
 
@@ -116,7 +126,13 @@ def _words(spark, sf):
 
 
 def _chars(spark, sf):
-    return _space(_char_feats(spark, sf), CHAR_VOCAB_N, "char-counts")
+    """The character space by dictionary: each distinct term is cut into n-grams once."""
+    terms = _stopped(spark, sf).select("doc_id", "split", F.explode("toks").alias("term"))
+    counts = materialise(terms.groupBy("doc_id", "split", "term").agg(F.count(F.lit(1)).alias("tf")), "term-counts")
+    grams = materialise(tx.gram_dictionary(counts, *CHAR_GRAMS), "grams")
+    totals = tx.gram_totals(counts.where("split = 'train'"), grams)
+    ids = materialise(tx.vocab_ids(tx.vocab_of_totals(totals, MIN_COUNT, CHAR_VOCAB_N)), "char-ids")
+    return tx.gram_counts(counts, grams, ids, "doc_id", "split", vocab_bound=CHAR_VOCAB_N), ids
 
 
 def _n_train(spark, sf):
@@ -166,7 +182,9 @@ def q_word_ngrams(spark, sf):
 
 @register("char_ngrams", _tsql("SELECT feature, count(*) AS count FROM cg GROUP BY feature"))
 def q_char_ngrams(spark, sf):
-    return _char_feats(spark, sf).groupBy("feature").agg(F.count(F.lit(1)).alias("count"))
+    terms = _stopped(spark, sf).select(F.explode("toks").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("tf"))
+    terms = materialise(terms, "terms")
+    return tx.gram_totals(terms, tx.gram_dictionary(terms, *CHAR_GRAMS))
 
 
 @register("build_vocab", _tsql("SELECT * FROM vocab"))
@@ -182,9 +200,8 @@ def q_vocab_ids(spark, sf):
 @register("filter_to_vocab", _tsql(
     "SELECT doc_id, feature, count(*) AS tf FROM ng WHERE feature IN (SELECT feature FROM vocab) GROUP BY ALL"))
 def q_filter_to_vocab(spark, sf):
-    feats = _word_feats(spark, sf)
-    kept = tx.filter_to_vocab(feats, _vocab(feats, VOCAB_N), vocab_bound=VOCAB_N)
-    return tx.term_frequency(kept)
+    tf, ids = _counted(_word_feats(spark, sf), VOCAB_N, "word-counts")
+    return tx.filter_to_vocab(tf, ids, vocab_bound=VOCAB_N).select("doc_id", "feature", "tf")
 
 
 @register("count_vectors", _tsql("SELECT doc_id, term_id, tf FROM cnt"))
@@ -285,8 +302,8 @@ def q_join_vocab_ids(spark, sf):
     "SELECT doc_id, string_agg(CAST(rank - 1 AS VARCHAR), ' ' ORDER BY pos) AS ids "
     "FROM tt JOIN tvocab ON tt.token = tvocab.feature GROUP BY doc_id"))
 def q_doc_to_ids(spark, sf):
-    d = tx.doc_to_ids(_topic_tokens(spark, sf), tx.vocab_ids(_topic_vocab(spark, sf)),
-                      vocab_bound=TOPIC_VOCAB_N)
+    toks = tx.remove_stopwords(alpha_tokens("text", lower=True), tx.STOPWORDS_NLP2)
+    d = tx.doc_to_ids(fx.topics(spark, sf).select("doc_id", toks.alias("tokens")), tx.vocab_ids(_topic_vocab(spark, sf)))
     return d.select("doc_id", F.array_join(F.transform("ids", lambda i: i.cast("string")), " ").alias("ids"))
 
 

@@ -66,10 +66,34 @@ def test_tfidf_log10(spark):
 
 
 def test_doc_to_ids_keeps_order(spark):
-    toks = spark.createDataFrame([(1, 0, "z"), (1, 1, "b"), (1, 2, "a"), (1, 3, "b")],
-                                 "doc_id long, pos int, token string")
+    docs = spark.createDataFrame([(1, ["z", "b", "a", "b"]), (2, ["z"]), (3, []), (4, None), (5, [None, "a"]), (6, ["b"])] * 3, "doc_id long, tokens array<string>").repartition(2)
     ids = spark.createDataFrame([("a", 5), ("b", 7)], "feature string, term_id int")
-    assert tx.doc_to_ids(toks, ids).first().ids == [7, 5, 7]
+    got = tx.doc_to_ids(docs, ids)
+    assert rows(got) == sorted([(1, [7, 5, 7]), (5, [5]), (6, [7])] * 3)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString().replace("Exchange RoundRobin", "").split("MapInArrow")[0]
+    assert tx.doc_to_ids(docs.limit(0), ids).collect() == []
+    assert tx.doc_to_ids(docs, ids.limit(0)).collect() == []
+
+
+def test_dictionary_grams_equal_grams_of_every_occurrence(spark):
+    docs = [(1, ["apple", "apple", "ab", "éclair"]), (2, ["papple", "ab"]), (3, [])]
+    df = spark.createDataFrame(docs, "doc_id long, toks array<string>")
+    long = df.select("doc_id", F.explode(tx.char_ngrams("toks", 2, 4)).alias("feature"))
+    counts = tx.term_frequency(df.select("doc_id", F.explode("toks").alias("term")), feature="term")
+    grams = tx.gram_dictionary(counts, 2, 4)
+    assert rows(tx.gram_totals(counts, grams)) == rows(long.groupBy("feature").agg(F.count(F.lit(1)).alias("count")))
+    ids = tx.vocab_ids(tx.build_vocab(long, keep_top_n=6))
+    assert rows(tx.gram_counts(counts, grams, ids, "doc_id", vocab_bound=6), "doc_id", "term_id", "tf") == rows(tx.count_vectors(long, ids, vocab_bound=6), "doc_id", "term_id", "tf")
+
+
+def test_first_n_is_a_prefix_of_the_order(spark):
+    df = spark.range(5000).select((F.col("id") % 40).alias("count"), F.md5(F.col("id").cast("string")).alias("feature")).repartition(16)
+    want = [tuple(r) for r in df.orderBy(F.desc("count"), "feature").limit(300).collect()]
+    got = tx.first_n(df, 300, "feature", F.desc("count"), F.asc("feature"))
+    assert [tuple(r) for r in got.collect()] == want
+    vocab = tx.vocab_of_totals(df, keep_top_n=300)
+    assert [(r["count"], r.feature) for r in vocab.orderBy("rank").collect()] == want
+    assert "rangepartitioning" not in vocab._jdf.queryExecution().executedPlan().toString()
 
 
 def test_mean_embedding_modes(spark):
