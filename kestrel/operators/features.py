@@ -7,9 +7,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (PCA, OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel,
+from pyspark.ml.feature import (PCA, CountVectorizerModel, ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexer,
                                 VectorAssembler)
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,11 +28,40 @@ def string_indexer(cols: Sequence[str], suffix: str = "_idx", handle_invalid: st
                          stringOrderType="frequencyDesc", handleInvalid=handle_invalid)
 
 
-def index_table(spark: SparkSession, model: StringIndexerModel, cols: Sequence[str]) -> DataFrame:
-    """(column, value, index) of a fitted indexer. Its size is the number of
-    distinct categories (the model already holds them on the driver)."""
-    rows = [(c, v, i) for c, labels in zip(cols, model.labelsArray) for i, v in enumerate(labels)]
-    return spark.createDataFrame(rows, "column string, value string, index int")
+def category_index(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, value, index): index 0 = most frequent value of its column, ties alphabetical (M2), as a table.
+
+    The categories are ranked by the distributed ordinal and stay in Spark, however many there are; a pipeline's
+    ``string_indexer`` holds its labels on the driver and suits columns of few values."""
+    from kestrel.operators.splits import ordinal_by
+
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
+    counts = df.select(F.explode(pairs).alias("p")).select("p.*").where("value is not null").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    placed = ordinal_by(counts.withColumn("_neg", -F.col("n")), ["column", "_neg", "value"], "_place")
+    first = placed.groupBy("column").agg(F.min("_place").alias("_first"))  # one row for each column
+    return placed.join(F.broadcast(first), "column").select("column", "value", (F.col("_place") - F.col("_first")).alias("index"))
+
+
+def index_categories(df: DataFrame, index: DataFrame, cols: Sequence[str], suffix: str = "_idx") -> DataFrame:
+    """``df`` with the index of each column's value; null for values that ``category_index`` didn't see."""
+    for c in cols:
+        own = index.where(F.col("column") == c).select(F.col("value").alias(f"_{c}"), F.col("index").cast("double").alias(c + suffix))
+        df = df.join(own, F.col(c).cast("string") == F.col(f"_{c}"), "left").drop(f"_{c}")
+    return df
+
+
+def encode_categories(df: DataFrame, index: DataFrame, cols: Sequence[str], suffix: str = "_ohe") -> DataFrame:
+    """``df`` with a sparse one-hot vector for each column, as long as the column has indexed values; unseen values
+    and nulls are all zeros (M3). The encoder is fitted on the number of values alone."""
+    sizes = {r["column"]: r.n for r in index.groupBy("column").agg(F.max("index").alias("n")).collect()}  # one row for each column
+    cols = [c for c in cols if c in sizes]
+    spark = df.sparkSession
+    most = spark.createDataFrame([[float(sizes[c]) for c in cols]], ", ".join(f"`{c}_idx` double" for c in cols))
+    model = OneHotEncoder(inputCols=[f"{c}_idx" for c in cols], outputCols=[c + suffix for c in cols], handleInvalid="keep", dropLast=True).fit(most)
+    indexed = index_categories(df, index, cols)
+    # one more than the last index is the place of what wasn't seen, which the encoder drops
+    known = indexed.withColumns({f"{c}_idx": F.coalesce(f"{c}_idx", F.lit(float(sizes[c] + 1))) for c in cols})
+    return model.transform(known).drop(*[f"{c}_idx" for c in cols])
 
 
 def one_hot_stages(cols: Sequence[str]) -> list:
@@ -71,6 +101,13 @@ def feature_pipeline(cat_cols: Sequence[str], num_cols: Sequence[str], out: str
         VectorAssembler(inputCols=[out + "_scaled", *encoded], outputCol=out, handleInvalid="keep")])
 
 
+def tfidf_stages(vocabulary: Sequence[str], idf: Sequence[float], tokens: str, out: str) -> list:
+    """Array of features -> sparse tf-idf vector over a bounded vocabulary (F9-F11): counts by position in ``vocabulary``,
+    times ``idf``. Rows stay rows: nothing is exploded, and the vectors hold a document's own features only."""
+    return [CountVectorizerModel.from_vocabulary(list(vocabulary), inputCol=tokens, outputCol=out + "_counts"),
+            ElementwiseProduct(scalingVec=Vectors.dense(list(idf)), inputCol=out + "_counts", outputCol=out)]
+
+
 def pca_fit(df: DataFrame, k: int, features: str = "features") -> PipelineModel:
     """Centre + PCA(k) (M6)."""
     sc = StandardScaler(inputCol=features, outputCol="_centred", withMean=True, withStd=False)

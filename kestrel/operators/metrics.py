@@ -74,12 +74,12 @@ def top_features(spark: SparkSession, weights: Sequence[float], names: Sequence[
     """(feature, weight, rank) of the k largest absolute weights or importances
     (V10). A model's weight vector has one entry per feature, so it is a
     schema-sized table."""
-    rows = [(n, float(w)) for n, w in zip(names, weights)]
-    df = spark.createDataFrame(rows, "feature string, weight double")
     from pyspark.sql import Window
 
-    w = Window.orderBy(F.desc(F.abs("weight")), F.asc("feature"))
-    out = df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    df = spark.createDataFrame([(n, float(w)) for n, w in zip(names, weights)], "feature string, weight double")
+    order = [F.desc(F.abs("weight")), F.asc("feature")]
+    # a top-k plan; only the k rows are numbered
+    out = df.orderBy(*order).limit(k).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
     return out.withColumn("group", F.lit(group)) if group else out
 
 

@@ -8,6 +8,8 @@ Python.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
@@ -70,6 +72,40 @@ def gamma_glm(link: str = "identity", label: str = "label", features: str = "fea
     return GeneralizedLinearRegression(labelCol=label, featuresCol=features, family="gamma", link=link, **params)
 
 
+class PositiveModel:
+    """A linear model whose predictions stay at ``least`` or above."""
+
+    def __init__(self, model, least: float):
+        self.model, self.least = model, least
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.model.transform(df).withColumn("prediction", F.greatest("prediction", F.lit(self.least)))
+
+
+def gamma_identity(df: DataFrame, label: str = "label", features: str = "features", reg: float = 0.0, weight: str | None = None,
+                   max_iter: int = 50, tol: float = 1e-3, share: float = 0.01) -> PositiveModel:
+    """Gamma regression with identity link over any number of features (G15): iteratively reweighted least squares, where a
+    row weighs 1 / mean^2. A linear predictor isn't positive by itself, and a mean near zero would outweigh all other rows, so
+    means are held at ``share`` of the average amount or above. Stops when the coefficients have settled.
+
+    ``df`` is read once an iteration: persist it."""
+    base = F.col(weight).cast("double") if weight else F.lit(1.0)
+    least = share * float(df.agg(F.avg(label)).first()[0])
+    mean, before, model, current = F.greatest(F.col(label), F.lit(least)), None, None, df
+    for _ in range(max_iter):
+        rows = current.withColumn("_w", base / (mean * mean) * F.lit(least * least))
+        model = LinearRegression(labelCol=label, featuresCol=features, regParam=reg, weightCol="_w").fit(rows)
+        now = [*model.coefficients, model.intercept]
+        size = sum(x * x for x in now) ** 0.5
+        if before is not None and sum((a - b) ** 2 for a, b in zip(now, before)) ** 0.5 <= tol * max(size, 1e-12):
+            break
+        before = now
+        # one projection over the last model, never a chain over all of them
+        mean = F.col("_mean")
+        current = PositiveModel(model, least).transform(df).withColumnRenamed("prediction", "_mean")
+    return PositiveModel(model, least)
+
+
 def two_part_predict(df: DataFrame, cls_model, reg_model, features: str = "features",
                      out: str = "prediction") -> DataFrame:
     """Classifier says zero -> 0, otherwise the regressor's amount (G16), as
@@ -120,6 +156,71 @@ def best_params(cv_model, names: Sequence[str]) -> dict:
     return {n: best.getOrDefault(getattr(best, n)) for n in names}
 
 
+def folds(df: DataFrame, n: int = 5, seed: int = 42) -> list[tuple[DataFrame, DataFrame]]:
+    """(training, validation) parts of a seeded n-fold split of a persisted or written frame."""
+    parts = df.randomSplit([1.0] * n, seed)
+    rest = lambda i: reduce(DataFrame.unionByName, [p for j, p in enumerate(parts) if j != i])
+    return [(rest(i), parts[i]) for i in range(n)]
+
+
+def _accuracies(df: DataFrame, columns: Sequence[str], label: str) -> list[float]:
+    """Share of rows whose label equals each of several prediction columns, in one pass."""
+    hit = lambda c: F.avg((F.col(c) == F.col(label)).cast("double"))
+    return [float(x or 0.0) for x in df.agg(*[hit(c) for c in columns]).first()]
+
+
+def gbt_grid(df: DataFrame, depths: Sequence[int], iterations: Sequence[int], subsets: Sequence[str], n_folds: int = 5, label: str = "label",
+             features: str = "features", seed: int = 42, parallelism: int = 4) -> list[tuple[dict, float]]:
+    """(parameters, mean accuracy over folds) for every point of the grid of boosted trees.
+
+    Boosting adds one tree after another, so the model of fewer iterations is the beginning of the longer one: each
+    depth, subset strategy and fold is fitted once, with the most iterations, and scored at all of them."""
+    marks = sorted(iterations)
+
+    def one(job):
+        (train, held), depth, subset = job
+        model = GBTClassifier(labelCol=label, featuresCol=features, maxDepth=depth, maxIter=marks[-1], featureSubsetStrategy=subset, seed=seed).fit(train)
+        margins, out, total = [], held.select(label, features), F.lit(0.0)
+        for i, (tree, weight) in enumerate(zip(model.trees, model.treeWeights), 1):
+            out = tree.setPredictionCol(f"_t{i}").transform(out)
+            total = total + F.col(f"_t{i}") * F.lit(float(weight))
+            if i in marks:
+                margins.append((total > 0).cast("double").alias(f"_at{i}"))
+        scored = out.select(label, *margins)
+        return (depth, subset), _accuracies(scored, [f"_at{i}" for i in marks], label)
+
+    found: dict[tuple, list] = {}
+    with ThreadPool(parallelism) as pool:
+        for key, scores in pool.imap_unordered(one, [(part, d, s) for part in folds(df, n_folds, seed) for d in depths for s in subsets]):
+            found.setdefault(key, []).append(scores)
+    return [({"maxDepth": d, "maxIter": i, "featureSubsetStrategy": s}, sum(x[k] for x in scores) / len(scores))
+            for (d, s), scores in sorted(found.items()) for k, i in enumerate(marks)]
+
+
+def mlp_grid(df: DataFrame, layers: Sequence[int], iterations: Sequence[int], blocks: Sequence[int], steps: Sequence[float], n_folds: int = 5,
+             label: str = "label", features: str = "features", seed: int = 42, parallelism: int = 4) -> list[tuple[dict, float]]:
+    """(parameters, mean accuracy over folds) for every point of the grid of perceptrons.
+
+    The solver is L-BFGS, by default: it has no step size, and the size of the blocks that rows are stacked
+    in changes the speed only. Points that differ in these alone are one fit for each fold."""
+
+    def one(job):
+        (train, held), n = job
+        model = MultilayerPerceptronClassifier(labelCol=label, featuresCol=features, layers=list(layers), maxIter=n, blockSize=max(blocks), seed=seed).fit(train)
+        return n, _accuracies(model.transform(held), ["prediction"], label)[0]
+
+    found: dict[int, list] = {}
+    with ThreadPool(parallelism) as pool:
+        for n, score in pool.imap_unordered(one, [(part, n) for part in folds(df, n_folds, seed) for n in iterations]):
+            found.setdefault(n, []).append(score)
+    return [({"maxIter": n, "blockSize": b, "stepSize": s}, sum(scores) / len(scores)) for n, scores in sorted(found.items()) for b in blocks for s in steps]
+
+
+def best_point(points: list[tuple[dict, float]]) -> dict:
+    """The parameters of the first point with the highest score."""
+    return max(points, key=lambda p: p[1])[0]
+
+
 def classification_scores(pred: DataFrame, label: str = "label") -> DataFrame:
     """One row: accuracy (aggregation) and area under PR (evaluator) of the
     SAME predictions (V5, V6)."""

@@ -8,11 +8,11 @@ tables computed by Spark aggregations.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizer, Word2Vec
+from pyspark.ml.feature import CountVectorizerModel, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from kestrel.functions import alpha_tokens, round6, word_tokens
+from kestrel.functions import alpha_tokens, hash_bucket, round6, word_tokens
 from kestrel.operators import clean as cl
 from kestrel.operators import features as fe
 from kestrel.operators import metrics as me
@@ -21,7 +21,8 @@ from kestrel.operators import splits as sp
 from kestrel.operators import text as tx
 from kestrel.plans import sentiment as sent_plans
 from kestrel.plans.registry import register
-from kestrel.session import scratch_path
+from kestrel.plans.text import TOPIC_MIN_DF, TOPIC_VOCAB_N
+from kestrel.session import materialise, scratch_path
 from kestrel.sources import files as fs
 from kestrel.sources import fixtures as fx
 
@@ -60,8 +61,7 @@ def _csql(body: str, extra=None) -> str:
 @register("string_index", _csql("SELECT * FROM ranks"))
 def q_string_index(spark, sf):
     train = _claims(spark, sf).where("split = 'train'")
-    model = fe.string_indexer(CATS).fit(train)
-    return fe.index_table(spark, model, CATS)
+    return fe.category_index(train, CATS).withColumn("index", F.col("index").cast("int"))
 
 
 @register("one_hot", _csql(" UNION ALL ".join(
@@ -70,8 +70,7 @@ def q_string_index(spark, sf):
 def q_one_hot(spark, sf):
     c = _claims(spark, sf)
     cols = ["p_type", "o_orderpriority"]
-    model = Pipeline(stages=fe.one_hot_stages(cols)).fit(c.where("split = 'train'"))
-    t = model.transform(c)
+    t = fe.encode_categories(c, materialise(fe.category_index(c.where("split = 'train'"), cols), "categories"), cols)
     parts = []
     for col in cols:
         arr = vector_to_array(F.col(col + "_ohe"))
@@ -123,14 +122,15 @@ def q_feature_pipeline(spark, sf):
     return t.select("row_id", F.size(vector_to_array("features")).alias("n_features"))
 
 
-def _claims_fitted(spark, sf):
+def _claims_fitted(spark, sf, balanced: bool = False):
     """Encoded claims, train part persisted: the iterative solvers pass over
     it many times. (The linear models standardise internally, so the encoded
     vectors stay sparse: no mean-centring stage.)"""
     c = _claims(spark, sf)
     fp = _claims_pipeline(scale=False).fit(c.where("split = 'train'"))
     t = fp.transform(c).select("row_id", "features", "claim_amount", "split")
-    return fs.cached_scan(t.where("split = 'train'")), t.where("split = 'test'")
+    train = t.where("split = 'train'")
+    return fs.cached_scan(_balanced(train) if balanced else train), t.where("split = 'test'")
 
 
 @register("linear_regression")
@@ -178,41 +178,35 @@ def _balanced(train):
     """Balanced training set as instance weights (claims weighted by the
     no-claim / claim ratio): the same fits as on replicated claim rows,
     without multiplying the rows the solvers pass over."""
-    b = cl.oversample_weights(train, F.col("claim_amount") != 0).withColumn(
+    return cl.oversample_weights(train, F.col("claim_amount") != 0).withColumn(
         "is_claim", (F.col("claim_amount") != 0).cast("double"))
-    return fs.cached_scan(b)
 
 
 @register("logistic_binary")
 def q_logistic_binary(spark, sf):
     """Claim / no claim on the oversampled training rows."""
-    train, test = _claims_fitted(spark, sf)
-    m = mo.logistic("binomial", reg=0.01, label="is_claim", maxIter=50, weightCol="weight").fit(_balanced(train))
+    bal, test = _claims_fitted(spark, sf, balanced=True)
+    m = mo.logistic("binomial", reg=0.01, label="is_claim", maxIter=50, weightCol="weight").fit(bal)
     pred = m.transform(test.withColumn("is_claim", (F.col("claim_amount") != 0).cast("double")))
     return _r6(me.prf_macro(pred, "is_claim"))
 
 
 @register("two_part_model")
 def q_two_part_model(spark, sf):
-    """Logistic (claim?) then gamma GLM (amount) on the oversampled train rows;
-    scored in one projection over both models (G16)."""
-    train, test = _claims_fitted(spark, sf)
-    bal = _balanced(train)
-    cls = mo.logistic("binomial", reg=0.01, label="is_claim", maxIter=50, weightCol="weight").fit(bal)
-    reg = mo.gamma_glm("log", "claim_amount", maxIter=50, regParam=0.01, weightCol="weight").fit(
-        bal.where("claim_amount > 0"))
-    pred = mo.two_part_predict(test, cls, reg)
-    return _r6(me.regression_metrics(pred, "claim_amount"))
+    """Logistic (claim?) then gamma GLM with identity link (amount) on all features of the oversampled train rows; scored in
+    one projection over both models (G16)."""
+    bal, test = _claims_fitted(spark, sf, balanced=True)
+    cls = mo.logistic("binomial", reg=0.01, label="is_claim", maxIter=50, tol=1.0, weightCol="weight").fit(bal)
+    reg = mo.gamma_identity(bal.where("claim_amount > 0"), "claim_amount", reg=0.01, weight="weight")
+    return _r6(me.regression_metrics(mo.two_part_predict(test, cls, reg), "claim_amount"))
 
 
 @register("gamma_glm_identity")
 def q_gamma_glm_identity(spark, sf):
-    """Gamma GLM with identity link on the non-zero claims (G15), on the numeric columns: the identity link needs
-    positive means throughout, which the amounts' own factors give."""
-    c = _claims(spark, sf).where("claim_amount > 0")
-    t = fe.assemble_vector(c, ["l_extendedprice", "l_discount"]).select("features", "claim_amount", "split")
-    m = mo.gamma_glm("identity", "claim_amount", maxIter=50).fit(t.where("split = 'train'"))
-    return _r6(me.regression_metrics(m.transform(t.where("split = 'test'")), "claim_amount"))
+    """Gamma GLM with identity link on the non-zero claims, on all features."""
+    train, test = _claims_fitted(spark, sf)
+    m = mo.gamma_identity(train.where("claim_amount > 0"), "claim_amount", reg=0.01)
+    return _r6(me.regression_metrics(m.transform(test.where("claim_amount > 0")), "claim_amount"))
 
 
 @register("two_part_grid")
@@ -229,7 +223,6 @@ def q_two_part_grid(spark, sf):
                   "gamma": mo.gamma_glm("log", "claim_amount", maxIter=50, regParam=0.01).fit(some),
                   "rf": mo.regressor("rf", "claim_amount", numTrees=20, maxDepth=5, seed=SEED).fit(some),
                   "gbt": mo.regressor("gbt", "claim_amount", maxIter=5, maxDepth=3, seed=SEED).fit(some)}
-    few.unpersist()
     out = None
     for cname, clf in classifiers.items():
         for rname, reg in regressors.items():
@@ -255,8 +248,7 @@ def q_score_new_data(spark, sf):
 def q_training_time_table(spark, sf):
     """Wall minutes of the fit stages of the two-part model."""
     timer = me.StageTimer()
-    train, _ = _claims_fitted(spark, sf)
-    bal = _balanced(train)
+    bal, _ = _claims_fitted(spark, sf, balanced=True)
     with timer("linear_fit"):
         mo.regressor("linear", "claim_amount", weightCol="weight").fit(bal)
     with timer("logistic_fit"):
@@ -275,7 +267,6 @@ def q_shuffle_split_grid(spark, sf):
     lr = mo.ridge(alphas[0], st.n, st.s, "claim_amount")
     g = mo.grid(lr, regParam=[mo.ridge_penalty(a, st.n, st.s) for a in alphas])
     scores = mo.shuffle_split(train, Pipeline(stages=[lr]), g, mo.EVALUATORS["rmse"]("claim_amount"))
-    train.unpersist()
     return _r6(scores.withColumn("alpha", F.element_at(F.array(*map(F.lit, alphas)), F.col("grid_point") + 1)))
 
 
@@ -327,41 +318,66 @@ def _rf_pipeline():
     return rf, Pipeline(stages=[rf])
 
 
-TUNE_ROWS = 1000
+# The search grids: every point is compared by the mean accuracy of five folds.
+RF_GRID = {"featureSubsetStrategy": ["all", "sqrt", "log2"], "maxDepth": [1, 10, 15], "numTrees": [1, 10, 20]}
+GBT_GRID = {"depths": [1, 10, 15], "iterations": [10, 20, 30], "subsets": ["all", "sqrt", "log2"]}
+MLP_GRID = {"iterations": [30, 50, 100], "blocks": [64, 128, 256], "steps": [0.01, 0.03, 0.05]}
+MLP_LAYERS = [64, 20, 5, 2]
+#: The searches run on this share of the training rows; their best points are fitted again on all of them.
+TUNE_SHARE = 0.5
+
+
+def _tuning_rows(spark, sf):
+    """A seeded share of the training rows, persisted in few partitions: a grid passes over them hundreds of times."""
+    train = _wide(spark, sf).where("split = 'train'")
+    return fs.cached_scan(train.where(hash_bucket("vec_id", 1000) < int(1000 * TUNE_SHARE)).coalesce(4))
 
 
-def _rf_grid(rf):
-    return mo.grid(rf, featureSubsetStrategy=["onethird", "sqrt", "log2"], maxDepth=[2, 4, 6], numTrees=[5, 10, 20])
+def _points(spark, points):
+    """A table of grid points: (model, parameters, accuracy)."""
+    # one row for each point of the grid
+    return spark.createDataFrame([(name, ", ".join(f"{k}={v}" for k, v in sorted(p.items())), float(a)) for name, ps in points for p, a in ps],
+                                 "model string, parameters string, accuracy double")
+
+
+def _rf_points(rows):
+    rf, pipe = _rf_pipeline()
+    cv = mo.cross_validate(rows, pipe, mo.grid(rf, **RF_GRID), mo.EVALUATORS["accuracy"]("label"), folds=5, parallelism=8)
+    return [({p.name: v for p, v in point.items()}, m) for point, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics)]
 
 
 @register("cross_validate_grid")
 def q_cross_validate_grid(spark, sf):
-    """5-fold search over 27 points of subset strategy x depth x trees (V1); best parameters and the
-    refitted model's test scores."""
-    w = _wide(spark, sf)
-    rf, pipe = _rf_pipeline()
-    train = fs.cached_scan(w.where("split = 'train'"))
-    cv = mo.cross_validate(train, pipe, _rf_grid(rf), mo.EVALUATORS["aupr"]("label"), folds=5, parallelism=1)
-    train.unpersist()
-    bp = mo.best_params(cv, ["numTrees", "maxDepth"])
-    s = _clf_scores("rf_cv", cv.bestModel, w.where("split = 'test'"))
-    return s.select("*", F.lit(bp["numTrees"]).alias("num_trees"), F.lit(bp["maxDepth"]).alias("max_depth"))
+    """Mean accuracy over 5 folds of the 27 forests of the grid: subset strategy x depth x trees."""
+    return _r6(_points(spark, [("rf", _rf_points(_tuning_rows(spark, sf)))]))
+
+
+@register("gbt_grid")
+def q_gbt_grid(spark, sf):
+    """Mean accuracy over 5 folds of the 27 boosted models of the grid: depth x iterations x subset strategy."""
+    return _r6(_points(spark, [("gbt", mo.gbt_grid(_tuning_rows(spark, sf), **GBT_GRID, seed=SEED))]))
+
+
+@register("mlp_grid")
+def q_mlp_grid(spark, sf):
+    """Mean accuracy over 5 folds of the 27 perceptrons of the grid: iterations x block size x step size."""
+    return _r6(_points(spark, [("mlp", mo.mlp_grid(_tuning_rows(spark, sf), MLP_LAYERS, **MLP_GRID, seed=SEED))]))
 
 
 @register("scale_up_refit")
 def q_scale_up_refit(spark, sf):
-    """Tune on a seeded sample of 1 %, ``TUNE_ROWS`` rows at least, over the grid of V1; refit the best parameters on
-    all training rows (G19)."""
-    w = _wide(spark, sf)
-    train = w.where("split = 'train'")
-    rf, pipe = _rf_pipeline()
-    share = min(1.0, max(0.01, TUNE_ROWS / max(1, train.count())))
-    few = fs.cached_scan(train.sample(fraction=share, seed=SEED) if share < 1 else train)
-    cv = mo.cross_validate(few, pipe, _rf_grid(rf), mo.EVALUATORS["aupr"]("label"), folds=5, parallelism=1)
-    few.unpersist()
-    bp = mo.best_params(cv, ["numTrees", "maxDepth", "featureSubsetStrategy"])
-    full = mo.classifier("rf", seed=SEED, **bp).fit(train)
-    return _clf_scores("rf_refit", full, w.where("split = 'test'"))
+    """Forest, boosting and perceptron: searched on a share of the training rows, the best point of each fitted again on
+    all of them and scored on the test rows (G19)."""
+    few, w = _tuning_rows(spark, sf), _wide(spark, sf)
+    train, test = fs.cached_scan(w.where("split = 'train'").coalesce(4)), w.where("split = 'test'")
+    best = {"rf": mo.best_point(_rf_points(few)), "gbt": mo.best_point(mo.gbt_grid(few, **GBT_GRID, seed=SEED)),
+            "mlp": mo.best_point(mo.mlp_grid(few, MLP_LAYERS, **MLP_GRID, seed=SEED)) | {"layers": MLP_LAYERS}}
+    out = None
+    for name, params in best.items():
+        r = _clf_scores(name, mo.classifier(name, seed=SEED, **params).fit(train), test).withColumn(
+            "parameters", F.lit(", ".join(f"{k}={v}" for k, v in sorted(params.items()))))
+        out = r if out is None else out.unionByName(r)
+    return out
 
 
 @register("feature_importance_topk")
@@ -435,34 +451,68 @@ def q_logistic_multinomial(spark, sf):
 
 # ------------------------------------------------------------------ text models
 
-def _topic_features(spark, sf):
-    t = fx.topics(spark, sf).select("doc_id", "split", (F.col("label") - 1).cast("double").alias("label"),
-                                    tx.remove_stopwords(alpha_tokens("text", lower=True), tx.STOPWORDS_NLP2)
-                                    .alias("toks"))
-    cv = CountVectorizer(inputCol="toks", outputCol="tf", vocabSize=2000, minDF=5)
-    idf = IDF(inputCol="tf", outputCol="features")
-    model = Pipeline(stages=[cv, idf]).fit(t.where("split = 'train'"))
-    return model, model.transform(t)
+SPACES = {"words": ["words"], "characters": ["characters"], "both": ["words", "characters"]}
+SPACE_N = 5000  # features of each space
+WORD_GRAMS, CHAR_GRAMS = (1, 3), (4, 7)
+
+
+def _text_spaces(docs):
+    """(vectors, vocabularies) of (doc_id, split, label, toks): sparse tf-idf vectors over word n-grams, over character
+    n-grams and over both side by side (F9-F12). Vocabularies and log10 idf come from the training part."""
+    kept = materialise(docs.select("doc_id", "split", "label", "toks"), "texts")
+    train = kept.where("split = 'train'")
+    n_docs = max(1, train.count())
+    words = train.select("doc_id", F.explode(tx.word_ngrams("toks", *WORD_GRAMS)).alias("feature"))
+    word_tf = materialise(tx.term_frequency(words), "word-counts")
+    terms = materialise(tx.term_frequency(train.select("doc_id", F.explode("toks").alias("term")), feature="term"), "term-counts")
+    grams = materialise(tx.gram_dictionary(terms, *CHAR_GRAMS), "grams")
+    word_ids = materialise(tx.vocab_ids(tx.vocab_of_counts(word_tf, keep_top_n=SPACE_N)), "word-ids")
+    char_ids = materialise(tx.vocab_ids(tx.vocab_of_totals(tx.gram_totals(terms, grams), keep_top_n=SPACE_N)), "char-ids")
+    counts = {"words": (word_ids, tx.counts_in_vocab(word_tf, word_ids, vocab_bound=SPACE_N)),
+              "characters": (char_ids, tx.gram_counts(terms, grams, char_ids, "doc_id", vocab_bound=SPACE_N))}
+    stages, vocabularies = [], {}
+    for name, (ids, tf) in counts.items():
+        # at most SPACE_N rows
+        rows = ids.join(tx.idf_log10(tf, n_docs), "term_id", "left").orderBy("term_id").select("feature", F.coalesce("idf", F.lit(0.0)).alias("idf")).collect()
+        rows = rows or [("", 0.0)]
+        vocabularies[name] = [r[0] for r in rows]
+        stages += fe.tfidf_stages(vocabularies[name], [r[1] for r in rows], f"{name}_grams", name)
+    grams_of = kept.select("doc_id", "split", "label", tx.word_ngrams("toks", *WORD_GRAMS).alias("words_grams"),
+                           tx.char_ngrams("toks", *CHAR_GRAMS).alias("characters_grams"))
+    vectors = Pipeline(stages=stages).fit(grams_of).transform(grams_of).select("doc_id", "split", "label", *counts)
+    return materialise(fe.assemble_vector(vectors, ["words", "characters"], "both"), "vectors"), vocabularies
+
+
+def _space_scores(vectors, model):
+    out = None
+    for name in SPACES:
+        own = vectors.select("label", "split", F.col(name).alias("features"))
+        m = model.fit(fs.cached_scan(own.where("split = 'train'")))
+        r = me.prf_macro(m.transform(own.where("split = 'test'"))).select(F.lit(name).alias("space"), "*")
+        out = r if out is None else out.unionByName(r)
+    return _r6(out)
+
+
+def _topic_docs(spark, sf):
+    toks = tx.remove_stopwords(alpha_tokens("text", lower=True), tx.STOPWORDS_NLP1)
+    return fx.topics(spark, sf).select("doc_id", "split", (F.col("label") - 1).cast("double").alias("label"), toks.alias("toks"))
 
 
 @register("logistic_topics")
 def q_logistic_topics(spark, sf):
-    """3-class topics on tf-idf features."""
-    _, t = _topic_features(spark, sf)
-    m = mo.logistic("multinomial", reg=0.01, maxIter=50).fit(t.where("split = 'train'"))
-    return _r6(me.prf_macro(m.transform(t.where("split = 'test'"))))
+    """Topics on the tf-idf spaces of words, characters and both: one row for each."""
+    return _space_scores(_text_spaces(_topic_docs(spark, sf))[0], mo.logistic("multinomial", reg=0.01, maxIter=50))
 
 
 @register("topic_top_weights")
 def q_topic_top_weights(spark, sf):
-    """Top 10 weights per class of the topic model."""
-    fmodel, t = _topic_features(spark, sf)
-    m = mo.logistic("multinomial", reg=0.01, maxIter=50).fit(t.where("split = 'train'"))
-    vocab = fmodel.stages[0].vocabulary
-    coef = m.coefficientMatrix.toArray()
+    """Top 10 weights per class of the topic model on words."""
+    vectors, vocabularies = _text_spaces(_topic_docs(spark, sf))
+    own = vectors.where("split = 'train'").select("label", F.col("words").alias("features"))
+    coef = mo.logistic("multinomial", reg=0.01, maxIter=50).fit(fs.cached_scan(own)).coefficientMatrix.toArray()
     out = None
     for cls in range(coef.shape[0]):
-        part = me.top_features(spark, coef[cls], vocab, k=10, group=str(cls + 1))
+        part = me.top_features(spark, coef[cls], vocabularies["words"], k=10, group=str(cls + 1))
         out = part if out is None else out.unionByName(part)
     return _r6(out)
 
@@ -476,23 +526,27 @@ def _mean_embedding_docs(spark, sf):
     return fe.with_vector(vec.join(lab, "doc_id"), "v")
 
 
-def _learned_embedding_docs(spark, sf, size):
-    """Documents as the mean of word vectors learned from the training texts (skip-gram)."""
-    t = fx.topics(spark, sf).select("doc_id", "split", (F.col("label") - 1).cast("double").alias("label"),
-                                    tx.remove_stopwords(alpha_tokens("text", lower=True), tx.STOPWORDS_NLP2).alias("toks"))
-    w2v = Word2Vec(vectorSize=size, minCount=5, maxIter=1, seed=SEED, inputCol="toks", outputCol="features")
-    model = w2v.fit(t.where("split = 'train'"))
-    return model.transform(t).select("doc_id", "split", "label", "features")
+def _bag_docs(spark, sf):
+    """(vectors, width): documents as the mean of the one-hot vectors of their vocabulary words. The first layer of a network
+    on them is a table of word vectors whose mean is the document, learned with the labels like every other layer."""
+    toks = tx.remove_stopwords(alpha_tokens("text", lower=True), tx.STOPWORDS_NLP2)
+    docs = fx.topics(spark, sf).select("doc_id", "split", (F.col("label") - 1).cast("double").alias("label"), toks.alias("toks"))
+    feats = docs.where("split = 'train'").select("doc_id", F.explode("toks").alias("feature"))
+    vocab = tx.build_vocab(feats, min_df=TOPIC_MIN_DF, keep_top_n=TOPIC_VOCAB_N, mode="docfreq")
+    words = [r.feature for r in vocab.orderBy("rank").select("feature").collect()] or [""]  # TOPIC_VOCAB_N at most
+    stages = [CountVectorizerModel.from_vocabulary(words, inputCol="toks", outputCol="counts"), Normalizer(p=1.0, inputCol="counts", outputCol="features")]
+    out = Pipeline(stages=stages).fit(docs).transform(docs).select("doc_id", "split", "label", "features")
+    return fs.cached_scan(out), len(words)
 
 
 @register("embedding_classifier")
 def q_embedding_classifier(spark, sf):
     """Mean word vector per document -> hidden layers -> softmax (G17): given vectors with one hidden layer and with
-    two, and vectors learned from the training texts."""
-    given, learned = _mean_embedding_docs(spark, sf), _learned_embedding_docs(spark, sf, 16)
+    two, and vectors learned with the labels as the network's first layer."""
+    given, (learned, width) = _mean_embedding_docs(spark, sf), _bag_docs(spark, sf)
     out = None
     for name, d, layers in (("given", given, [8, 16, 4]), ("given, two hidden layers", given, [8, 16, 16, 4]),
-                            ("learned", learned, [16, 16, 4])):
+                            ("learned with the labels", learned, [width, 16, 4])):
         m = mo.classifier("mlp", layers=layers, maxIter=100, seed=SEED).fit(d.where("split = 'train'"))
         r = me.prf_macro(m.transform(d.where("split = 'test'"))).select(F.lit(name).alias("variant"), "*")
         out = r if out is None else out.unionByName(r)
@@ -501,34 +555,25 @@ def q_embedding_classifier(spark, sf):
 
 @register("manual_grid")
 def q_manual_grid(spark, sf):
-    """Embedding size x hidden size x step size grid of the embedding classifier (V3), with learned word vectors."""
-    out = None
+    """Embedding size x hidden size x step size grid of the embedding classifier (V3), word vectors learned with the labels."""
+    docs, width = _bag_docs(spark, sf)
+    train, test = docs.where("split = 'train'"), docs.where("split = 'test'")
+    points = []
     for size in (8, 16):
-        d = _learned_embedding_docs(spark, sf, size)
-        train, test = fs.cached_scan(d.where("split = 'train'")), d.where("split = 'test'")
-        for hidden in (8, 32):
+        for hidden in (None, 16):
             for step in (0.03, 0.3):
-                m = mo.classifier("mlp", layers=[size, hidden, 4], maxIter=30, stepSize=step, solver="gd",
-                                  seed=SEED).fit(train)
-                # a metric of one row, taken now: the training rows can be released
-                acc = me.accuracy(m.transform(test)).first().accuracy
-                r = spark.range(1).select(F.lit(size).alias("embedding"), F.lit(hidden).alias("hidden"),
-                                          F.lit(step).alias("step"), F.lit(float(acc)).alias("accuracy"))
-                out = r if out is None else out.unionByName(r)
-        train.unpersist()
-    return _r6(out)
+                layers = [width, size, *([hidden] if hidden else []), 4]
+                m = mo.classifier("mlp", layers=layers, maxIter=30, stepSize=step, solver="gd", seed=SEED).fit(train)
+                points.append((size, hidden, step, float(me.accuracy(m.transform(test)).first().accuracy or 0.0)))
+    return _r6(spark.createDataFrame(points, "embedding int, hidden int, step double, accuracy double"))
 
 
 @register("logistic_sentiment")
 def q_logistic_sentiment(spark, sf):
-    """Binary sentiment on word tf-idf of the labelled texts."""
-    t = fx.texts(spark, sf).select("doc_id", "split", F.col("label").cast("double").alias("label"),
-                                   word_tokens("text", lower=True).alias("toks"))
-    cv = CountVectorizer(inputCol="toks", outputCol="tf", vocabSize=5000, minDF=2)
-    pipe = Pipeline(stages=[cv, IDF(inputCol="tf", outputCol="features"),
-                            mo.logistic("binomial", reg=0.01, maxIter=50)])
-    m = pipe.fit(t.where("split = 'train'"))
-    return _r6(me.prf_macro(m.transform(t.where("split = 'test'"))))
+    """Binary sentiment on the tf-idf spaces of words, characters and both: one row for each."""
+    toks = tx.remove_stopwords(alpha_tokens("text"), tx.STOPWORDS_NLP1)
+    docs = fx.texts(spark, sf).select("doc_id", "split", F.col("label").cast("double").alias("label"), toks.alias("toks"))
+    return _space_scores(_text_spaces(docs)[0], mo.logistic("binomial", reg=0.01, maxIter=50))
 
 
 # ------------------------------------------------------------------ metrics on deterministic predictions

@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Sizes used when a session is created here (tests, bench). A cluster session
@@ -64,10 +67,70 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+class Scope:
+    """Owns the persisted frames and scratch tables that are made while it is the innermost one, and releases both."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.frames, self.paths = spark, [], []
+
+    def release(self) -> None:
+        for frame in self.frames:
+            frame.unpersist()
+        for path in self.paths:
+            remove(self.spark, path)
+        self.frames, self.paths = [], []
+
+
+_SCOPES: list[Scope] = []
+
+
+@contextmanager
+def reuse(spark: SparkSession):
+    """``with reuse(spark):`` what is persisted or written for reuse inside is gone afterwards (S13). Results that read it
+    have to be computed inside, or written with ``result_of``."""
+    scope = Scope(spark)
+    _SCOPES.append(scope)
+    try:
+        yield scope
+    finally:
+        _SCOPES.remove(scope)
+        scope.release()
+
+
+def result_of(spark: SparkSession, make) -> DataFrame:
+    """``make()`` in a scope of its own. A result that stands on persisted frames or scratch tables is written, so that these
+    can go; its own table belongs to the scope around, or to the session."""
+    with reuse(spark) as scope:
+        out = make()
+        if not scope.frames and not scope.paths:
+            return out
+        path = scratch_path(spark, "result")
+        scope.paths.remove(path)
+        out.write.parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].paths.append(path)
+    return spark.read.schema(out.schema).parquet(path)
+
+
+def persist(df: DataFrame) -> DataFrame:
+    """Persist a frame that is read several times, spilling to disk; the scope that it is made in releases it."""
+    frame = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if _SCOPES:
+        _SCOPES[-1].frames.append(frame)
+    return frame
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table, wherever its file system is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under the checkpoint folder and read back: several
     branches read the files instead of computing the rows again, and the lineage ends
-    there. The folder's owner removes it with the checkpoints of the session."""
+    there. The scope that it is made in removes it; without one it stays with the
+    checkpoints of the session."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -75,7 +138,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path for a written intermediate table under the checkpoint folder."""
-    import uuid
-
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].paths.append(path)
+    return path

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kestrel.session import materialise, persist
+
 
 def _decode(value, encoding: str):
     if encoding.lower().replace("-", "") in ("utf8",):
@@ -67,11 +68,79 @@ def scan_csv_noheader(spark: SparkSession, path: str, n_features: int,
 def scan_labelled_text(spark: SparkSession, path: str, columns: Sequence[str],
                        label: str = "label") -> DataFrame:
     """CSV of (text, label) or (label, text) in caller order; quoted fields may
-    span lines (S4). Such a file can't be split, so each is one task: keep large
-    collections as many files, or as Parquet with one record a row."""
+    span lines (S4). One large file is read by as many tasks as it has splits (``quoted_records``)."""
     fields = [T.StructField(c, T.IntegerType() if c == label else T.StringType()) for c in columns]
-    return (spark.read.schema(T.StructType(fields)).option("header", False)
-            .option("multiLine", True).option("quote", '"').option("escape", '"').csv(path))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    parsed = quoted_records(spark, path).select(F.from_csv("record", schema, {"quote": '"', "escape": '"'}).alias("r"))
+    return parsed.select("r.*")
+
+
+def quoted_records(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
+    """(record) of a text file whose records may span lines inside quotes; empty lines are no records.
+
+    A line belongs to the record before it if an odd number of quotes lies in front of it. Quotes are counted per split of
+    the files first; with the parity that each split begins with, every task knows where its records begin without having
+    seen what lies before. Records on one line, as most are, stay where they were read; only the lines of the others are
+    brought together, also across splits. Quotes have to be balanced, as in every file of quoted fields.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), "value",
+        F.length(F.regexp_replace("value", f"[^{quote}]", "")).alias("quotes"))
+    own = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    # one row for each split of a file
+    parity = lines.groupBy("file", "split").agg(F.sum("quotes").alias("n")).select(
+        "file", "split", (F.coalesce(F.sum("n").over(own), F.lit(0)) % 2).cast("int").alias("odd"))
+    placed = materialise(lines.join(parity, ["file", "split"]).mapInArrow(_record_lines, _LINE_SCHEMA), "csv-lines")
+    whole = placed.where("kind = 'record' and value <> ''").select(F.col("value").alias("record"))
+    # lines in front of a split's first record go to the last record that began before it
+    begun = placed.where("kind = 'split'").select("file", "split", F.when(F.col("record") > 0, F.struct("split", "record")).alias("last"))
+    home = begun.select("file", "split", F.last("last", ignorenulls=True).over(own).alias("home"))
+    parts = placed.where("kind = 'line'").join(home, ["file", "split"]).select(
+        "file", F.when(F.col("record") == 0, F.col("home")).otherwise(F.struct("split", "record")).alias("home"), "split", "line", "value")
+    joined = parts.groupBy("file", "home").agg(F.array_sort(F.collect_list(F.struct("split", "line", "value"))).alias("lines"))
+    return whole.unionByName(joined.select(F.array_join(F.transform("lines", lambda x: x["value"]), "\n").alias("record")))
+
+
+_LINE_SCHEMA = "kind string, file string, split long, record long, line long, value string"
+
+
+def _record_lines(batches):
+    """Lines with the number of the record, within their split, that they belong to (0: one that began before the split);
+    kind 'record' where a line is a whole record. One row of kind 'split' has the number of records that began in it."""
+    import numpy as np
+    import pyarrow as pa
+
+    state = {}  # of the split that is being read: quotes in front, records begun, lines
+    names = ["kind", "file", "split", "record", "line", "value"]
+
+    def closed(key):
+        return pa.RecordBatch.from_arrays([pa.array(["split"]), pa.array([key[0]]), pa.array([key[1]], pa.int64()), pa.array([state[key][1]], pa.int64()),
+                                           pa.array([0], pa.int64()), pa.nulls(1, pa.string())], names)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        files, splits = batch.column("file").to_pylist(), batch.column("split").to_numpy()
+        quotes, odd = batch.column("quotes").to_numpy(), batch.column("odd").to_numpy()
+        edges = [0, *(i for i in range(1, len(files)) if (files[i], splits[i]) != (files[i - 1], splits[i - 1])), len(files)]
+        for lo, hi in zip(edges, edges[1:]):
+            key = (files[lo], int(splits[lo]))
+            if key not in state:
+                for old in list(state):
+                    yield closed(old)
+                    del state[old]
+                state[key] = (int(odd[lo]), 0, 0)
+            before, begun, line = state[key]
+            q = quotes[lo:hi]
+            ahead = before + np.cumsum(q) - q
+            starts = ahead % 2 == 0
+            record = begun + np.cumsum(starts)
+            state[key] = (int(before + q.sum()), int(record[-1]), line + hi - lo)
+            kind = np.where(starts & (q % 2 == 0), "record", "line")
+            yield pa.RecordBatch.from_arrays([pa.array(kind.tolist(), pa.string()), batch.column("file").slice(lo, hi - lo), batch.column("split").slice(lo, hi - lo),
+                                              pa.array(record, pa.int64()), pa.array(np.arange(line, line + hi - lo)), batch.column("value").slice(lo, hi - lo)], names)
+    for old in list(state):
+        yield closed(old)
 
 
 def scan_class_files(spark: SparkSession, files: dict[str, str], encoding: str = "ISO-8859-1",
@@ -176,8 +245,8 @@ def report_table(parts: dict[str, DataFrame]) -> DataFrame:
 
 def cached_scan(df: DataFrame) -> DataFrame:
     """Persist a scan reused by several queries (S13); spills to disk rather
-    than recomputing. Call ``unpersist()`` when done."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    than recomputing. The scope it is made in (``session.reuse``) releases it."""
+    return persist(df)
 
 
 def dedup_last_wins(df: DataFrame, key: str, order: str) -> DataFrame:
