@@ -17,9 +17,14 @@ DOMAINS = {"JP": ".ac.jp", "UK": ".ac.uk", "US": ".edu"}
 TS_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 
 
+# fixed values: the patterns of the log's fields. The label in front of a domain suffix has at most 50 characters.
+HOST_PATTERN = r"([^\.]{1,50}%s)"
+TIMESTAMP_PATTERN = r".* - - \[(.*)\].*"
+REQUEST_PATTERN = r'.*"(.*)".*'
+
+
 def _host_pattern(suffix: str) -> str:
-    # the registered domain label in front of the suffix, at most 50 characters
-    return r"([^\.]{1,50}" + suffix.replace(".", r"\.") + r")"
+    return HOST_PATTERN % suffix.replace(".", r"\.")
 
 
 def filter_contains_domain(lines: DataFrame, domains: dict[str, str] | None = None,
@@ -64,13 +69,13 @@ def parse_log(lines: DataFrame, domains: dict[str, str] | None = None, mode: str
     domains = domains or DOMAINS
     tagged = filter_contains_domain(lines, domains, mode)
     parts = F.split(F.col("value"), " ")
-    ts_text = F.regexp_extract("value", r".* - - \[(.*)\].*", 1)
+    ts_text = F.regexp_extract("value", TIMESTAMP_PATTERN, 1)
     cols = [
         "country",
         _per_country(domains, lambda s: F.regexp_extract("value", _host_pattern(s), 1)).alias("host"),
         ts_text.alias("timestamp"),
         F.try_to_timestamp(ts_text, F.lit(TS_FORMAT)).alias("event_time"),
-        F.regexp_extract("value", r'.*"(.*)".*', 1).alias("request"),
+        F.regexp_extract("value", REQUEST_PATTERN, 1).alias("request"),
         F.try_element_at(parts, F.lit(-2)).try_cast("int").alias("status"),
         F.try_element_at(parts, F.lit(-1)).try_cast("int").alias("bytes"),
     ]
@@ -169,7 +174,7 @@ def day_hour_grid(parsed: DataFrame, hosts: DataFrame | None = None, days: int =
                     F.coalesce(F.col("requests"), F.lit(0)).cast("bigint").alias("requests")))
 
 
-def sort_desc_limit(df: DataFrame, by: str, k: int, tie: str) -> DataFrame:
+def sort_desc_limit(df: DataFrame, by: str, k: int, *ties: str) -> DataFrame:
     """Global top-k: planned as TakeOrderedAndProject (per-partition top-k,
     then a k-row merge), never a full sort."""
-    return df.orderBy(F.desc(by), F.asc(tie)).limit(k)
+    return df.orderBy(F.desc(by), *[F.asc(t) for t in ties]).limit(k)

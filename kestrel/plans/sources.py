@@ -97,11 +97,8 @@ def q_scan_class_files(spark, sf):
     return fs.scan_class_files(spark, files, encoding="ISO-8859-1").select("text", "label")
 
 
-@register("scan_lexicon", fx.with_views(["texts"], """
-    SELECT word, max(polarity) AS polarity FROM lexicon GROUP BY word""", sp._CTES))
-def q_scan_lexicon(spark, sf):
-    """The derived lexicon as two word lists (negative, then positive), each
-    under a ``;`` comment header; a word in both lists takes the later one."""
+def _lexicon_files(spark, sf):
+    """The derived lexicon as two word lists (negative, then positive), each under a ``;`` comment header."""
     lex = sp._lexicon(spark, sf)
     files = {}
     for pol, name in ((-1, "negative"), (1, "positive")):
@@ -111,8 +108,25 @@ def q_scan_lexicon(spark, sf):
         # at most USEFUL_N words per list: one file, header lines first
         header.unionByName(body).coalesce(1).write.mode("overwrite").text(path)
         files[path] = pol
+    return files
+
+
+@register("scan_lexicon", fx.with_views(["texts"], """
+    SELECT word, max(polarity) AS polarity FROM lexicon GROUP BY word""", sp._CTES))
+def q_scan_lexicon(spark, sf):
+    """Word lists without their comments; a word in both lists takes the later one."""
     # derived words are arbitrary tokens (digits, accents, apostrophes): one per line
-    return fs.scan_lexicon(spark, files, pattern=r"\S+")
+    return fs.scan_lexicon(spark, _lexicon_files(spark, sf), pattern=r"\S+")
+
+
+@register("scan_lexicon_comments", fx.with_views(["texts"], """
+    SELECT word, CAST(max(polarity) AS INTEGER) AS polarity FROM (
+      SELECT word, polarity FROM lexicon UNION ALL
+      SELECT unnest([';', name, 'words', 'of', 'the', 'opinion', 'lexicon']), polarity FROM (VALUES ('negative', -1), ('positive', 1)) v(name, polarity))
+    GROUP BY word""", sp._CTES))
+def q_scan_lexicon_comments(spark, sf):
+    """Word lists scanned with their comment lines (S6 with include_comments)."""
+    return fs.scan_lexicon(spark, _lexicon_files(spark, sf), include_comments=True, pattern=r"\S+")
 
 
 _REPORT_SQL = fx.with_views(["ratings", "items"], """

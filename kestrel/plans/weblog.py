@@ -51,6 +51,14 @@ def q_filter_contains_domain(spark, sf):
     return wl.filter_contains_domain(fx.log_lines(spark, sf))
 
 
+@register("filter_host_domain", fx.with_views(["log_lines"], """
+    SELECT country, value FROM log_lines, (VALUES ('JP', '.ac.jp'), ('UK', '.ac.uk'), ('US', '.edu')) d(country, suffix)
+    WHERE ends_with(split_part(value, ' ', 1), suffix)"""))
+def q_filter_host_domain(spark, sf):
+    """Only the host decides, not a URL in the request (P1 with mode='host')."""
+    return wl.filter_contains_domain(fx.log_lines(spark, sf), mode="host")
+
+
 @register("parse_log_host", _sql("SELECT country, value, host FROM parsed"))
 def q_parse_log_host(spark, sf):
     return _parsed(spark, sf).select("country", "value", "host")
@@ -140,5 +148,4 @@ def q_day_hour_grid(spark, sf):
     """SELECT country, host, count(*) AS requests FROM parsed GROUP BY country, host
        ORDER BY requests DESC, country, host LIMIT 10"""))
 def q_sort_desc_limit(spark, sf):
-    counts = wl.count_by_host(_parsed(spark, sf))
-    return counts.orderBy(F.desc("requests"), "country", "host").limit(10)
+    return wl.sort_desc_limit(wl.count_by_host(_parsed(spark, sf)), "requests", 10, "country", "host")
