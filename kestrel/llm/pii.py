@@ -44,7 +44,7 @@ _PATTERNS = {
 _TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 _WHITE = r"[\x20\x09-\x0D]+"
 _CONTEXT = r"(?:^|[\x20\x09-\x0D])([^\x20\x09-\x0D0-9@]+)[\x20\x09-\x0D]+([^\x20\x09-\x0D0-9@]+)[\x20\x09-\x0D]+$"
-_TAIL = 200  # code points in front of a match that its context is read from
+_TAIL = 200  # code points in front of a match that its context is read from; words that begin before them are no context
 
 
 def _digits(c: Column) -> Column:
@@ -85,6 +85,11 @@ def _sums_before(lengths: Column, block: int = 256) -> Column:
     return F.get(named, F.lit(0))
 
 
+def _tail(gap: Column) -> Column:
+    """The end of a gap; where it is cut a digit stands, which belongs to no word, so that a cut word is none."""
+    return F.when(F.length(gap) > _TAIL, F.concat(F.lit("0"), F.substring(gap, -_TAIL, _TAIL))).otherwise(gap)
+
+
 def _located(df: DataFrame, name: str, pattern: str, needed: Column) -> DataFrame:
     """Adds the array ``name`` of (m, before, start, end) of all matches of the pattern in _text: positions in code points."""
     empty = F.array().cast("array<string>")
@@ -95,7 +100,7 @@ def _located(df: DataFrame, name: str, pattern: str, needed: Column) -> DataFram
     # each match comes after its gap and all pairs before
     df = df.withColumn("_pairs", F.when(F.size("_found") > 0, F.zip_with(
         "_found", F.slice("_gaps", F.lit(1), F.size("_found")),
-        lambda m, gap: F.struct(m.alias("m"), F.substring(gap, -_TAIL, _TAIL).alias("before"), F.length(gap).cast("long").alias("skip"), F.length(m).cast("long").alias("n")))))
+        lambda m, gap: F.struct(m.alias("m"), _tail(gap).alias("before"), F.length(gap).cast("long").alias("skip"), F.length(m).cast("long").alias("n")))))
     df = df.withColumn("_starts", F.when(F.col("_pairs").isNotNull(), _sums_before(F.transform("_pairs", lambda p: p["skip"] + p["n"]))))
     placed = F.zip_with("_pairs", "_starts", lambda p, at: F.struct(
         p["m"].alias("m"), p["before"].alias("before"), (at + p["skip"]).alias("start"), (at + p["skip"] + p["n"]).alias("end")))
@@ -237,9 +242,9 @@ def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of the text replaced by its kind in brackets; n_chars, where there is one, follows."""
     # the input's columns travel as one struct, so that none of their names can clash with those made here
     columns = dict(docs.dtypes)
-    found = base(docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row")))
-    extra = discover(docs, keep(found.where(F.size("_mentions") > 0).select("_key", "_mentions"), "found"))
-    found = _with_extra(found, extra)
+    # written once: a filter on what the patterns find would run all of them again
+    found = keep(base(docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))).select("_row", "_key", "_spans", "_mentions"), "found")
+    found = _with_extra(found, discover(docs, found)).withColumn("_text", F.coalesce("_row.text", F.lit(""))).withColumn("text", F.col("_row.text"))
     # overlapping spans become one, named after the first
     merged = F.aggregate("_all", F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint>>"), lambda acc, s: F.when(
         (F.size(acc) > 0) & (s["start"] < F.get(acc, F.size(acc) - 1)["end"]),

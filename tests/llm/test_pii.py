@@ -101,6 +101,21 @@ def test_found_identifiers_are_seeds_of_further_patterns(spark):
     assert [[s[2] for s in got[i]] for i in range(23)] == [["email"]] * 9 + [["id"]] * 9 + [[]] * 5
 
 
+@pytest.mark.parametrize("first,second", [("x" * 300, "y" * 60), ("x" * 60, "y" * 300), ("x" * 190, "y" * 9)])
+def test_long_words_in_front(spark, first, second):
+    # 4 seeds in 45 occurrences: no pattern, whatever the length of its words
+    here = f"{first} {second} "
+    texts = [f"so {here}u{i}@mail.example.com" for i in range(4)] + [f"so {here}nothing"] * 40 + [f"so {here}handle-77231"]
+    assert found(spark, texts, extra=True)[44] == []
+
+
+def test_clashing_columns(spark):
+    names = ["_text", "_key", "_mentions", "_spans", "_row", "extra", "n_ip", "context", "value"]
+    df = spark.createDataFrame([(1, "a@b.co now", *range(9)), (2, None, *range(9))], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    assert sorted(tuple(r) for r in pii.redact(df).collect()) == [(1, "[EMAIL] now", *range(9)), (2, None, *range(9))]
+    assert {r.doc_id: r.n_email for r in pii.find(df).collect()} == {1: 1, 2: 0}
+
+
 def test_redaction(spark):
     rows = [(1, "Mail a@b.co now", "en", 15, "q"), (2, None, None, None, None), (3, "call +1 (415) 555-2671, é 10.0.0.1", "fr", 34, "r"), (4, "no data", "de", 7, "s")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long, n_email string")
