@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm import bpe, decontaminate, langid, near_dups, pii
-from kestrel.llm.batches import append, struct, table
+from kestrel.llm.batches import append, fresh, struct, table
 from kestrel.llm.queries import bpe_files, held_out
 from kestrel.llm.tables import keep
 
@@ -29,20 +29,13 @@ MIN_SCORE = 0.5
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language; fitted on those of ``docs`` that aren't held out."""
-    shared = spark.sparkContext.broadcast(langid.fit(docs.where(~held_out())))
-
-    def make():
-        model = shared.value
-
-        def one(text):
-            if not model.languages:
-                return (any(True for _ in langid.text_bins(text or "")),)
-            lang, score = langid.best(model, text)
-            return (lang != langid.UNKNOWN and score >= MIN_SCORE,)
-
-        return one
-
-    return append(docs, ["text"], make, struct("__known boolean")).where("__known").drop("__known")
+    model = langid.fit(docs.where(~held_out()))
+    if model.n_languages:
+        out, lang, score = langid.identified(docs, model)
+        return out.where((F.col(lang) != langid.UNKNOWN) & (F.col(score) >= MIN_SCORE)).select(*docs.columns)
+    lettered = fresh(docs, "__lettered")[0]
+    make = lambda: lambda text: (any(True for _ in langid.text_bins(text or "")),)
+    return append(docs, ["text"], make, struct(f"{lettered} boolean")).where(lettered).drop(lettered)
 
 
 def _one_of_each_text(docs: DataFrame, several: DataFrame) -> DataFrame:

@@ -47,6 +47,16 @@ def lean(run: Callable) -> Callable:
     return wrapped
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each made longer until no column of ``df`` has it (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the whole text (null: empty); other columns, whatever their names, are dropped."""
     small_batches(docs.sparkSession)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.batches import append, id_and_text, lean, pieces, struct
+from kestrel.llm.batches import append, fresh, id_and_text, lean, pieces, struct
 
 ERROR_RATE = 0.05
 MIN_PIECE = 12
@@ -191,5 +191,6 @@ def without_items(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERR
             matcher = Matcher(shared.value, error_rate, min_chars)
             return lambda text: (bool(matcher.find(text or "")),)
 
-        docs = append(docs, ["text"], make, struct("__holds_item boolean")).where("not __holds_item").drop("__holds_item")
+        holds = fresh(docs, "__holds_item")[0]
+        docs = append(docs, ["text"], make, struct(f"{holds} boolean")).where(f"not {holds}").drop(holds)
     return docs

@@ -1,5 +1,6 @@
 """Quality cascade, toxicity, language, licences: edge cases, order independence, accuracy on held-out rows."""
 
+import math
 import random
 import textwrap
 from collections import Counter
@@ -72,15 +73,72 @@ def test_language_on_held_out_documents(spark, mid_dir):
 def test_language_edge_cases(spark):
     train = spark.createDataFrame([("aa bb ab ba", "x"), ("cc dd cd dc", "y"), ("zz", None), (None, "x")], "text string, lang string")
     model = langid.fit(train)
-    assert model.languages == ["x", "y"]
+    assert [x for block in model.blocks() for x in block.languages] == ["x", "y"]
     df = spark.createDataFrame([(1, None, "a"), (2, "", "a"), (3, "123 !?", "a"), (4, "AB BA", "a"), (5, "cd", "a"), (5, "cd", "a"), (None, "dc", "a")], "doc_id long, text string, score string")
     got = Counter(tuple(r)[:2] for r in langid.predict(df, model).collect())
     assert got == Counter({(1, "und"): 1, (2, "und"): 1, (3, "und"): 1, (4, "x"): 1, (5, "y"): 2, (None, "y"): 1})
     none = langid.fit(train.limit(0))
-    assert langid.best(none, "text") == ("und", 0.0)
+    assert langid.best(none, ["text"]) == [("und", 0.0)]
+    assert [tuple(r) for r in langid.predict(df.where("doc_id = 4"), none).collect()] == [(4, "und", 0.0)]
     assert langid.predict(df.limit(0), model).collect() == []
 
 
+def _bayes(train, texts):
+    """Posteriors by plain counting of hashed n-grams."""
+    seen = {}
+    for text, lang in train:
+        mine = seen.setdefault(lang, [Counter(), 0])
+        mine[1] += 1
+        for bins in langid.text_bins(text):
+            mine[0].update(bins.tolist())
+    out = []
+    for text in texts:
+        bins = [x for b in langid.text_bins(text) for x in b.tolist()]
+        logs = {lang: math.log(n / len(train)) + sum(math.log((c[x] + 0.5) / (sum(c.values()) + 0.5 * langid.BINS)) for x in bins) for lang, (c, n) in sorted(seen.items())}
+        best = max(logs, key=lambda k: logs[k])
+        out.append((best, 1 / sum(math.exp(v - logs[best]) for v in logs.values())) if bins else ("und", 0.0))
+    return out
+
+
+def test_languages_in_blocks_against_plain_bayes(spark, monkeypatch):
+    rng = random.Random(6)
+    letters = "abcdefghijklmnop"
+    make = lambda k, n: " ".join("".join(rng.choices(letters[k:k + 5], k=4)) for _ in range(n))
+    train = [(make(k, 20), f"l{k}") for k in range(8) for _ in range(1 + k % 3)]
+    texts = [make(k % 10, n) for k in range(40) for n in (1, 6)] + ["", "12"]
+    want = _bayes(train, texts)
+    labelled = spark.createDataFrame(train, "text string, lang string")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for most in (256, 3, 1):
+        monkeypatch.setattr(langid, "MAX_LANGUAGES", most)
+        got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(df, langid.fit(labelled)).collect()}
+        assert [got[i][0] for i in range(len(texts))] == [lang for lang, _ in want]
+        assert [got[i][1] for i in range(len(texts))] == pytest.approx([score for _, score in want], abs=1e-4)
+
+
+def test_300_languages(spark):
+    train = spark.createDataFrame([(f"{chr(0x4e00 + i) * 4} {chr(0x4e00 + i)}", f"l{i:03}") for i in range(300)], "text string, lang string")
+    model = langid.fit(train)
+    assert [len(b.languages) for b in model.blocks()] == [256, 44]
+    df = spark.createDataFrame([(i, chr(0x4e00 + i) * 3) for i in range(0, 300, 7)], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in langid.predict(df, model).collect()} == {i: f"l{i:03}" for i in range(0, 300, 7)}
+
+
+def test_clashing_columns_of_the_stages(spark):
+    import corpus_pipeline
+    from kestrel.llm import decontaminate
+
+    names = ["lang_pred", "lang_top", "lang_mass", "score", "__known", "__lettered", "__holds_item", "n_chars", "source"]
+    docs = spark.createDataFrame([(i, "ein guter Text" if i % 2 else "a good text", "de" if i % 2 else "en", *range(9)) for i in range(12)],
+                                 "doc_id long, text string, lang string, " + ", ".join(f"{n} int" for n in names))
+    for df in (docs, docs.withColumn("lang", F.lit(None).cast("string"))):
+        out = corpus_pipeline.language(spark, df, "")
+        assert out.columns == docs.columns and out.count() == 12
+    items = spark.createDataFrame([(1, "a good text")], "item_id long, text string")
+    out = decontaminate.without_items(docs, items)
+    assert out.columns == docs.columns and out.count() == 6
+
+
 def test_long_texts_are_scored_like_short_ones(monkeypatch):
     text = "Ein langer Text, 12 Wörter  mit   Lücken... und ÄÖÜ! " * 5
     whole = sorted(x for bins in langid.text_bins(text) for x in bins.tolist())
