@@ -12,7 +12,7 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
+from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator, MulticlassClassificationEvaluator,
@@ -169,6 +169,21 @@ def _accuracies(df: DataFrame, columns: Sequence[str], label: str) -> list[float
     return [float(x or 0.0) for x in df.agg(*[hit(c) for c in columns]).first()]
 
 
+def first_iterations(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The boosted model as it was after ``n`` iterations: its first trees with their weights."""
+    from pyspark import SparkContext
+
+    sc, java = SparkContext._active_spark_context, model._java_obj
+    every, weights = java.trees(), java.treeWeights()
+    n = min(n, len(every))
+    trees = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    own = sc._gateway.new_array(sc._jvm.double, n)
+    for i in range(n):
+        trees[i], own[i] = every[i], weights[i]
+    short = GBTClassificationModel(sc._jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), trees, own))
+    return short.setFeaturesCol(model.getFeaturesCol())
+
+
 def gbt_grid(df: DataFrame, depths: Sequence[int], iterations: Sequence[int], subsets: Sequence[str], n_folds: int = 5, label: str = "label",
              features: str = "features", seed: int = 42, parallelism: int = 4) -> list[tuple[dict, float]]:
     """(parameters, mean accuracy over folds) for every point of the grid of boosted trees.
@@ -180,14 +195,10 @@ def gbt_grid(df: DataFrame, depths: Sequence[int], iterations: Sequence[int], su
     def one(job):
         (train, held), depth, subset = job
         model = GBTClassifier(labelCol=label, featuresCol=features, maxDepth=depth, maxIter=marks[-1], featureSubsetStrategy=subset, seed=seed).fit(train)
-        margins, out, total = [], held.select(label, features), F.lit(0.0)
-        for i, (tree, weight) in enumerate(zip(model.trees, model.treeWeights), 1):
-            out = tree.setPredictionCol(f"_t{i}").transform(out)
-            total = total + F.col(f"_t{i}") * F.lit(float(weight))
-            if i in marks:
-                margins.append((total > 0).cast("double").alias(f"_at{i}"))
-        scored = out.select(label, *margins)
-        return (depth, subset), _accuracies(scored, [f"_at{i}" for i in marks], label)
+        out = held.select(label, features)
+        for n in marks:
+            out = first_iterations(model, n).setPredictionCol(f"_at{n}").setRawPredictionCol("").setProbabilityCol("").transform(out)
+        return (depth, subset), _accuracies(out, [f"_at{n}" for n in marks], label)
 
     found: dict[tuple, list] = {}
     with ThreadPool(parallelism) as pool:

@@ -325,12 +325,14 @@ MLP_GRID = {"iterations": [30, 50, 100], "blocks": [64, 128, 256], "steps": [0.0
 MLP_LAYERS = [64, 20, 5, 2]
 #: The searches run on this share of the training rows; their best points are fitted again on all of them.
 TUNE_SHARE = 0.5
+#: Folds of the searches in front of the refits; the grids themselves are compared with five.
+REFIT_FOLDS = 2
 
 
 def _tuning_rows(spark, sf):
-    """A seeded share of the training rows, persisted in few partitions: a grid passes over them hundreds of times."""
+    """A hashed share of the training rows, persisted: a grid passes over them hundreds of times."""
     train = _wide(spark, sf).where("split = 'train'")
-    return fs.cached_scan(train.where(hash_bucket("vec_id", 1000) < int(1000 * TUNE_SHARE)).coalesce(4))
+    return fs.cached_scan(train.where(hash_bucket("vec_id", 1000) < int(1000 * TUNE_SHARE)))
 
 
 def _points(spark, points):
@@ -340,9 +342,9 @@ def _points(spark, points):
                                  "model string, parameters string, accuracy double")
 
 
-def _rf_points(rows):
+def _rf_points(rows, folds: int = 5):
     rf, pipe = _rf_pipeline()
-    cv = mo.cross_validate(rows, pipe, mo.grid(rf, **RF_GRID), mo.EVALUATORS["accuracy"]("label"), folds=5, parallelism=8)
+    cv = mo.cross_validate(rows, pipe, mo.grid(rf, **RF_GRID), mo.EVALUATORS["accuracy"]("label"), folds=folds, parallelism=8)
     return [({p.name: v for p, v in point.items()}, m) for point, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics)]
 
 
@@ -355,7 +357,7 @@ def q_cross_validate_grid(spark, sf):
 @register("gbt_grid")
 def q_gbt_grid(spark, sf):
     """Mean accuracy over 5 folds of the 27 boosted models of the grid: depth x iterations x subset strategy."""
-    return _r6(_points(spark, [("gbt", mo.gbt_grid(_tuning_rows(spark, sf), **GBT_GRID, seed=SEED))]))
+    return _r6(_points(spark, [("gbt", mo.gbt_grid(_tuning_rows(spark, sf), **GBT_GRID, seed=SEED, parallelism=8))]))
 
 
 @register("mlp_grid")
@@ -369,9 +371,10 @@ def q_scale_up_refit(spark, sf):
     """Forest, boosting and perceptron: searched on a share of the training rows, the best point of each fitted again on
     all of them and scored on the test rows (G19)."""
     few, w = _tuning_rows(spark, sf), _wide(spark, sf)
-    train, test = fs.cached_scan(w.where("split = 'train'").coalesce(4)), w.where("split = 'test'")
-    best = {"rf": mo.best_point(_rf_points(few)), "gbt": mo.best_point(mo.gbt_grid(few, **GBT_GRID, seed=SEED)),
-            "mlp": mo.best_point(mo.mlp_grid(few, MLP_LAYERS, **MLP_GRID, seed=SEED)) | {"layers": MLP_LAYERS}}
+    train, test = fs.cached_scan(w.where("split = 'train'")), w.where("split = 'test'")
+    best = {"rf": mo.best_point(_rf_points(few, REFIT_FOLDS)),
+            "gbt": mo.best_point(mo.gbt_grid(few, **GBT_GRID, n_folds=REFIT_FOLDS, seed=SEED, parallelism=8)),
+            "mlp": mo.best_point(mo.mlp_grid(few, MLP_LAYERS, **MLP_GRID, n_folds=REFIT_FOLDS, seed=SEED)) | {"layers": MLP_LAYERS}}
     out = None
     for name, params in best.items():
         r = _clf_scores(name, mo.classifier(name, seed=SEED, **params).fit(train), test).withColumn(
