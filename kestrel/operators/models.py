@@ -23,6 +23,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.session import persist
+
 CLASSIFIERS = {
     "rf": RandomForestClassifier,
     "gbt": GBTClassifier,
@@ -156,11 +158,22 @@ def best_params(cv_model, names: Sequence[str]) -> dict:
     return {n: best.getOrDefault(getattr(best, n)) for n in names}
 
 
+#: Rows that are worth a task of an iterative fit, whose jobs are many and short.
+TASK_ROWS = 10_000
+
+
+def few_tasks(df: DataFrame) -> DataFrame:
+    """``df`` in no more partitions than it has ``TASK_ROWS`` rows: a fit of hundreds of jobs starts every task of each of them."""
+    most = max(1, -(-df.count() // TASK_ROWS))
+    return df.coalesce(most)
+
+
 def folds(df: DataFrame, n: int = 5, seed: int = 42) -> list[tuple[DataFrame, DataFrame]]:
-    """(training, validation) parts of a seeded n-fold split of a persisted or written frame."""
-    parts = df.randomSplit([1.0] * n, seed)
-    rest = lambda i: reduce(DataFrame.unionByName, [p for j, p in enumerate(parts) if j != i])
-    return [(rest(i), parts[i]) for i in range(n)]
+    """(training, validation) parts of a seeded n-fold split of a persisted or written frame. The parts are persisted once,
+    numbered, so that a training part has no more partitions than the whole."""
+    parts = [p.withColumn("_fold", F.lit(i)) for i, p in enumerate(df.randomSplit([1.0] * n, seed))]
+    numbered = persist(few_tasks(reduce(DataFrame.unionByName, parts)))
+    return [(numbered.where(F.col("_fold") != i).drop("_fold"), numbered.where(F.col("_fold") == i).drop("_fold")) for i in range(n)]
 
 
 def _accuracies(df: DataFrame, columns: Sequence[str], label: str) -> list[float]:

@@ -103,3 +103,15 @@ def test_text_spaces(spark):
         word = vocabularies["words"][int(i)]
         df = sum(word in s for s in sets.values())
         assert one.words[int(i)] == pytest.approx(grams[one.doc_id].count(word) * math.log10(len(train) / df))
+
+
+def test_folds_have_few_tasks(spark):
+    from kestrel.operators import models as mo
+
+    df = spark.range(400).selectExpr("id", "id % 2 as label").repartition(16).cache()
+    parts = mo.folds(df, 5, 3)
+    plain = df.randomSplit([1.0] * 5, 3)
+    for (train, held), own in zip(parts, plain):
+        assert train.rdd.getNumPartitions() == 1  # a union of the other folds had 64
+        assert rows(held) == rows(own) and rows(train) == sorted(set(rows(df)) - set(rows(own)))
+    df.unpersist()
