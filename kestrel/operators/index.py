@@ -14,6 +14,7 @@ score: what lets a search skip postings (``topk``). Adding documents writes one
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,17 +32,21 @@ WEIGHTINGS = ("binary", "tf", "tfidf")
 @dataclass(frozen=True)
 class Index:
     """``postings`` (segment, term, salt, docid, tf, band), ``segment_terms`` (segment, term, df, fanout), ``terms`` (term, df),
-    ``norms`` (docid, band, binary, tf, tfidf: squared norms), ``blocks`` (term, band, level, n, and for each weighting the
-    greatest weight of a posting divided by its document's norm), the number of documents and the segments' folders."""
+    ``norms`` (docid, band, binary, tf, tfidf: squared norms), the number of documents and the segments' folders; ``blocks``
+    (term, band, level, n, and for each weighting the greatest weight of a posting divided by its document's norm)."""
 
     postings: DataFrame
     segment_terms: DataFrame
     terms: DataFrame
     norms: DataFrame
-    blocks: DataFrame
     n_docs: int
     segments: tuple[str, ...] = field(default=())
 
+    @cached_property
+    def blocks(self) -> DataFrame:
+        """Written when a search first asks for them: two more passes over all postings, which lookups and norms don't need."""
+        return _write_blocks(self.postings, self.norms)
+
 
 def _salt(fanout: Column) -> Column:
     return F.pmod(F.xxhash64("docid"), fanout).cast("int")
@@ -84,12 +89,17 @@ def open_index(spark: SparkSession, segments: tuple[str, ...]) -> Index:
         F.first("band").alias("band"), F.count(F.lit(1)).cast("double").alias("binary"),
         F.sum(F.col("tf") * F.col("tf")).cast("double").alias("tf"), F.sum(w * w).alias("tfidf")).write.parquet(f"{path}/norms")
     norms = spark.read.parquet(f"{path}/norms")
+    return Index(postings, segment_terms, terms, norms, n, segments)
+
+
+def _write_blocks(postings: DataFrame, norms: DataFrame) -> DataFrame:
+    path = scratch_path(postings.sparkSession, "index-blocks")
     whole = postings.join(norms.select("docid", F.struct(*WEIGHTINGS).alias("norm")), "docid")
     share = lambda value, norm: F.coalesce(F.max(F.try_divide(value, F.sqrt(F.col(f"norm.{norm}")))), F.lit(0.0)).alias(norm)
     whole.groupBy("term", "band", level().alias("level")).agg(
         F.count(F.lit(1)).alias("n"), share(F.lit(1.0), "binary"), share(F.col("tf").cast("double"), "tf"),
-        share(F.col("tf").cast("double"), "tfidf")).write.parquet(f"{path}/blocks")
-    return Index(postings, segment_terms, terms, norms, spark.read.parquet(f"{path}/blocks"), n, segments)
+        share(F.col("tf").cast("double"), "tfidf")).write.parquet(path)
+    return postings.sparkSession.read.parquet(path)
 
 
 def write_index(postings: DataFrame, salt_rows: int = SALT_ROWS) -> Index:

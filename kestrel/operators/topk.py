@@ -128,7 +128,7 @@ def _best_literal(index: Index, qterms: DataFrame, k: int) -> DataFrame:
     cuts = index.norms.agg(F.percentile_approx("docid", F.array(*[F.lit(s) for s in STEPS[:-1]]), F.lit(10_000)).alias("q")).first().q
     out, left = None, qterms
     for cut in [*(cuts or []), None]:
-        part = index if cut is None else Index(index.postings.where(F.col("docid") <= F.lit(cut)), index.segment_terms, index.terms, index.norms, index.blocks, index.n_docs)
+        part = index if cut is None else Index(index.postings.where(F.col("docid") <= F.lit(cut)), index.segment_terms, index.terms, index.norms, index.n_docs)
         found = materialise(rank_top(score_all(part, left, "binary", "literal"), k), "literal")
         done = found.where("score = 1").groupBy("qid").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == k).select("qid") if cut is not None else found.select("qid").distinct()
         kept = found.join(done, "qid", "left_semi")

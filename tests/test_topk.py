@@ -102,3 +102,11 @@ def test_pairs_that_are_formed(test_table, weighting, most):
     assert formed <= most * every
     terms.unpersist()
     first.unpersist()
+
+
+def test_lookups_write_no_blocks(spark, random_texts):
+    index = ix.write_index(random_texts[0])
+    assert ix.hits(index, random_texts[1]).count() and index.norms.count()
+    assert _shown(rt.retrieve(index, random_texts[1], "binary", 10, "literal"))
+    assert "blocks" not in vars(index)
+    assert rt.retrieve(index, random_texts[1], "tf", 10).count() and "blocks" in vars(index)
