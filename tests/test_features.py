@@ -109,9 +109,7 @@ def test_folds_have_few_tasks(spark):
     from kestrel.operators import models as mo
 
     df = spark.range(400).selectExpr("id", "id % 2 as label").repartition(16).cache()
-    parts = mo.folds(df, 5, 3)
-    plain = df.randomSplit([1.0] * 5, 3)
-    for (train, held), own in zip(parts, plain):
-        assert train.rdd.getNumPartitions() == 1  # a union of the other folds had 64
-        assert rows(held) == rows(own) and rows(train) == sorted(set(rows(df)) - set(rows(own)))
+    for (train, held), (plain, own) in zip(mo.numbered_folds(df, 5, 3), mo.folds(df, 5, 3)):
+        assert train.rdd.getNumPartitions() == 1 < plain.rdd.getNumPartitions()
+        assert rows(held) == rows(own) and rows(train) == rows(plain)
     df.unpersist()
