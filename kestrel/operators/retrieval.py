@@ -17,6 +17,9 @@ from kestrel.functions import WORD_PATTERN, word_tokens
 from kestrel.operators.index import Index, hits
 from kestrel.operators.text import remove_stopwords
 
+#: Documents whose terms one task sorts, at most.
+TASK_DOCS = 1 << 13
+
 
 def terms(df: DataFrame, id_col: str, text: str = "text", stopwords: Sequence[str] | None = None,
           lower: bool = True) -> DataFrame:
@@ -30,8 +33,10 @@ def terms(df: DataFrame, id_col: str, text: str = "text", stopwords: Sequence[st
 
 def build_postings(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                    stopwords: Sequence[str] | None = None) -> DataFrame:
-    """(term, docid, tf)."""
-    t = terms(docs, id_col, text, stopwords).withColumnRenamed(id_col, "docid")
+    """(term, docid, tf) (S8), the postings of a document in one partition: the texts are dealt by document before they are
+    cut into terms, which moves less than their terms would."""
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // TASK_DOCS))
+    t = terms(docs.select(id_col, text).repartition(n, id_col), id_col, text, stopwords).withColumnRenamed(id_col, "docid")
     return t.groupBy("term", "docid").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -106,7 +111,7 @@ def rank_top(scores: DataFrame, k: int = 10) -> DataFrame:
 
 def retrieve(index: Index, qterms: DataFrame, weighting: str = "tfidf", k: int = 10,
              mode: str = "fixed") -> DataFrame:
-    """(qid, docid, score, rank): the rows of ``rank_top(score(...), k)``, from as few pairs as the bounds allow."""
+    """(qid, docid, score, rank): the rows of ``rank_top(score(...), k)``, without moving the pairs that it forms."""
     from kestrel.operators import topk
 
     return topk.best(index, qterms, weighting, k, mode)

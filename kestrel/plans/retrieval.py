@@ -99,7 +99,7 @@ def _qterms(spark, sf, stop=True):
 
 def _index(spark, sf, stop=True):
     """The index of the documents, written under the checkpoint folder."""
-    return ix.write_index(materialise(_postings(spark, sf, stop), "postings"))
+    return ix.write_index(_postings(spark, sf, stop))
 
 
 def _retrieve(spark, sf, weighting, mode="fixed", stop=True):

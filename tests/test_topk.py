@@ -110,3 +110,32 @@ def test_lookups_write_no_blocks(spark, random_texts):
     assert _shown(rt.retrieve(index, random_texts[1], "binary", 10, "literal"))
     assert "blocks" not in vars(index)
     assert rt.retrieve(index, random_texts[1], "tf", 10).count() and "blocks" in vars(index)
+
+
+def test_documents_stay_in_one_file_and_one_task(spark, random_texts, index):
+    files = ix._read(spark, index.segments, "postings").select("docid", F.input_file_name().alias("file")).distinct()
+    assert files.count() == files.select("docid").distinct().count() == index.n_docs
+
+
+@pytest.mark.parametrize("weighting", ["binary", "tf", "tfidf"])
+def test_scores_move_postings_and_no_pairs(spark, random_texts, index, weighting):
+    terms = topk.weights(index, random_texts[1], weighting, "fixed").localCheckpoint()
+    least = terms.select("qid").distinct().withColumn("least", F.lit(-1.0)).localCheckpoint()
+    found = topk.scored(index, terms, index.postings, weighting, least, 29)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(docid" in plan and "hashpartitioning(qid" not in plan
+    every = rt.score(index, random_texts[1], weighting).select("qid", "docid", F.round("score", 9))
+    assert rows(found.select("qid", "docid", F.round("score", 9))) == rows(every)
+
+
+def test_queries_in_blocks_give_the_same(index, random_texts, monkeypatch):
+    want = _shown(rt.rank_top(rt.score(index, random_texts[1], "tfidf"), 10))
+    monkeypatch.setattr(topk, "BLOCK", 40)
+    assert _shown(rt.retrieve(index, random_texts[1], "tfidf", 10)) == want
+
+
+def test_norms_of_rare_and_common_terms_add_up(random_texts, index, monkeypatch):
+    shown = lambda i: rows(i.norms.selectExpr("docid", "band", "binary", "tf", "round(tfidf, 6)"))
+    for most in (1, 30):
+        monkeypatch.setattr(ix, "COMMON", most)
+        assert shown(ix.write_index(random_texts[0])) == shown(index)
