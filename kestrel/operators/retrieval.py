@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from kestrel.functions import WORD_PATTERN, word_tokens
 from kestrel.operators.index import Index, hits
 from kestrel.operators.text import remove_stopwords
+from kestrel.session import materialise
 
 #: Documents whose terms one task sorts, at most.
 TASK_DOCS = 1 << 13
@@ -153,16 +154,23 @@ def containing_documents(passages: DataFrame, docs: DataFrame, key_len: int = 3,
             pick = F.when(F.col("k") == k, _kgrams(k)).otherwise(pick)
         keys = runs.select("qid", "k", F.explode(F.array_distinct(pick)).alias("key"))
         d = docs.select(F.col(did).alias("docid"), word_tokens("text").alias("toks"))
-        grams = None
+        found = None
         for k in ks:
-            g = d.select("docid", F.explode(F.array_distinct(_kgrams(k))).alias("key")).withColumn("k", F.lit(k))
-            grams = g if grams is None else grams.unionByName(g)
-        found = grams.join(keys.select("k", "key").distinct(), ["k", "key"])
+            # the tokens at a place and after it are joined as they are: no string is made for a run that is no key
+            at = [f"t{i}" for i in range(k)]
+            shifted = [F.slice("toks", i + 1, F.greatest(F.size("toks"), F.lit(0))).alias(a) for i, a in enumerate(at)]
+            placed = d.select("docid", F.inline(F.arrays_zip(*shifted)).alias(*at))
+            parts = F.split("key", " ")
+            wanted = keys.where(F.col("k") == k).select("k", "key").distinct().select("k", "key", *[parts[i].alias(a) for i, a in enumerate(at)])
+            g = placed.join(wanted, at).select("k", "key", "docid")
+            found = g if found is None else found.unionByName(g)
+        found = materialise(found.distinct(), "passage-keys")
         often = found.groupBy("k", "key").agg(F.count(F.lit(1)).alias("n"))
         # a key that no document has is the rarest of all: its passage has no document
         rarest = (keys.join(often, ["k", "key"], "left").groupBy("qid")
                   .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "k", "key")).alias("best")).select("qid", "best.k", "best.key"))
-        cand = found.join(rarest, ["k", "key"]).select("qid", "docid").distinct()
+        # written, so that the planner knows how few they are before it moves the texts
+        cand = materialise(found.join(rarest, ["k", "key"]).select("qid", "docid").distinct(), "candidates")
         ver = cand.join(texts, "docid").join(p, "qid").where(F.contains(F.col("dtext"), F.col("ptext")))
         out = ver.select("qid", "docid")
     loose = p.where((F.size(inner) == 0) & (F.length("ptext") > 0))

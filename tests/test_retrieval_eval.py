@@ -149,3 +149,13 @@ def test_scans_of_the_index_are_filtered_by_the_query_terms(spark):
     q = rt.query_terms(spark.createDataFrame([(9, "banana")], "qid long, text string"))
     plan = rt.score(_index(spark), q, "tf")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(term,banana)" in plan or "In(term, [banana])" in plan
+
+
+def test_containment_cuts_the_documents_once(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"some text with word{i} and word{i + 1} in it") for i in range(20)], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    passages = spark.createDataFrame([(1, "with word3 and word4 in"), (2, "and word7 in it"), (3, "word2 and word9")], "qid long, text string")
+    found = rt.containing_documents(passages, docs)
+    assert "regexp_extract_all" not in found._jdf.queryExecution().optimizedPlan().toString()  # what is left checks candidates
+    assert rows(found) == [(1, 3), (2, 6)]
