@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from kestrel.llm import bpe, decontaminate, langid, near_dups, pii
 from kestrel.llm.batches import append, fresh, struct, table
 from kestrel.llm.queries import bpe_files, held_out
-from kestrel.llm.tables import keep
+from kestrel.llm.tables import keep, not_among
+from kestrel.session import result_of
 
 MIN_SCORE = 0.5
 
@@ -43,8 +44,8 @@ def _one_of_each_text(docs: DataFrame, several: DataFrame) -> DataFrame:
     row = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
     keyed = keep(row.join(several.withColumn("many", F.lit(True)), "doc_id", "left").select(
         F.when(F.col("many"), F.xxhash64("doc_id", "text")).otherwise(F.col("doc_id").cast("long")).alias("id"), "text", "row"), "keyed")
-    found = near_dups.near_duplicates(keyed.select(F.col("id").alias("doc_id"), "text")).where("doc_id is not null").select(
-        F.col("doc_id").alias("id"), "component_id").distinct()
+    found = result_of(docs.sparkSession, lambda: near_dups.near_duplicates(keyed.select(F.col("id").alias("doc_id"), "text")).where(
+        "doc_id is not null").select(F.col("doc_id").alias("id"), "component_id").distinct())
     ids = keyed.select("id", F.col("row.doc_id").alias("doc_id")).distinct()
     first = ids.join(found, "id").groupBy("component_id").agg(F.min(F.struct("doc_id", "id")).alias("first")).select("first.id")
     once = keyed.join(first, "id", "left_semi").groupBy("id").agg(F.min("row").alias("row"))
@@ -58,9 +59,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     several = keep(several.select("doc_id"), "several")
     if several.head(1):
         return _one_of_each_text(docs, several)
-    found = keep(near_dups.near_duplicates(docs).where("doc_id is not null").groupBy("doc_id").agg(
-        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "groups")
-    out = docs.join(found.where("not kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    # what the operator writes on its way, copies of texts among it, goes as soon as the groups are written
+    found = result_of(spark, lambda: near_dups.near_duplicates(docs).where("doc_id is not null").groupBy("doc_id").agg(
+        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")))
+    out = not_among(docs, keep(found.where("not kept").select("doc_id"), "others"), "doc_id")
     repeated = found.where("kept and n > 1").select("doc_id")
     if not repeated.head(1):
         return out

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from kestrel.llm.batches import id_and_text, lean, map_rows, pieces, struct
 from kestrel.llm.shingles import WORDS, mix, shingle_hashes
-from kestrel.llm.tables import components, keep
+from kestrel.llm.tables import among, components, keep
 
 HALVES = 12
 PER_HALF = 2
@@ -201,8 +201,8 @@ def links(nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
     buckets = table_keys(nodes)
     if not buckets.head(1):
         return None
-    wanted = buckets.select(F.col("node").alias("doc_id")).distinct()
-    texts = keep(texts.join(wanted, "doc_id", "left_semi"), "texts")
+    wanted = keep(buckets.select(F.col("node").alias("doc_id")).distinct(), "wanted")
+    texts = keep(among(texts, wanted, "doc_id"), "texts")
     # first each node with the smallest first node of its buckets
     pairs = buckets.where("first < node").groupBy("node").agg(F.min("first").alias("a")).select("a", F.col("node").alias("b"))
     label = keep(components(confirm(pairs, texts)), "labels")

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from kestrel.llm import near_dups
+from kestrel.llm import near_dups, tables
 from kestrel.llm.near_dups import half_keys, minhash
 from kestrel.llm.queries import op1_near_duplicates
 from kestrel.llm.shingles import shingle_hashes
@@ -115,3 +115,31 @@ def test_query_matches_brute_force(spark, small_dir):
     want = brute(docs)
     got = {r.doc_id: r.component_id for r in op1_near_duplicates(spark, small_dir).collect()}
     assert got == want
+
+
+def test_rows_are_picked_by_id_without_shuffling_the_others(spark):
+    rows = spark.createDataFrame([(i, f"text {i}", i) for i in range(3000)] + [(7, "again", 0), (None, "none", 1)], "doc_id long, text string, slot int")
+    ids = spark.createDataFrame([(i,) for i in range(0, 3000, 100)] + [(7,), (9999,)], "doc_id long")
+    inside, outside = tables.among(rows, ids, "doc_id"), tables.not_among(rows, ids, "doc_id")
+    assert inside.columns == outside.columns == rows.columns
+    assert sorted(map(tuple, inside.collect())) == sorted(map(tuple, rows.join(ids, "doc_id", "left_semi").collect()))
+    assert sorted(map(str, outside.collect())) == sorted(map(str, rows.join(ids, "doc_id", "left_anti").collect()))
+    maybe, others = tables._marked(rows, ids, "doc_id")
+    assert maybe.count() < 100 and maybe.count() + others.count() == rows.count()
+    assert "Exchange hashpartitioning(doc_id" not in others._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stage_leaves_no_copies_of_texts(spark, small_dir):
+    import os
+
+    import corpus_pipeline
+    from kestrel.session import ensure_checkpoint_dir
+
+    rng = random.Random(3)
+    text = [" ".join(words(rng, 60)) for _ in range(20)]
+    docs = spark.createDataFrame([(k, t + (" more" if k > 20 else "")) for k, t in enumerate(text * 2)], "doc_id long, text string")
+    at = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "tables")
+    there = lambda: set(os.listdir(at)) if os.path.exists(at) else set()
+    before = there()
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, small_dir).collect()) == list(range(20))
+    assert {x.split("-")[0] for x in there() - before} == {"several", "result", "others"}
