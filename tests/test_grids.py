@@ -7,8 +7,10 @@ from pyspark.ml.linalg import Vectors
 
 from conftest import SMALL, rows
 from kestrel.operators import boosting
+from kestrel.operators import metrics as me
 from kestrel.operators import models as mo
 from kestrel.plans import ml
+from kestrel.session import reuse
 
 
 def test_boosted_grid_learns_from_all_training_rows(spark, monkeypatch):
@@ -59,3 +61,17 @@ def test_more_rows_than_a_task_holds_go_to_spark(spark, monkeypatch):
     monkeypatch.setattr(boosting, "MOST_CELLS", 100)
     assert mo.gbt_grid(df, [2], [2, 3], ["all"], n_folds=2, seed=3) == want
     df.unpersist()
+
+
+def test_metrics_of_several_predictions(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 1.0), (3.0, 3.0, None), (5.0, 2.0, 4.0)], "y double, p double, q double")
+    got = {r.name: r[1:] for r in me.regression_metrics_each(df, [({"name": "p"}, "p"), ({"name": "q"}, "q")], "y").collect()}
+    assert got == {c: tuple(me.regression_metrics(df, "y", c).first()) for c in ("p", "q")}
+
+
+@pytest.mark.parametrize("query, n", [(ml.q_ridge_regression, 4)])
+def test_claims_are_scored_in_one_pass(spark, query, n):
+    with reuse(spark):
+        out = query(spark, SMALL)
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation [l_orderkey") == 1
+        assert out.count() == n
