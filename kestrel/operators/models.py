@@ -110,13 +110,18 @@ def gamma_identity(df: DataFrame, label: str = "label", features: str = "feature
     return PositiveModel(model, least)
 
 
+def two_part(cls: str, amount: str):
+    """The prediction of a two-part model from the predicted class and amount: classifier says zero -> 0."""
+    return F.when(F.col(cls) == 0, F.lit(0.0)).otherwise(F.col(amount))
+
+
 def two_part_predict(df: DataFrame, cls_model, reg_model, features: str = "features",
                      out: str = "prediction") -> DataFrame:
     """Classifier says zero -> 0, otherwise the regressor's amount (G16), as
     one projection over both models' outputs."""
     c = cls_model.transform(df).withColumnRenamed("prediction", "_cls").drop("rawPrediction", "probability")
     r = reg_model.transform(c).withColumnRenamed("prediction", "_amt")
-    return r.withColumn(out, F.when(F.col("_cls") == 0, F.lit(0.0)).otherwise(F.col("_amt"))).drop("_cls", "_amt")
+    return r.withColumn(out, two_part("_cls", "_amt")).drop("_cls", "_amt")
 
 
 def kmeans(df: DataFrame, k: int, seed: int = 42, features: str = "features"):

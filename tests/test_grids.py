@@ -69,7 +69,7 @@ def test_metrics_of_several_predictions(spark):
     assert got == {c: tuple(me.regression_metrics(df, "y", c).first()) for c in ("p", "q")}
 
 
-@pytest.mark.parametrize("query, n", [(ml.q_ridge_regression, 4)])
+@pytest.mark.parametrize("query, n", [(ml.q_ridge_regression, 4), (ml.q_two_part_grid, 8)])
 def test_claims_are_scored_in_one_pass(spark, query, n):
     with reuse(spark):
         out = query(spark, SMALL)
